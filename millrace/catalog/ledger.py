@@ -14,6 +14,7 @@ from ..operators.nested import flatten
 from ..plans.payment_ledger import KEYS, load_payment_ledger, payment_ledger
 from ..sources.sinks import full_refresh, merge_insert_only
 from ..sources.staging import fresh_path
+from ..sources.tables import dealt_out
 from .common import load, text
 
 WINDOW = RunWindow(date(1995, 1, 1), date(2002, 12, 31))
@@ -21,7 +22,8 @@ WINDOW = RunWindow(date(1995, 1, 1), date(2002, 12, 31))
 
 def payments(spark: SparkSession, folder: str) -> DataFrame:
     """Every line item is a payment; returned ones carry refunds, and so on. Arrays have at most two elements."""
-    li = load(spark, folder, "lineitem")
+    li = dealt_out(load(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"))
     order, part, line = text("l_orderkey"), text("l_partkey"), text("l_linenumber")
     whole = text(F.col("l_quantity").cast("int"))
 

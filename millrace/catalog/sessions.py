@@ -12,13 +12,15 @@ from ..operators.aggregates import spread
 from ..operators.ordered import last_event, top1
 from ..operators.rows import in_window, on_day
 from ..plans import checkout_sessions as plan
+from ..sources.staging import stage
+from ..sources.tables import dealt_out
 from .common import day_text, load, text, time_text
 
 WINDOW = RunWindow(date(2024, 1, 1), date(2024, 1, 31))
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "events").select(
+    return dealt_out(load(spark, folder, "events")).select(
         "event_id", "event_type", "value", "user_id", "ts", F.to_date("ts").alias("dt"),
         F.concat(F.lit("s"), text("user_id"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("sid"),
         F.get_json_object("props", "$.k").cast("int").alias("k"))
@@ -91,7 +93,7 @@ def session_fact(spark: SparkSession, folder: str) -> DataFrame:
     cities = load(spark, folder, "nation").select(
         F.when(F.col("n_regionkey") != 4, F.concat(F.lit("tier"), text("n_regionkey"))).alias("classification"),
         F.col("n_name").alias("city_name"), F.when(F.col("n_regionkey") < 2, "1").otherwise("2").alias("launch_version"))
-    state = _state(spark, folder)
+    state = stage(_state(spark, folder), "sessions")
     fact = plan.session_fact(checkout, state, _options(spark, folder, state), orders, paid, cities, WINDOW)
     return fact.withColumn("dt", day_text("dt"))
 

@@ -15,6 +15,7 @@ from ..functions.dates import RunWindow, epoch_ms, minutes_between
 from ..functions.numbers import alert_reason, alert_status, kept_percent
 from ..plans import capacity, item_shortage, store_orders
 from ..plans.store_orders import PIGEON_HOLE
+from ..sources.tables import dealt_out
 from .common import day_text, load, rounded, text, time_text
 
 LOAD_DAY = date(2024, 1, 31)
@@ -25,7 +26,7 @@ NOW = datetime(2024, 1, 31, 12)
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
-    return load(spark, folder, "events").select(
+    return dealt_out(load(spark, folder, "events")).select(
         "event_id", "event_type", "value", "user_id", F.lit(LOAD_DAY).alias("dt"),
         F.concat(F.lit("o"), text("user_id"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("oid"),
         text("user_id").alias("store"), F.get_json_object("props", "$.k").cast("int").alias("k"),

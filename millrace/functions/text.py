@@ -24,7 +24,7 @@ def without_spaces(col: Column, by: str = "") -> Column:
 
 
 def strip_parens(col: Column) -> Column:
-    return F.regexp_replace(col, "[()]", "")
+    return F.translate(col, "()", "")
 
 
 def strip_list_marks(col: Column) -> Column:

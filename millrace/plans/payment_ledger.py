@@ -57,26 +57,18 @@ COLUMNS = [
 def payment_ledger(payments: DataFrame, window: RunWindow, strict: bool = True) -> DataFrame:
     """Ledger rows of the payments updated in the window; no two rows are the same.
 
-    The input is not made distinct first: equal payments give equal ledger rows, which the one distinct
-    at the end removes. Bad JSON fails the job unless ``strict`` is off.
+    Every ledger column follows from the payment's own columns, the kind and the element text, so rows are
+    made distinct on those seven before the fields are read: the shuffle carries each element once as text
+    and the parse runs after it, once per distinct element. Bad JSON fails the job unless ``strict`` is off.
     """
     base = in_window(payments, "updated_at", window).select(
-        "order_id", "transaction_id", "lob", "created_at", "updated_at", *SOURCES)
-    rows = tagged_elements(base, SOURCES, "description", "arr", strict)
+        "order_id", text_or_empty(F.col("transaction_id")).alias("txn_id"), text_or_empty(F.col("lob")).alias("lob"),
+        text_or_empty(F.col("created_at")).alias("created_at"), text_or_empty(F.col("updated_at")).alias("updated_at"), *SOURCES)
+    rows = tagged_elements(base, SOURCES, "description", "arr", strict).distinct()
     rows = rows.withColumn("e", parse(F.col("arr"), text_fields(sorted(set(FIELDS.values())))))
-    columns = {
-        "order_id": F.col("order_id"),
-        "description": F.col("description"),
-        "txn_id": text_or_empty(F.col("transaction_id")),
-        "created_at": text_or_empty(F.col("created_at")),
-        "lob": text_or_empty(F.col("lob")),
-        "updated_at": text_or_empty(F.col("updated_at")),
-        "arr": F.col("arr"),
-    }
-    for out, name in FIELDS.items():
-        tidy = strip_list_marks if out == "utr" else strip_parens
-        columns[out] = text_or_empty(tidy(F.col(f"e.{name}")))
-    return rows.select(*[columns[c].alias(c) for c in COLUMNS]).distinct()
+    read = {out: text_or_empty((strip_list_marks if out == "utr" else strip_parens)(F.col(f"e.{name}"))).alias(out)
+            for out, name in FIELDS.items()}
+    return rows.select(*[read.get(c, c) for c in COLUMNS])
 
 
 def load_payment_ledger(payments: DataFrame, window: RunWindow, path: str) -> None:
