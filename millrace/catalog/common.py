@@ -2,11 +2,37 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import fresh_path
 from ..sources.tables import parquet
 
+Build = Callable[[SparkSession, str], DataFrame]
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def job_input(build: Build) -> Build:
+    """A job's input table, derived from the test tables: written on first use in a session, then read.
+
+    The jobs read tables, so their inputs are tables here too. As expressions over the test tables they
+    would be inlined into every filter and evaluated again by every branch of a plan.
+    """
+
+    @functools.wraps(build)
+    def read(spark: SparkSession, folder: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, folder, f"{build.__module__}.{build.__name__}")
+        if key not in _written:
+            path = fresh_path(spark, build.__name__)
+            build(spark, folder).write.parquet(path)
+            _written[key] = path
+        return spark.read.parquet(_written[key])
+
+    return read
+
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")

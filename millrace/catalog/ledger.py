@@ -15,11 +15,12 @@ from ..plans.payment_ledger import KEYS, load_payment_ledger, payment_ledger
 from ..sources.sinks import full_refresh, merge_insert_only
 from ..sources.staging import fresh_path
 from ..sources.tables import dealt_out
-from .common import load, text
+from .common import job_input, load, text
 
 WINDOW = RunWindow(date(1995, 1, 1), date(2002, 12, 31))
 
 
+@job_input
 def payments(spark: SparkSession, folder: str) -> DataFrame:
     """Every line item is a payment; returned ones carry refunds, and so on. Arrays have at most two elements."""
     li = dealt_out(load(spark, folder, "lineitem").select(

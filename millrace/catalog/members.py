@@ -12,7 +12,7 @@ from ..operators.rows import effective_at
 from ..operators.spans import continuous_start, span_gaps, term_before_gap
 from ..plans import members as plan
 from ..sources.staging import stage
-from .common import day_text, load, text
+from .common import day_text, job_input, load, text
 
 AS_OF = date(1999, 6, 1)
 NOW = datetime(1999, 6, 1, 8)
@@ -29,33 +29,52 @@ def _pick(col, mapping: dict, default=None):
 PLANS = {"1-URGENT": "QMXBP7971", "2-HIGH": "QMXBP7971", "3-MEDIUM": "QMXBP7938", "4-NOT SPECIFIED": "QMXBP7938"}
 
 
-def enrolment(spark: SparkSession, folder: str) -> plan.Enrolment:
-    od, li, cust = (load(spark, folder, t) for t in ("orders", "lineitem", "customer"))
+@job_input
+def enrol_keys(spark: SparkSession, folder: str) -> DataFrame:
+    od = load(spark, folder, "orders")
     start = F.col("o_orderdate").cast("date")
-    keys = od.select(
+    return od.select(
         F.concat(F.lit("e"), text("o_orderkey")).alias("enrollid"), text("o_custkey").alias("memid"),
         _pick("o_orderpriority", PLANS, F.lit("QMXBP8050")).alias("planid"), _pick("o_orderstatus", {"F": "A1", "O": "B1"}, F.lit("H1")).alias("ratecode"),
         F.concat(F.lit("C"), text("o_custkey")).alias("carriermemid"),
         F.when(F.col("o_totalprice") > 450000, "EXT").when(F.col("o_orderstatus") == "F", "int").otherwise("INT").alias("segtype"),
         start.alias("effdate"), _days(start, F.floor(F.col("o_totalprice") / 1000)).alias("termdate"), start.alias("lastupdate"),
         _days(start, 5 - F.floor(F.col("o_totalprice") / 50000)).alias("createdate"))
+
+
+@job_input
+def enrol_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    li = load(spark, folder, "lineitem")
     ship = F.col("l_shipdate").cast("date")
-    coverage = li.select(
+    return li.select(
         F.concat(F.lit("e"), text("l_orderkey")).alias("enrollid"), _pick("l_returnflag", {"A": "A1", "N": "B1"}, F.lit("H2")).alias("ratecode"),
         F.concat(F.lit("cc"), text("l_linenumber")).alias("coveragecodeid"), ship.alias("effdate"),
         _days(ship, F.col("l_quantity") * 10).alias("termdate"))
+
+
+@job_input
+def people(spark: SparkSession, folder: str) -> DataFrame:
+    cust = load(spark, folder, "customer")
     woman = F.col("c_mktsegment").isin("BUILDING", "FURNITURE")
-    member = cust.select(
+    return cust.select(
         text("c_custkey").alias("memid"), F.concat(F.lit("n"), text("c_custkey")).alias("entityid"), _born().alias("dob"),
         F.when(woman, "F").otherwise("M").alias("sex"), F.col("c_name").alias("fullname"), F.concat(F.lit("l"), text("c_nationkey")).alias("primarylanguage"))
+
+
+@job_input
+def entities(spark: SparkSession, folder: str) -> DataFrame:
+    cust = load(spark, folder, "customer")
     street = {"BUILDING": "5225 Cherry Creek Pk S", "MACHINERY": "165 n stygler rd apt 2", "FURNITURE": "4770 TAMARACK blvd"}
-    entity = cust.select(
+    return cust.select(
         F.concat(F.lit("n"), text("c_custkey")).alias("entid"), F.concat(F.col("c_mktsegment"), F.lit("  ")).alias("lastname"),
         F.col("c_name").alias("firstname"), F.when(F.col("c_acctbal") < -500, "Other").otherwise("Member").alias("enttype"),
         F.lit(date(2078, 12, 31)).alias("termdate"), _pick("c_mktsegment", street, F.col("c_name")).alias("addr1"),
         F.when(F.col("c_nationkey") < 12, "Gahanna").otherwise("Town").alias("city"), F.lit("po box").alias("phyaddr1"), F.lit("").alias("phyaddr2"),
         F.lit("City").alias("phycity"), F.lit("County").alias("phycounty"), text("c_nationkey").alias("phyzip"), F.lit("555").alias("phone"))
-    return plan.Enrolment(keys, coverage, member, entity)
+
+
+def enrolment(spark: SparkSession, folder: str) -> plan.Enrolment:
+    return plan.Enrolment(*[f(spark, folder) for f in (enrol_keys, enrol_coverage, people, entities)])
 
 
 def _born():

@@ -14,7 +14,7 @@ from ..operators.rows import in_window, on_day
 from ..plans import checkout_sessions as plan
 from ..sources.staging import stage
 from ..sources.tables import dealt_out
-from .common import day_text, load, text, time_text
+from .common import day_text, job_input, load, text, time_text
 
 WINDOW = RunWindow(date(2024, 1, 1), date(2024, 1, 31))
 
@@ -26,12 +26,14 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
+@job_input
 def place_orders(spark: SparkSession, folder: str) -> DataFrame:
     e = _events(spark, folder)
     source = F.when((F.col("event_type") == "purchase") & (F.col("value") < 100), "turbocheckout").otherwise("web")
     return e.select("dt", "sid", F.to_json(F.struct(source.alias("place_order_source"))).alias("request_params"))
 
 
+@job_input
 def payment_api(spark: SparkSession, folder: str) -> DataFrame:
     e = _events(spark, folder)
     page = F.when(F.col("event_type") == "view", "payment").when(F.col("event_type").isin("click", "purchase"), "checkout").otherwise("cart")

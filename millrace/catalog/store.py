@@ -16,7 +16,7 @@ from ..functions.numbers import alert_reason, alert_status, kept_percent
 from ..plans import capacity, item_shortage, store_orders
 from ..plans.store_orders import PIGEON_HOLE
 from ..sources.tables import dealt_out
-from .common import day_text, load, rounded, text, time_text
+from .common import day_text, job_input, load, rounded, text, time_text
 
 LOAD_DAY = date(2024, 1, 31)
 LOAD_DAY_MS = 1_706_659_200_000
@@ -40,6 +40,7 @@ def _case(col: str, mapping: dict[str, str], default: str):
     return out.otherwise(default)
 
 
+@job_input
 def order_states(spark: SparkSession, folder: str) -> DataFrame:
     e = _events(spark, folder)
     units = F.floor("value").cast("int") + 1
@@ -56,6 +57,7 @@ def order_states(spark: SparkSession, folder: str) -> DataFrame:
         F.to_json(F.array(cold(F.col("k") < 20), cold(F.lit(False)))).alias("itemdetails"))
 
 
+@job_input
 def order_events(spark: SparkSession, folder: str) -> DataFrame:
     info = F.struct(F.col("store").alias("id"), F.when(F.col("value") < 80, "Instacart").otherwise("other").alias("name"),
                     F.when(F.col("k") < 50, "LISTED").alias("storeType"))
@@ -66,18 +68,21 @@ def order_events(spark: SparkSession, folder: str) -> DataFrame:
         F.to_json(F.struct(info.alias("storeInfo"))).alias("metadata_json"))
 
 
+@job_input
 def order_confirm(spark: SparkSession, folder: str) -> DataFrame:
     return _events(spark, folder).select(
         "dt", F.col("oid").alias("job_id"), (F.col("ms") - 600_000).alias("time_stamp"), F.lit("BUY").alias("type"),
         F.when(F.col("event_type").isin("signup", "view"), "CONFIRMED").otherwise("OTHER").alias("status"))
 
 
+@job_input
 def pigeon_hole(spark: SparkSession, folder: str) -> DataFrame:
     return _events(spark, folder).select(
         "dt", F.when(F.col("event_type") == "error", PIGEON_HOLE).otherwise("other").alias("object_name"),
         F.col("oid").alias("object_value"), epoch_ms(F.col("ms")).alias("time_stamp"))
 
 
+@job_input
 def job_logs(spark: SparkSession, folder: str) -> DataFrame:
     status = _case("event_type", {"view": "PLACED", "purchase": "DELIVERY_DELIVERED", "click": "DELIVERY_PICKEDUP", "signup": "DELIVERY_ARRIVED"}, "CANCELLED")
     reason = F.when(F.col("value") >= 20, "late: Stores_VDC | VDC_OOS (auto)").otherwise("changed mind")

@@ -14,6 +14,7 @@ from ..functions.text import ieq, like_any, to_number
 from ..operators.aggregates import latest_rows, spread
 from ..operators.ordered import asof_join, top1
 from ..operators.rows import on_day, union_distinct
+from ..sources.staging import stage
 from .store_orders import STOCK_STATES, STORE_NAME, job_status_events, order_state_events
 
 # Cancellation reasons that count as a store shortage, staging area and stores left out.
@@ -125,6 +126,8 @@ def shortage_detail(order_states: DataFrame, job_logs: DataFrame, store: DataFra
     """Order x SKU x combo with the stock last known before the order and before the event.
 
     A repeated (order, SKU, combo) keeps one row: the one with the newest stock, then the largest quantity.
+    The short items and the stock levels are staged: they are small next to the event tables they come from,
+    and each as-of join reads its sides twice.
     """
     stores = store_details(store, area, city)
     short, placed = shortage_rows(order_states, job_logs, stores, as_of)
@@ -138,13 +141,13 @@ def shortage_detail(order_states: DataFrame, job_logs: DataFrame, store: DataFra
                     "ordered_qty", "const_qty", times(F.col("ordered_qty"), F.col("const_qty")).alias("final_ordered_qty"),
                     "delivery_type", "vdc_ftr_time", "reason", "vdc_ftr_flag")
             .join(placed.select("orderjobid", F.col("ordered_time").cast("timestamp").alias("ordered_time")), "orderjobid", "left"))
-    stock = stock_levels(closing_stock, current_stock, as_of)
-    at_order = asof_join(rows, stock, {"sku_id": "sku"}, "ordered_time", "update_time",
+    stock = stage(stock_levels(closing_stock, current_stock, as_of), "stock")
+    at_order = asof_join(stage(rows, "short_items"), stock, {"sku_id": "sku"}, "ordered_time", "update_time",
                          {"update_time": "inv_ordered_time", "sellable_units": "order_time_qty"})
     single = top1(at_order, ["orderjobid", "sku_id", "combo_sku_id"],
                   [F.col("inv_ordered_time").desc_nulls_first()] + [F.col(c).desc_nulls_last() for c in
                    ("ordered_qty", "const_qty", "vdc_ftr_time", "ordered_time", "delivery_type", "reason", "vdc_ftr_flag", "store_id", "dt")])
-    at_event = asof_join(single, stock, {"sku_id": "sku"}, "vdc_ftr_time", "update_time",
+    at_event = asof_join(stage(single, "short_items"), stock, {"sku_id": "sku"}, "vdc_ftr_time", "update_time",
                          {"update_time": "inv_vdc_ftr_time", "sellable_units": "vdc_ftr_time_qty"})
     named = items.select("sku_id", "item_code", "item_name")
     return (at_event.join(named, "sku_id", "left").join(stores.drop("store_name"), "store_id", "left")

@@ -16,6 +16,7 @@ from ..operators.ordered import numbered, top1
 from ..operators.rows import with_defaults
 from ..operators.spans import continuous_start, days_since_opt_out, span_gaps, term_before_gap
 from ..sources.sinks import load_stamps
+from ..sources.staging import stage
 from ..sources.tables import lookup
 from . import member_values as values
 
@@ -242,7 +243,7 @@ def overlay_members(frame: DataFrame, e: Enrolment, cases: DataFrame, attributes
     opted = opt_in_after_opt_out(e.keys).groupBy("memid").agg(F.max("latest_opt_in").alias("latest_opt_in"))
     out = update_from(out, opted, {"memid": "memid"}, {"mostrecentoptindate": col("latest_opt_in")})
 
-    spans = covered_spans(e, coverage_code, as_of)
+    spans = stage(covered_spans(e, coverage_code, as_of), "covered_spans")
     dates = enrolment_dates(spans, as_of)
     out = update_from(out.withColumn("enrollmentstatus", F.lit("Disenrolled")), dates, {"memid": "memid"}, {
         "mcpenrollmentdate": col("firsteffdate"),
