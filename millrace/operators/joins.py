@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
@@ -24,11 +26,6 @@ def not_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right.select(key), key, "left_anti")
 
 
-def decode(df: DataFrame, codes: DataFrame, on: Column, value: str, out: str) -> DataFrame:
-    """Left-join one code list for a label; the caller filters ``codes`` to one list."""
-    return df.join(codes.withColumnRenamed(value, out), on, "left")
-
-
 def decode_multi(df: DataFrame, codes: DataFrame, key: str, value: str,
                  wanted: dict[str, tuple[str, Column]]) -> DataFrame:
     """Same dimension joined once per code column: ``{out: (code column, filter of the code list)}``."""
@@ -65,31 +62,19 @@ def update_from(df: DataFrame, src: DataFrame, on: dict[str, str], assign: dict[
     """
     keys = {t: f"_u_k{i}" for i, t in enumerate(on)}
     new = {t: f"_u_v{i}" for i, t in enumerate(assign)}
-    given = src.select(*[F.col(s).alias(keys[t]) for t, s in on.items()],
-                       *[v.alias(new[t]) for t, v in assign.items()],
-                       *[c.alias(f"_u_o{i}") for i, c in enumerate(_plain(pick))])
-    if pick is None:
-        unique = given
-    else:
-        sort = [F.col(f"_u_o{i}").desc_nulls_last() for i in range(len(pick))]
-        sort += [F.col(c).desc_nulls_last() for c in new.values()]
-        unique = top1(given, list(keys.values()), sort).drop(*[f"_u_o{i}" for i in range(len(pick))])
-    unique = unique.withColumn("_u_hit", F.lit(True))
-    cond = None
-    for t, k in keys.items():
-        test = F.col(t) == F.col(k)
-        cond = test if cond is None else cond & test
-    joined = df.join(unique, cond, "left")
-    if keep == "coalesce":
-        changed = {t: F.coalesce(F.col(v).cast(df.schema[t].dataType), F.col(t)) for t, v in new.items()}
-    else:
-        changed = {t: F.when(F.col("_u_hit"), F.col(v).cast(df.schema[t].dataType)).otherwise(F.col(t))
-                   for t, v in new.items()}
-    return joined.withColumns(changed).select(*[F.col(f"`{c}`") for c in df.columns])
-
-
-def _plain(pick: Sequence[Column] | None) -> Sequence[Column]:
-    return pick or []
+    order = {f"_u_o{i}": c for i, c in enumerate(pick or [])}
+    unique = src.select(*[F.col(s).alias(keys[t]) for t, s in on.items()], *[v.alias(new[t]) for t, v in assign.items()],
+                        *[c.alias(n) for n, c in order.items()], F.lit(True).alias("_u_hit"))
+    if order:
+        unique = top1(unique, list(keys.values()), [F.col(c).desc_nulls_last() for c in [*order, *new.values()]])
+    types = {f.name: f.dataType for f in df.schema}
+
+    def updated(t: str) -> Column:
+        old, given = F.col(f"`{t}`"), F.col(new[t]).cast(types[t])
+        return F.coalesce(given, old) if keep == "coalesce" else F.when(F.col("_u_hit"), given).otherwise(old)
+
+    cond = reduce(and_, [F.col(t) == F.col(k) for t, k in keys.items()])
+    return df.join(unique, cond, "left").select(*[updated(c).alias(c) if c in new else F.col(f"`{c}`") for c in types])
 
 
 def cast_key(df: DataFrame, *cols: str, kind: str = "string") -> DataFrame:
