@@ -64,7 +64,7 @@ def day_type(day: Column) -> Column:
 
 
 def age_years(born: Column, as_of: date) -> Column:
-    """Whole years; a 29 February birthday counts from 1 March in common years."""
+    """Whole years; a 29 February birthday counts on the last day of February in common years."""
     return F.floor(F.months_between(F.lit(as_of), born) / 12)
 
 
