@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import prepare
 from ..sources.staging import fresh_path
 from ..sources.tables import parquet
 
@@ -35,8 +36,7 @@ def job_input(build: Build) -> Build:
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return parquet(spark, folder, name)
+    return parquet(prepare(spark), folder, name)
 
 
 def day_text(col: str | Column) -> Column:

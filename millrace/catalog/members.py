@@ -148,7 +148,7 @@ def engagement(spark: SparkSession, folder: str) -> DataFrame:
 def enrol_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as spans of their price in days: current stretch and last gap per customer."""
     keys = enrolment(spark, folder).keys
-    gaps = span_gaps(keys, "memid", "effdate", "termdate", ["enrollid"], bucket=F.trunc("effdate", "year"))
+    gaps = span_gaps(keys, "memid", "effdate", "termdate", ["enrollid"], bucket=F.trunc("effdate", "month"))
     out = gaps.groupBy("memid").agg(
         F.count("*").alias("n_spans"), F.sum("restart").alias("restarts"), F.sum("enrollgap").alias("gaps"),
         F.coalesce(F.sum("gap"), F.lit(0)).alias("gap_days"), continuous_start("effdate").alias("firsteffdate"),

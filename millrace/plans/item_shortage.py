@@ -143,12 +143,12 @@ def shortage_detail(order_states: DataFrame, job_logs: DataFrame, store: DataFra
             .join(placed.select("orderjobid", F.col("ordered_time").cast("timestamp").alias("ordered_time")), "orderjobid", "left"))
     stock = stage(stock_levels(closing_stock, current_stock, as_of), "stock")
     at_order = asof_join(stage(rows, "short_items"), stock, {"sku_id": "sku"}, "ordered_time", "update_time",
-                         {"update_time": "inv_ordered_time", "sellable_units": "order_time_qty"})
+                         {"update_time": "inv_ordered_time", "sellable_units": "order_time_qty"}, bucket="hour")
     single = top1(at_order, ["orderjobid", "sku_id", "combo_sku_id"],
                   [F.col("inv_ordered_time").desc_nulls_first()] + [F.col(c).desc_nulls_last() for c in
                    ("ordered_qty", "const_qty", "vdc_ftr_time", "ordered_time", "delivery_type", "reason", "vdc_ftr_flag", "store_id", "dt")])
     at_event = asof_join(stage(single, "short_items"), stock, {"sku_id": "sku"}, "vdc_ftr_time", "update_time",
-                         {"update_time": "inv_vdc_ftr_time", "sellable_units": "vdc_ftr_time_qty"})
+                         {"update_time": "inv_vdc_ftr_time", "sellable_units": "vdc_ftr_time_qty"}, bucket="hour")
     named = items.select("sku_id", "item_code", "item_name")
     return (at_event.join(named, "sku_id", "left").join(stores.drop("store_name"), "store_id", "left")
             .select(F.to_date("ordered_time").alias("order_dt"), "store_id", "area", "city", "orderjobid", "sku_id", "combo_sku_id",

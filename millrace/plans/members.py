@@ -206,7 +206,7 @@ def covered_spans(e: Enrolment, coverage_code: DataFrame, as_of: date) -> DataFr
 def enrolment_dates(spans: DataFrame, as_of: date, bucket: Column | None = None) -> DataFrame:
     """Per member: start of the current stretch, end before the last gap, and whether a span is in force."""
     ties = ["coveragecodeid", "ratecode"]
-    gaps = span_gaps(spans, "memid", "effdate", "termdate", ties, bucket=F.trunc("effdate", "year") if bucket is None else bucket)
+    gaps = span_gaps(spans, "memid", "effdate", "termdate", ties, bucket=F.trunc("effdate", "month") if bucket is None else bucket)
     live = effective(F.col("effdate"), F.col("termdate"), as_of, strict=False)
     return gaps.groupBy("memid").agg(
         continuous_start("effdate").alias("firsteffdate"),

@@ -10,11 +10,12 @@ import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.dates import RunWindow
+from .staging import stage
 
 
 def _fs(spark: SparkSession, path: str):
@@ -133,15 +134,22 @@ def append_nonempty(df: DataFrame, path: str) -> bool:
 
 
 def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key is not in the target; duplicates inside the source all stay."""
-    return source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
+    """Source rows whose key is not in the target; duplicates inside the source all stay.
+
+    The target is cut down to the source's keys first. If those are few they are broadcast and a huge
+    target is only scanned, never shuffled; otherwise both joins share one partitioning of the target.
+    """
+    keys = list(keys)
+    present = target.select(*keys).join(source.select(*keys).distinct(), keys, "left_semi")
+    return source.join(present, keys, "left_anti").select(*source.columns)
 
 
 def merge_insert_only(source: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Insert-only MERGE: keys already in the target are left alone. Keys must not be NULL."""
     spark = source.sparkSession
-    rows = unmatched(source, spark.read.parquet(path), keys) if exists(spark, path) else source
-    append(rows, path)
+    if exists(spark, path):
+        source = unmatched(stage(source, "merge_source"), spark.read.parquet(path), keys)
+    append(source, path)
 
 
 def load_stamps(df: DataFrame, at: datetime, by: str) -> DataFrame:
