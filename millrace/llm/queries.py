@@ -6,20 +6,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.staging import fresh_path
-from . import bpe, langid, quality, warc
+from . import bpe, decontaminate, html_text, langid, pii, quality, secret_scan, warc
 from .arrow import documents
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_pii_boosting(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return pii.find(docs, pii.fit(docs))
+
+
 def op2_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(documents(spark, folder))
 
 
+def op3_tag_path_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(documents(spark, folder, "pages"))
+
+
 def op4_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder), TOKENIZER)
 
 
+def op6_wu_manber_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find(documents(spark, folder), documents(spark, folder, "benchmark"))
+
+
+def op8_trigram_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, folder))
+
+
 def op9_byte_cnn_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     net = langid.fit(docs.where(~langid.held_out()))
@@ -32,7 +49,9 @@ def op10_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return warc.headers(warc.read(spark, path))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_cascade, op4_bpe_automaton, op9_byte_cnn_language, op10_warc_revisits)}
+QUERIES = {f.__name__: f for f in (
+    op1_pii_boosting, op2_quality_cascade, op3_tag_path_text, op4_bpe_automaton, op6_wu_manber_decontamination,
+    op8_trigram_secrets, op9_byte_cnn_language, op10_warc_revisits)}
 
 _DIGEST = "||".join(f"substr('{warc._LETTERS}', 1 + ((('0x' || substr(h, {1 + 5 * (i // 4)}, 5))::INT >> {15 - 5 * (i % 4)}) & 31), 1)"
                     for i in range(32))
