@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.staging import fresh_path
-from . import bpe, decontaminate, html_text, jaccard, langid, pii, quality, secret_scan, warc
+from . import bpe, decontaminate, html_text, jaccard, langid, pii, quality, secret_scan, suffix, warc
 from .arrow import documents
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,10 @@ def op6_wu_manber_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.find(documents(spark, folder), documents(spark, folder, "benchmark"))
 
 
+def op7_bounded_interval_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.digests(documents(spark, folder))
+
+
 def op8_trigram_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan(documents(spark, folder))
 
@@ -55,8 +59,7 @@ def op10_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pii_boosting, op2_quality_cascade, op3_tag_path_text, op4_bpe_automaton, op5_parity_sketch_join,
-    op6_wu_manber_decontamination,
-    op8_trigram_secrets, op9_byte_cnn_language, op10_warc_revisits)}
+    op6_wu_manber_decontamination, op7_bounded_interval_dedup, op8_trigram_secrets, op9_byte_cnn_language, op10_warc_revisits)}
 
 _DIGEST = "||".join(f"substr('{warc._LETTERS}', 1 + ((('0x' || substr(h, {1 + 5 * (i // 4)}, 5))::INT >> {15 - 5 * (i % 4)}) & 31), 1)"
                     for i in range(32))
