@@ -119,7 +119,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     rows.append((page(head.get("WARC-Record-ID")), head.get("WARC-Target-URI"), head["WARC-Type"],
                                  page(head.get("WARC-Refers-To")), digest, payload,
                                  None if payload is None else len(payload)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), out)], schema=out)
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(out)],
+                                                 schema=out)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     return files.mapInArrow(run, schema)
