@@ -90,9 +90,9 @@ def classify_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Distinct status and priority of all orders on each customer's latest date."""
-    out = latest_rows_of(load(spark, folder, "orders"), ["o_custkey"], "o_orderdate",
-                         ["o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"])
+    """Distinct status and priority of all orders on each customer's latest date; some orders are undated."""
+    od = load(spark, folder, "orders").withColumn("o_orderdate", F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderdate")))
+    out = latest_rows_of(od, ["o_custkey"], "o_orderdate", ["o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"])
     return out.withColumn("o_orderdate", day_text("o_orderdate"))
 
 
@@ -230,7 +230,8 @@ ORACLE = {
             CASE WHEN o_orderpriority LIKE '%A%' THEN 'Group A' ELSE 'Group B' END, 0, 0, 0, count(*) FROM orders GROUP BY 1""",
     "latest_rows": """
         SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderstatus, o_orderpriority FROM (
-            SELECT * FROM orders QUALIFY dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) = 1)""",
+            SELECT * FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate END AS o_orderdate) FROM orders)
+            QUALIFY dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS FIRST) = 1)""",
     "asof_purchase": """
         SELECT b.event_id, b.user_id, coalesce(v.event_id, -1) AS view_id, coalesce(strftime(date_trunc('second', v.ts), '%Y-%m-%d %H:%M:%S.%g'), '') AS view_ts
         FROM (SELECT * FROM events WHERE event_type = 'purchase') b

@@ -14,17 +14,16 @@ from ..operators.nested import flatten
 from ..plans.payment_ledger import KEYS, load_payment_ledger, payment_ledger
 from ..sources.sinks import full_refresh, merge_insert_only
 from ..sources.staging import fresh_path
-from ..sources.tables import dealt_out
 from .common import job_input, load, text
 
-WINDOW = RunWindow(date(1995, 1, 1), date(2002, 12, 31))
+WINDOW = RunWindow(date(1995, 6, 1), date(2000, 12, 31))
 
 
 @job_input
 def payments(spark: SparkSession, folder: str) -> DataFrame:
-    """Every line item is a payment; returned ones carry refunds, and so on. Arrays have at most two elements."""
-    li = dealt_out(load(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"))
+    """Every line item is a payment; returned ones carry refunds, and so on. Arrays have at most three elements."""
+    li = load(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
     order, part, line = text("l_orderkey"), text("l_partkey"), text("l_linenumber")
     whole = text(F.col("l_quantity").cast("int"))
 
@@ -39,6 +38,10 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
     def array_if(test, *elements):
         return F.when(test, F.to_json(F.array(*elements))).otherwise(F.lit("[]"))
 
+    def swapped(text_):
+        """The same objects with their last key first."""
+        return F.regexp_replace(text_, r'\{(.*?),("bank":"[^"]*")\}', r'{$2,$1}')
+
     flag, none = F.col("l_returnflag"), F.lit(None).cast("string")
     sale = element(F.lit("alpha"), "SALE", whole, none)
     fee = element(F.lit("beta"), "FEE", F.lit("1"), none)
@@ -48,7 +51,7 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("timestamp").alias("created_at"), F.col("l_shipdate").cast("timestamp").alias("updated_at"),
         F.when(flag == "A", F.to_json(F.array(back))).alias("pg_chargeback"),
         array_if((flag == "A") & (F.col("l_linestatus") == "F"), sale).alias("pg_chargeback_reversal"),
-        array_if(flag == "R", back).alias("pg_refund"), F.to_json(F.array(sale, fee)).alias("pg_transaction"))
+        array_if(flag == "R", back).alias("pg_refund"), F.concat(F.lit("["), F.concat_ws(",", F.to_json(sale), F.to_json(fee), swapped(F.to_json(sale))), F.lit("]")).alias("pg_transaction"))
 
 
 def ledger_split(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,7 +99,8 @@ def json_lenient(spark: SparkSession, folder: str) -> DataFrame:
 _PAY = """
 li AS (SELECT CAST(l_orderkey AS VARCHAR) AS o, CAST(l_partkey AS VARCHAR) AS p, CAST(l_linenumber AS VARCHAR) AS n,
               CAST(l_suppkey AS VARCHAR) AS s, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS q, l_returnflag AS f,
-              l_linestatus AS st, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS moment FROM lineitem),
+              l_linestatus AS st, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS moment FROM lineitem
+       WHERE l_shipdate BETWEEN TIMESTAMP '1995-06-01' AND TIMESTAMP '2000-12-31'),
 parts AS (
   SELECT *, 'PG_CHARGEBACK' AS tag, 'alpha' AS pg, 'REFUND' AS kind, q AS amount, 'R' || o AS refund FROM li WHERE f = 'A'
   UNION ALL SELECT *, 'PG_CHARGEBACK_REVERSAL', 'alpha', 'SALE', q, NULL FROM li WHERE f = 'A' AND st = 'F'
@@ -109,9 +113,9 @@ ledger AS (
     amount AS amount_transferred_to_nodal, 'U' || p AS utr, coalesce(refund, '') AS refund_id, '' AS created_at, st AS paymentmode,
     f AS cardissuer, '' AS cardtype, st AS createdby, '' AS cardnumber, '' AS binnumber, '' AS cardlastfourdigits, '' AS authcode,
     '' AS bankreference, '' AS rrn, st AS lob, moment AS updated_at,
-    '{"pg":"(' || pg || ')","merchantId":"' || s || '","pgTransactionId":"' || p || '-' || n || '","transactionType":"' || kind
-      || '","pgTransactionAmount":"' || amount || '","amountTransferredToNodal":"' || amount || '","utr":"[\\"U' || p || '\\"]"'
-      || coalesce(',"pgRefundId":"' || refund || '"', '') || ',"paymentMode":"' || st || '","bank":"' || f || '"}' AS arr
+    '{"amountTransferredToNodal":"' || amount || '","bank":"' || f || '","merchantId":"' || s || '","paymentMode":"' || st || '","pg":"(' || pg || ')"'
+      || coalesce(',"pgRefundId":"' || refund || '"', '') || ',"pgTransactionAmount":"' || amount || '","pgTransactionId":"' || p || '-' || n
+      || '","transactionType":"' || kind || '","utr":"[\\"U' || p || '\\"]"}' AS arr
   FROM parts)
 """
 

@@ -12,15 +12,15 @@ from ..operators.aggregates import spread
 from ..operators.ordered import last_event, top1
 from ..operators.rows import in_window, on_day
 from ..plans import checkout_sessions as plan
-from ..sources.staging import stage
-from ..sources.tables import dealt_out
+from ..sources.staging import fresh_path, stage
+from ..sources.tables import read_csv
 from .common import day_text, job_input, load, text, time_text
 
-WINDOW = RunWindow(date(2024, 1, 1), date(2024, 1, 31))
+WINDOW = RunWindow(date(2024, 1, 3), date(2024, 1, 27))
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return dealt_out(load(spark, folder, "events")).select(
+    return load(spark, folder, "events").select(
         "event_id", "event_type", "value", "user_id", "ts", F.to_date("ts").alias("dt"),
         F.concat(F.lit("s"), text("user_id"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("sid"),
         F.get_json_object("props", "$.k").cast("int").alias("k"))
@@ -91,10 +91,13 @@ def session_fact(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("card").alias("composite_payment_method"), F.lit("gate").alias("payment_gateway"), F.col("k").alias("restaurant_id"),
         F.when(F.col("value") > 200, 1).otherwise(0).alias("ignore_order_flag"))
     paid = bought.select("dt", F.concat(F.lit("t"), text("event_id")).alias("order_id"),
-                         F.to_json(F.struct(text("event_id").alias("omsOrderId"))).alias("payment_details"))
+                         F.to_json(F.struct(F.lit("a, b").alias("note"), text("event_id").alias("omsOrderId"))).alias("payment_details"))
     cities = load(spark, folder, "nation").select(
         F.when(F.col("n_regionkey") != 4, F.concat(F.lit("tier"), text("n_regionkey"))).alias("classification"),
         F.col("n_name").alias("city_name"), F.when(F.col("n_regionkey") < 2, "1").otherwise("2").alias("launch_version"))
+    path = fresh_path(spark, "transactions")
+    paid.write.option("header", True).option("escape", '"').csv(path)
+    paid = read_csv(spark, path, "dt date, order_id string, payment_details string")
     state = stage(_state(spark, folder), "sessions")
     fact = plan.session_fact(checkout, state, _options(spark, folder, state), orders, paid, cities, WINDOW)
     return fact.withColumn("dt", day_text("dt"))
@@ -131,7 +134,8 @@ QUERIES = {
 }
 
 _E = """e AS (SELECT event_id, event_type AS t, value AS v, user_id AS u, CAST(ts AS DATE) AS dt, ts,
-    's' || user_id || '-' || strftime(ts, '%Y%m%d') AS sid, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)"""
+    's' || user_id || '-' || strftime(ts, '%Y%m%d') AS sid, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events
+    WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-27')"""
 _STATE = """po AS (SELECT DISTINCT sid, dt, sid AS dp FROM e WHERE t = 'purchase' AND v < 100),
 api AS (SELECT e.sid, e.dt, ts, k, dp, e.sid || '/' || hour(ts) // 6 AS rid,
           CASE WHEN t = 'view' THEN 'payment' WHEN t IN ('click', 'purchase') THEN 'checkout' ELSE 'cart' END AS page
@@ -163,7 +167,7 @@ opts AS (SELECT dt, sid, max(CASE WHEN grp = 'preferred' AND idx = 0 THEN code E
 
 ORACLE = {
     "scan_window": """
-        WITH r AS (SELECT CAST(ts AS DATE) AS day, 'date' AS kind, value FROM events
+        WITH r AS (SELECT CAST(ts AS DATE) AS day, 'date' AS kind, value FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-03' AND DATE '2024-01-27'
             UNION ALL SELECT CAST(ts AS DATE), 'time', value FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'
             UNION ALL SELECT CAST(ts AS DATE), 'single', value FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10')
         SELECT kind, strftime(day, '%Y-%m-%d') AS day, count(*) AS n_rows, round(sum(value), 2) AS total FROM r GROUP BY 1, 2""",

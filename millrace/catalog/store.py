@@ -1,7 +1,8 @@
 """Store operations on the test tables.
 
-Every event becomes a state change of an order (user x day); all of them are loaded on one day, so the
-single-day reports run over the whole table. Times keep their time of day but move to that load day.
+Every event becomes a state change of an order (user x day). Nine in ten are loaded on one day, the tenth
+on an earlier day that no report's window reaches, so that a missing date filter shows. Times keep their
+time of day but move to the load day.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from ..functions.dates import RunWindow, epoch_ms, minutes_between
 from ..functions.numbers import alert_reason, alert_status, kept_percent
 from ..plans import capacity, item_shortage, store_orders
 from ..plans.store_orders import PIGEON_HOLE
-from ..sources.tables import dealt_out
 from .common import day_text, job_input, load, rounded, text, time_text
 
 LOAD_DAY = date(2024, 1, 31)
+OTHER_DAY = date(2024, 1, 20)
 LOAD_DAY_MS = 1_706_659_200_000
 DAY_MS = 86_400_000
 NOW = datetime(2024, 1, 31, 12)
@@ -26,8 +27,9 @@ NOW = datetime(2024, 1, 31, 12)
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
-    return dealt_out(load(spark, folder, "events")).select(
-        "event_id", "event_type", "value", "user_id", F.lit(LOAD_DAY).alias("dt"),
+    return load(spark, folder, "events").select(
+        "event_id", "event_type", "value", "user_id",
+        F.when(F.col("event_id") % 10 == 3, F.lit(OTHER_DAY)).otherwise(F.lit(LOAD_DAY)).alias("dt"),
         F.concat(F.lit("o"), text("user_id"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("oid"),
         text("user_id").alias("store"), F.get_json_object("props", "$.k").cast("int").alias("k"),
         (F.unix_millis(ts) % DAY_MS + LOAD_DAY_MS).alias("ms"))
@@ -107,7 +109,7 @@ def store_city(spark: SparkSession, folder: str) -> DataFrame:
 def outlets(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "customer").select(
         F.col("c_nationkey").alias("store_id"), F.col("c_mktsegment").alias("city"), F.col("c_mktsegment").alias("outlet_name"),
-        F.date_add(F.lit(date(2024, 1, 1)), F.floor(F.col("c_acctbal") / 100).cast("int")).alias("date"))
+        F.when(F.col("c_custkey") % 40 != 0, F.date_add(F.lit(date(2024, 1, 1)), F.floor(F.col("c_acctbal") / 100).cast("int"))).alias("date"))
 
 
 def _temperature(spark, folder):
@@ -196,9 +198,9 @@ def stock_asof(spark: SparkSession, folder: str) -> DataFrame:
     area = nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("city_id"))
     city = region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
     closing = e.select(text("k").alias("sku"), F.floor("value").cast("bigint").alias("sellable"), epoch_ms(F.col("ms") - 2 * DAY_MS).alias("update_time"),
-                       F.lit(LOAD_DAY - timedelta(days=2)).alias("insert_date"),
+                       F.date_sub("dt", 2).alias("insert_date"),
                        F.when(F.col("event_type") == "signup", item_shortage.INWARD_AREA).otherwise("A").alias("loc"))
-    current = e.select(text("k").alias("sku"), (F.floor("value") * 2).cast("bigint").alias("sellable"),
+    current = e.where(F.col("dt") == F.lit(LOAD_DAY)).select(text("k").alias("sku"), (F.floor("value") * 2).cast("bigint").alias("sellable"),
                        F.when(F.col("event_type") != "click", F.floor("value")).cast("bigint").alias("ordered"), F.col("ms").alias("sellable_updated"))
     items = load(spark, folder, "part").groupBy("p_size").agg(F.min("p_brand").alias("item_code"), F.min("p_name").alias("item_name")).select(
         text("p_size").alias("sku_id"), "item_code", "item_name")
@@ -254,10 +256,11 @@ QUERIES = {
     "stock_asof": stock_asof, "fill_rate": fill_rate,
 }
 
-_E = f"""e AS (
+_E_ALL = f"""e AS (
   SELECT event_id, event_type AS t, value AS v, user_id AS u, 'o' || user_id || '-' || strftime(ts, '%Y%m%d') AS oid,
          CAST(user_id AS VARCHAR) AS store, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
          {LOAD_DAY_MS} + epoch_us(ts) // 1000 % {DAY_MS} AS ms FROM events)"""
+_E = _E_ALL[:-1] + " WHERE event_id % 10 <> 3)"
 _STATES = """st AS (
   SELECT *, CASE t WHEN 'view' THEN 'picking' WHEN 'click' THEN 'picked' WHEN 'purchase' THEN 'delivery_ready' WHEN 'signup' THEN 'assigned'
          ELSE CASE WHEN v < 10 THEN 'cancelled' ELSE 'un_assigned' END END AS state,
@@ -294,8 +297,9 @@ def _leg(a: str, b: str) -> str:
 
 
 _OUTLETS = """outl AS (SELECT DISTINCT store_id, city, outlet FROM (
-  SELECT CAST(c_nationkey AS VARCHAR) AS store_id, c_mktsegment AS city, c_mktsegment AS outlet, floor(c_acctbal / 100) AS d FROM customer)
-  QUALIFY dense_rank() OVER (PARTITION BY store_id ORDER BY d DESC) = 1)"""
+  SELECT CAST(c_nationkey AS VARCHAR) AS store_id, c_mktsegment AS city, c_mktsegment AS outlet,
+         CASE WHEN c_custkey % 40 <> 0 THEN floor(c_acctbal / 100) END AS d FROM customer)
+  QUALIFY dense_rank() OVER (PARTITION BY store_id ORDER BY d DESC NULLS FIRST) = 1)"""
 
 ORACLE = {
     "time_legs": """
@@ -303,7 +307,7 @@ ORACLE = {
                    min(ts) FILTER (event_type = 'click') AS c, min(ts) FILTER (event_type = 'purchase') AS p FROM events GROUP BY 1, 2)
         SELECT user_id, day, round(date_diff('second', v, c) / 60.0, 4) AS view_to_click,
                round(date_diff('second', c, p) / 60.0, 4) AS click_to_purchase, CAST(hour(p) AS INTEGER) AS hr FROM t WHERE p IS NOT NULL""",
-    "epoch_legs": f"""WITH {_E} SELECT t AS event_type, CAST(sum(ms - {LOAD_DAY_MS}) AS BIGINT) AS sum_exact,
+    "epoch_legs": f"""WITH {_E_ALL} SELECT t AS event_type, CAST(sum(ms - {LOAD_DAY_MS}) AS BIGINT) AS sum_exact,
         CAST(sum((ms + 500) // 1000 * 1000 - {LOAD_DAY_MS}) AS BIGINT) AS sum_round, CAST(sum(ms // 1000 * 1000 - {LOAD_DAY_MS}) AS BIGINT) AS sum_floor,
         {_ms_text('min(ms)')} AS first_exact, {_ms_text('max(ms) // 1000 * 1000')} AS last_cut FROM e GROUP BY 1""",
     "alerts": """

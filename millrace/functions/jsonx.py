@@ -28,3 +28,12 @@ def field(col: Column, path: str, kind: str = "string") -> Column:
 def inner_json(col: Column, outer: str, path: str, kind: str = "string") -> Column:
     """A value inside JSON that is itself held as text in a field of JSON (encoded twice)."""
     return field(F.get_json_object(col, f"$.{outer}"), path, kind)
+
+
+def canonical(col: Column, strict: bool = False) -> Column:
+    """JSON text in one form per value: keys sorted, no spaces, numbers as plain as they go (``1.50`` is ``1.5``).
+
+    Two objects that differ only in key order are one value in semi-structured columns. Bad text is NULL,
+    or fails the job when ``strict``.
+    """
+    return F.to_json((F.parse_json if strict else F.try_parse_json)(col))

@@ -35,6 +35,11 @@ def latest_by(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str]) -> DataFrame:
-    """Distinct ``cols`` of all rows carrying their key's greatest ``order`` (rows with a NULL order never win)."""
-    newest = df.groupBy(*keys).agg(F.max(order).alias(order))
-    return df.join(newest, [*keys, order], "left_semi").select(*cols).distinct()
+    """Distinct ``cols`` of all rows that come first in their key by ``order`` descending.
+
+    A NULL order comes before every value, as descending order has it in the source dialect: a key with
+    undated rows gives those.
+    """
+    best = df.groupBy(*keys).agg(F.max(order).alias("_newest"), F.bool_or(F.col(order).isNull()).alias("_undated"))
+    first = F.when(F.col("_undated"), F.col(order).isNull()).otherwise(F.col(order) == F.col("_newest"))
+    return df.join(best, [*keys]).where(first).select(*cols).distinct()

@@ -16,7 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.staging import use_checkpoint_dir
+from ..sources.staging import stage
 
 
 def top1(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -135,13 +135,12 @@ def global_rank(df: DataFrame, order: dict[str, bool], name: str) -> DataFrame:
 
     A window without a key would sort everything in one task. Instead the distinct order keys are
     range-partitioned, ranked inside each range, and shifted by the row count of the ranges before it.
-    The ranged keys are checkpointed because both steps must see the same range boundaries, also after
+    The ranged keys are written to the shared folder because both steps must see the same range boundaries, also after
     a lost executor. Ties collapse to one key row first, so a very common key does not fill one range.
     """
-    use_checkpoint_dir(df.sparkSession)
     sort = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in order.items()]
-    ranged = (df.groupBy(*order).agg(F.count("*").alias("_n")).repartitionByRange(*sort)
-              .withColumn("_range", F.spark_partition_id()).checkpoint())
+    ranged = stage(df.groupBy(*order).agg(F.count("*").alias("_n")).repartitionByRange(*sort)
+                   .withColumn("_range", F.spark_partition_id()), "ranged")
     per_range = ranged.groupBy("_range").agg(F.sum("_n").alias("_rows"))
     # one row per range, so the keyless window below is bounded by the partition count
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

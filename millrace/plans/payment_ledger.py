@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import RunWindow
-from ..functions.jsonx import parse, text_fields
+from ..functions.jsonx import canonical, parse, text_fields
 from ..functions.text import strip_list_marks, strip_parens, text_or_empty
 from ..operators.nested import tagged_elements
 from ..operators.rows import in_window
@@ -59,12 +59,13 @@ def payment_ledger(payments: DataFrame, window: RunWindow, strict: bool = True)
 
     Every ledger column follows from the payment's own columns, the kind and the element text, so rows are
     made distinct on those seven before the fields are read: the shuffle carries each element once as text
-    and the parse runs after it, once per distinct element. Bad JSON fails the job unless ``strict`` is off.
+    and the fields are read after it, once per distinct element. Elements that differ only in the order of
+    their keys are one; their text is the form with sorted keys. Bad JSON fails the job unless ``strict`` is off.
     """
     base = in_window(payments, "updated_at", window).select(
         "order_id", text_or_empty(F.col("transaction_id")).alias("txn_id"), text_or_empty(F.col("lob")).alias("lob"),
         text_or_empty(F.col("created_at")).alias("created_at"), text_or_empty(F.col("updated_at")).alias("updated_at"), *SOURCES)
-    rows = tagged_elements(base, SOURCES, "description", "arr", strict).distinct()
+    rows = tagged_elements(base, SOURCES, "description", "arr", strict).withColumn("arr", canonical(F.col("arr"), strict)).distinct()
     rows = rows.withColumn("e", parse(F.col("arr"), text_fields(sorted(set(FIELDS.values())))))
     read = {out: text_or_empty((strip_list_marks if out == "utr" else strip_parens)(F.col(f"e.{name}"))).alias(out)
             for out, name in FIELDS.items()}

@@ -1,7 +1,9 @@
 """Loads into Parquet folders.
 
 Replacing loads write beside the target first and swap whole folders by rename, so the plan may read
-its own target, a failed job leaves the target as it was, and the driver touches metadata only.
+its own target, and a load that fails puts back what it had moved. Adding loads leave the commit to
+Spark and keep the partition folders that the target has. The driver touches folder names only. A
+folder without data files counts as no target: rows loaded into it set its columns anew.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.dates import RunWindow
-from .staging import stage
+from .staging import stage, unstage
 
 
 def _fs(spark: SparkSession, path: str):
@@ -50,8 +52,27 @@ def _day(text: str) -> date | None:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the target holds a data file."""
     fs, make = _fs(spark, path)
-    return fs.exists(make(path))
+    if not fs.exists(make(path)):
+        return False
+    files = fs.listFiles(make(path), True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def layout(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a target, outermost first."""
+    fs, make = _fs(spark, path)
+    folder, out = make(path), []
+    while True:
+        below = [s.getPath() for s in fs.listStatus(folder) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not below:
+            return out
+        folder = below[0]
+        out.append(folder.getName().split("=")[0])
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -70,24 +91,37 @@ def replace_window(df: DataFrame, path: str, part_col: str, window: RunWindow) -
     """Target rows dated in the window give way to ``df``; days the new rows leave empty disappear.
 
     The target is partitioned by the date column ``part_col``. New rows dated outside the window are
-    added to their day.
+    added to their day. The window's old days are moved aside and deleted last; a failure on the way
+    moves everything back.
     """
-    staged = _beside(path, "staged")
+    spark = df.sparkSession
+    staged, aside = _beside(path, "staged"), _beside(path, "old")
     df.write.partitionBy(part_col).parquet(staged)
-    fs, make = _fs(df.sparkSession, path)
+    fs, make = _fs(spark, path)
+
+    def inside(value: str) -> bool:
+        day = _day(value)
+        return day is not None and window.start <= day <= window.end
+
     new, current = _partitions(fs, make, staged, part_col), _partitions(fs, make, path, part_col)
+    moves = [(folder, make(f"{aside}/{part_col}={value}")) for value, folder in current.items() if inside(value)]
+    moves += [(folder, make(f"{path}/{part_col}={value}")) for value, folder in new.items() if inside(value)]
+    others = [folder.toString() for value, folder in new.items() if not inside(value)]
+    done = []
     fs.mkdirs(make(path))
-    for value, folder in current.items():
-        day = _day(value)
-        if day is not None and window.start <= day <= window.end:
-            fs.delete(folder, True)
-    for value, folder in new.items():
-        target = make(f"{path}/{part_col}={value}")
-        if not fs.exists(target):
-            _move(fs, folder, target)
-        else:
-            for f in fs.listStatus(folder):
-                _move(fs, f.getPath(), make(f"{target.toString()}/{f.getPath().getName()}"))
+    fs.mkdirs(make(aside))
+    try:
+        for src, dst in moves:
+            _move(fs, src, dst)
+            done.append((src, dst))
+        if others:
+            rest = spark.read.schema(df.schema).option("basePath", staged).parquet(*others)
+            rest.write.mode("append").partitionBy(part_col).parquet(path)
+    except BaseException:
+        for src, dst in reversed(done):
+            _move(fs, dst, src)
+        raise
+    fs.delete(make(aside), True)
     fs.delete(make(staged), True)
 
 
@@ -109,27 +143,30 @@ def align_to(df: DataFrame, schema: StructType) -> DataFrame:
     ])
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Add rows, aligned by name to the target when it exists."""
+def _fitted(df: DataFrame, path: str, partition_by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Rows in the target's columns and the target's partition columns; as given where there is no target."""
     spark = df.sparkSession
-    rows = align_to(df, spark.read.parquet(path).schema) if exists(spark, path) else df
-    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+    if not exists(spark, path):
+        return df, list(partition_by)
+    parts = layout(spark, path)
+    if partition_by and list(partition_by) != parts:
+        raise ValueError(f"{path} is partitioned by {parts}, not by {list(partition_by)}")
+    return align_to(df, spark.read.parquet(path).schema), parts
 
 
-def append_nonempty(df: DataFrame, path: str) -> bool:
-    """Append unless there is nothing to append. The plan runs once: emptiness is read off the staged files."""
-    spark = df.sparkSession
-    rows = align_to(df, spark.read.parquet(path).schema) if exists(spark, path) else df
-    staged = _beside(path, "staged")
-    rows.write.parquet(staged)
-    fs, make = _fs(spark, path)
-    filled = not spark.read.schema(rows.schema).parquet(staged).isEmpty()
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Add rows, aligned by name to the target and in its partition folders when it exists."""
+    rows, parts = _fitted(df, path, partition_by)
+    rows.write.mode("append").partitionBy(*parts).parquet(path)
+
+
+def append_nonempty(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bool:
+    """Append unless there is nothing to append. The plan runs once, into the shared folder."""
+    rows = stage(df, "append")
+    filled = not rows.isEmpty()
     if filled:
-        fs.mkdirs(make(path))
-        for f in fs.listStatus(make(staged)):
-            if f.getPath().getName().startswith("part-"):
-                _move(fs, f.getPath(), make(f"{path}/{f.getPath().getName()}"))
-    fs.delete(make(staged), True)
+        append(rows, path, partition_by)
+    unstage(rows)
     return filled
 
 
@@ -144,12 +181,17 @@ def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     return source.join(present, keys, "left_anti").select(*source.columns)
 
 
-def merge_insert_only(source: DataFrame, path: str, keys: Sequence[str]) -> None:
+def merge_insert_only(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
     """Insert-only MERGE: keys already in the target are left alone. Keys must not be NULL."""
     spark = source.sparkSession
     if exists(spark, path):
         source = unmatched(stage(source, "merge_source"), spark.read.parquet(path), keys)
-    append(source, path)
+    append(source, path, partition_by)
+
+
+def insert_into(df: DataFrame, name: str) -> None:
+    """Add rows to a catalog table, aligned by name to the schema that the catalog holds for it."""
+    align_to(df, df.sparkSession.table(name).schema).write.insertInto(name)
 
 
 def load_stamps(df: DataFrame, at: datetime, by: str) -> DataFrame:

@@ -2,39 +2,45 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a local temporary folder only when Spark itself is local."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset, a folder in the warehouse, which is shared too."""
     given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_dir()
+    return (given or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged").rstrip("/")
 
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="millrace-")
-
-
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+def _session_dir(spark: SparkSession) -> str:
+    """A folder of this application; Hadoop removes it with all it holds when the application ends."""
+    path = f"{shared_dir(spark)}/millrace-{spark.sparkContext.applicationId}"
+    make = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = make.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(make)
+    fs.deleteOnExit(make)
+    return path
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write once, read many: for a result that several later steps use. Cuts the lineage too."""
+    """Write once, read many: for a result that several later steps use. Cuts the lineage too.
+
+    Runs at once, so a plan that stages a step is not lazy up to that step.
+    """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a staged frame that nothing reads any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        break

@@ -17,19 +17,14 @@ def parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def dealt_out(df: DataFrame) -> DataFrame:
-    """For per-row heavy work such as JSON on a table too small to be read by all cores.
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """CSV with a header line and a declared schema (no inference pass).
 
-    A single small file is one task however many cores there are. Tables with enough splits are left
-    alone, so large inputs never pay for this shuffle.
+    A quote inside a quoted field is doubled, as in JSON fields. Fields that hold line breaks need
+    ``multi_line``; a file is then one task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header line and a declared schema (no inference pass)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return (spark.read.schema(schema).option("header", True).option("escape", '"')
+            .option("multiLine", multi_line).csv(path))
 
 
 def lookup(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:

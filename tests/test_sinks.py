@@ -94,15 +94,72 @@ def test_stage_cuts_lineage(spark, rows):
     assert "Range" not in out._jdf.queryExecution().executedPlan().toString()
 
 
-def test_cluster_without_shared_folder_is_refused():
-    class Conf:
-        get = staticmethod(lambda key, default=None: default)
+def test_staged_files_live_in_the_shared_folder(spark):
+    out = staging.stage(spark.range(3), "nums")
+    assert all(spark.conf.get("spark.checkpoint.dir") in f for f in out.inputFiles())
+    staging.unstage(out)
+    with pytest.raises(Exception):
+        out.count()
 
-    class Context:
-        master = "spark://host:7077"
+
+def test_shared_folder_without_the_setting_is_in_the_warehouse():
+    class Conf:
+        get = staticmethod(lambda key, default=None: {"spark.sql.warehouse.dir": "hdfs://x/warehouse"}.get(key, default))
 
     class Session:
-        conf, sparkContext = Conf, Context
+        conf = Conf
+
+    assert staging.shared_dir(Session) == "hdfs://x/warehouse/_staged"
+
+
+def test_appends_keep_the_layout_of_the_target(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.full_refresh(frame(spark, (1, "a")), path, ["dt"])
+    assert sinks.append_nonempty(frame(spark, (2, "b")), path)
+    sinks.append(frame(spark, (1, "c")), path)
+    sinks.merge_insert_only(frame(spark, (2, "b"), (3, "d")), path, ["v"])
+    assert sinks.layout(spark, path) == ["dt"]
+    got = spark.read.parquet(path)
+    assert rows(got.select(F.dayofmonth("dt"), "v")) == [(1, "a"), (1, "c"), (2, "b"), (3, "d")]
+    with pytest.raises(ValueError, match="partitioned"):
+        sinks.append(frame(spark, (1, "e")), path, ["v"])
+
+
+def test_loads_after_everything_was_purged(spark, rows, tmp_path):
+    for load in (sinks.append, sinks.append_nonempty, lambda df, p, by: sinks.merge_insert_only(df, p, ["v"], by)):
+        path = str(tmp_path / load.__name__.strip("<>"))
+        sinks.full_refresh(frame(spark, (1, "a")), path, ["dt"])
+        sinks.purge_before(spark, path, "dt", date(2024, 2, 1))
+        assert not sinks.exists(spark, path)
+        load(frame(spark, (2, "b")), path, ["dt"])
+        assert rows(spark.read.parquet(path).select("v")) == [("b",)] and sinks.layout(spark, path) == ["dt"]
+
+
+def test_failed_window_load_puts_the_old_days_back(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.full_refresh(frame(spark, (1, "a"), (2, "b"), (3, "c")), path, ["dt"])
+    move, calls = sinks._move, []
+
+    def third_time_fails(fs, src, dst):
+        calls.append(src)
+        if len(calls) == 3:
+            raise IOError("no")
+        move(fs, src, dst)
+
+    monkeypatch.setattr(sinks, "_move", third_time_fails)
+    with pytest.raises(IOError):
+        sinks.replace_window(frame(spark, (2, "B")), path, "dt", RunWindow(date(2024, 1, 2), date(2024, 1, 3)))
+    assert rows(spark.read.parquet(path).select("v")) == [("a",), ("b",), ("c",)]
+
+
+def test_json_in_csv(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('id,details\n1,"{""omsOrderId"":""77"",""x"":""a,b""}"\n')
+    row = tables.read_csv(spark, str(path), "id int, details string").select("id", F.get_json_object("details", "$.omsOrderId")).first()
+    assert tuple(row) == (1, "77")
+
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        staging.shared_dir(Session)
+def test_insert_into_catalog_table(spark, rows):
+    sinks.save_report(spark.createDataFrame([(1, "a")], "id int, v string"), "grown")
+    sinks.insert_into(spark.createDataFrame([("b", "2", 0)], "V string, ID string, extra int"), "grown")
+    assert rows(spark.table("grown")) == [(1, "a"), (2, "b")]
