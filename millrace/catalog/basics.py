@@ -12,7 +12,7 @@ from ..functions.text import classify_like, clean, ieq, like_any, mask_prefix, w
 from ..operators.aggregates import latest_rows as latest_rows_of
 from ..operators.joins import cast_key, not_in
 from ..operators.ordered import asof_join, global_rank, numbered
-from ..plans import player_score
+from ..plans import player_score, report_loads
 from ..plans.members import line_of_business, population_group
 from ..plans.sales_summary import sales_summary as build_sales_summary
 from ..sources.staging import fresh_path
@@ -45,7 +45,7 @@ def clean_dims(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("segment", "nation", "tag").agg(F.count("*").alias("n_rows"), sum_text(F.col("amount")).alias("total"))
 
 
-def sales_summary(spark: SparkSession, folder: str) -> DataFrame:
+def _sales_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Every line item is a sale of its customer; parts carry plans and up to two promotions."""
     li, od, cust = (load(spark, folder, t) for t in ("lineitem", "orders", "customer"))
     nation, part = load(spark, folder, "nation"), load(spark, folder, "part")
@@ -67,10 +67,28 @@ def sales_summary(spark: SparkSession, folder: str) -> DataFrame:
         text("p_partkey").alias("productlevelcode"), F.concat(F.lit(" "), F.col("p_type")).alias("promotiondescription"),
         F.when(F.col("i") == 1, "1999-01-01").otherwise("bad date").alias("effectivefrom"), F.lit(None).cast("string").alias("effectiveto"))
     out = build_sales_summary(sales, company, geography, product, plan, outlet, activation, AS_OF)
+    return out
+
+
+def _shown_sales(out: DataFrame) -> DataFrame:
     return rounded(out, "average_volume").withColumns(
         {c: F.coalesce(day_text(c), F.lit("")) for c in ("effective_date_range_start", "effective_date_range_end")})
 
 
+def sales_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown_sales(_sales_summary(spark, folder))
+
+
+def loaded_sales_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary appended to a target with other column order, and an empty batch after it that changes nothing."""
+    path = fresh_path(spark, "sales_summary")
+    out = _sales_summary(spark, folder)
+    report_loads.load_sales_summary(out.select(*out.columns[::-1]).limit(0), path)
+    report_loads.load_sales_summary(out, path)
+    report_loads.load_sales_summary(out.where("false"), path)
+    return _shown_sales(spark.read.parquet(path))
+
+
 RULES = [("%ECONOMY%", "cheap"), (["%pro_o%", "%promo x%"], "campaign"), ("medium%", "middle"), ("%econ%", "never reached")]
 
 
@@ -170,7 +188,7 @@ def player360(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "csv_lookup": csv_lookup, "clean_dims": clean_dims, "sales_summary": sales_summary, "classify_rules": classify_rules,
+    "csv_lookup": csv_lookup, "clean_dims": clean_dims, "sales_summary": sales_summary, "loaded_sales_summary": loaded_sales_summary, "classify_rules": classify_rules,
     "latest_rows": latest_rows, "asof_purchase": asof_purchase, "order_number": order_number, "quantity_rank": quantity_rank,
     "key_cast_join": key_cast_join, "anti_join": anti_join, "player360": player360,
 }
@@ -251,3 +269,4 @@ ORACLE = {
             count(*) AS n_rows FROM orders GROUP BY 1, 2""",
     "player360": f"WITH {_PLAYERS} " + " UNION ALL ".join(_player_sql(n, **a) for n, a in SETTINGS.items()),
 }
+ORACLE["loaded_sales_summary"] = ORACLE["sales_summary"]

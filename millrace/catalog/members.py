@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,9 @@ from ..functions.text import first_match
 from ..operators.rows import effective_at
 from ..operators.spans import continuous_start, span_gaps, term_before_gap
 from ..plans import members as plan
+from ..plans.report_loads import load_member_report
 from ..sources.staging import stage
+from ..sources.tables import table
 from .common import day_text, job_input, load, text
 
 AS_OF = date(1999, 6, 1)
@@ -205,7 +208,10 @@ def member_overlay(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def member_report(spark: SparkSession, folder: str) -> DataFrame:
-    out = plan.member_report(_overlaid(spark, folder), NOW)
+    """The report, written to a catalog table and read back."""
+    name = f"member_report_{uuid.uuid4().hex}"
+    load_member_report(plan.member_report(_overlaid(spark, folder), NOW), name)
+    out = table(spark, name)
     return out.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")).alias(c.replace(" ", "_")) for c in out.columns])
 
 

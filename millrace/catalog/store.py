@@ -7,6 +7,8 @@ time of day but move to the load day.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import RunWindow, epoch_ms, minutes_between
 from ..functions.numbers import alert_reason, alert_status, kept_percent
-from ..plans import capacity, item_shortage, store_orders
+from ..plans import capacity, item_shortage, report_loads, store_orders
 from ..plans.store_orders import PIGEON_HOLE
+from ..sources.staging import fresh_path
 from .common import day_text, job_input, load, rounded, text, time_text
 
 LOAD_DAY = date(2024, 1, 31)
@@ -139,6 +142,10 @@ def order_legs(spark: SparkSession, folder: str) -> DataFrame:
     s = lambda f: f(spark, folder)
     out = store_orders.order_time_legs(
         s(order_states), s(order_events), s(order_confirm), s(pigeon_hole), s(store_city), s(job_logs), s(_temperature), LOAD_DAY)
+    return _shown_legs(out)
+
+
+def _shown_legs(out: DataFrame) -> DataFrame:
     return rounded(out, *LEGS).select(
         "orderjobid", "slotted", "store_id", "city", "status", "del_flag", "ftr_flag", F.round("qty_diff", 2).alias("qty_diff"), "temp_sens",
         *LEGS, time_text("ordered_time").alias("ordered_time"), time_text("vendor_ph_time").alias("vendor_ph_time"),
@@ -146,13 +153,20 @@ def order_legs(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("unassigned_flag", F.lit(0)).alias("unassigned_flag"), F.coalesce("hr", F.lit(-1)).alias("hr"))
 
 
+def _active(spark: SparkSession, folder: str) -> DataFrame:
+    return _stores(spark, folder).select(F.col("user_id").alias("store_id"), F.lit("Instacart").alias("type"),
+                                         F.lit(LOAD_DAY - timedelta(days=2)).alias("dt"))
+
+
 def leg_alerts(spark: SparkSession, folder: str) -> DataFrame:
     s = lambda f: f(spark, folder)
-    active = _stores(spark, folder).select(F.col("user_id").alias("store_id"), F.lit("Instacart").alias("type"),
-                                           F.lit(LOAD_DAY - timedelta(days=2)).alias("dt"))
     out = store_orders.time_leg_alerts(
         s(order_states), s(order_events), s(order_confirm), s(pigeon_hole), s(store_city), s(job_logs), s(_temperature),
-        active, s(outlets), LOAD_DAY, LOAD_DAY - timedelta(days=2), NOW)
+        s(_active), s(outlets), LOAD_DAY, LOAD_DAY - timedelta(days=2), NOW)
+    return _shown_alerts(out)
+
+
+def _shown_alerts(out: DataFrame) -> DataFrame:
     return rounded(out, "avg_o2c", "avg_p2b", "avg_c2p", "avg_o2b").select(
         day_text("dt").alias("dt"), "city", "store_id", "status", "slotted", "avg_o2c", "avg_p2b", "avg_c2p", "avg_o2b",
         "alert_status", "reason", "store_name", time_text("last_updated_data_at").alias("last_updated_data_at"))
@@ -210,14 +224,53 @@ def stock_asof(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumns({c: time_text(c) for c in times} | {"order_dt": day_text("order_dt")})
 
 
-def fill_rate(spark: SparkSession, folder: str) -> DataFrame:
+def _fill_rate_items(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     items = load(spark, folder, "part").select(F.col("p_size").alias("store_id"))
     mim = load(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("store_id"), F.when(F.col("s_acctbal") > 4000, F.lit(LOAD_DAY)).otherwise(F.lit(date(2030, 1, 1))).alias("date"))
+    return items, mim
+
+
+def fill_rate(spark: SparkSession, folder: str) -> DataFrame:
+    items, mim = _fill_rate_items(spark, folder)
     out = item_shortage.fill_rate_alert(order_states(spark, folder), job_logs(spark, folder), items, mim, outlets(spark, folder), LOAD_DAY, NOW)
     return out.withColumn("updated_time", time_text("updated_time"))
 
 
+@functools.cache
+def _run_of(application: str, spark: SparkSession, folder: str) -> dict[str, str]:
+    """One store run, twice over the same targets: the day's events are staged once, each report is loaded from them."""
+    s = lambda f: f(spark, folder)
+    window = RunWindow.ending(LOAD_DAY, 1)
+    day = report_loads.staged_day(report_loads.StoreTables(
+        s(order_states), s(order_events), s(order_confirm), s(pigeon_hole), s(job_logs), s(store_city)), window)
+    paths = {name: fresh_path(spark, name) for name in ("temp_flag", "state_events", "order_legs", "leg_alerts", "fill_rate", "hour_capacity")}
+    for _ in range(2):
+        report_loads.load_temperature_flags(day, window, paths["temp_flag"])
+        flags = spark.read.parquet(paths["temp_flag"])
+        report_loads.load_state_events(day, LOAD_DAY, paths["state_events"])
+        report_loads.load_order_legs(day, flags, LOAD_DAY, paths["order_legs"])
+        report_loads.load_leg_alerts(day, flags, s(_active), s(outlets), LOAD_DAY, NOW, paths["leg_alerts"])
+        report_loads.load_fill_rate(day, *_fill_rate_items(spark, folder), s(outlets), LOAD_DAY, NOW, paths["fill_rate"])
+        report_loads.load_report(s(hour_capacity), paths["hour_capacity"])
+    return paths
+
+
+def _loaded(name: str, shown: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return shown(spark.read.parquet(_run_of(spark.sparkContext.applicationId, spark, folder)[name]))
+    return query
+
+
+LOADED = {
+    "loaded_temp_flag": _loaded("temp_flag", lambda df: df.select(day_text("dt").alias("dt"), "temp_sens", "orderjobid")),
+    "loaded_order_legs": _loaded("order_legs", _shown_legs),
+    "loaded_leg_alerts": _loaded("leg_alerts", _shown_alerts),
+    "loaded_fill_rate": _loaded("fill_rate", lambda df: df.withColumn("updated_time", time_text("updated_time"))),
+    "loaded_hour_capacity": _loaded("hour_capacity", lambda df: df),
+}
+
+
 def time_legs(spark: SparkSession, folder: str) -> DataFrame:
     """First view, click and purchase of a user's day and the minutes between them, for days with a purchase."""
     ev = load(spark, folder, "events").withColumn("day", F.to_date("ts"))
@@ -253,7 +306,7 @@ def alerts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "time_legs": time_legs, "epoch_legs": epoch_legs, "alerts": alerts, "state_events": state_events, "temp_flag": temp_flag,
     "ftr_qty": ftr_qty, "order_legs": order_legs, "leg_alerts": leg_alerts, "hour_capacity": hour_capacity,
-    "stock_asof": stock_asof, "fill_rate": fill_rate,
+    "stock_asof": stock_asof, "fill_rate": fill_rate, **LOADED,
 }
 
 _E_ALL = f"""e AS (
@@ -418,3 +471,4 @@ ORACLE = {
             '2024-01-31 12:00:00.000' AS updated_time
         FROM p LEFT JOIN outl ON outl.store_id = p.store""",
 }
+ORACLE |= {name: ORACLE[name.removeprefix("loaded_")] for name in LOADED}
