@@ -84,7 +84,8 @@ def order_confirm(spark: SparkSession, folder: str) -> DataFrame:
 def pigeon_hole(spark: SparkSession, folder: str) -> DataFrame:
     return _events(spark, folder).select(
         "dt", F.when(F.col("event_type") == "error", PIGEON_HOLE).otherwise("other").alias("object_name"),
-        F.col("oid").alias("object_value"), epoch_ms(F.col("ms")).alias("time_stamp"))
+        F.col("oid").alias("object_value"),
+        F.when(F.col("k") < 50, text("ms")).otherwise(text(epoch_ms(F.col("ms")))).alias("time_stamp"))
 
 
 @job_input

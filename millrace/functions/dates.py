@@ -45,6 +45,20 @@ def epoch_ms(col: Column, precision: str = "exact") -> Column:
     raise ValueError(f"unknown precision {precision!r}")
 
 
+def instant(col: Column) -> Column:
+    """Text or number to timestamp. Whole numbers, also as text, count seconds, milliseconds, microseconds or
+    nanoseconds since the epoch by their size, as in the source dialect; other text is read as a timestamp.
+    """
+    written = F.trim(col.cast("string"))
+    number = F.when(written.rlike("^-?[0-9]{1,19}$"), written).try_cast("bigint")
+    size = F.abs(number)
+    return (F.when(size < 31_536_000_000, F.timestamp_seconds(number))
+            .when(size < 31_536_000_000_000, F.timestamp_millis(number))
+            .when(size < 31_536_000_000_000_000, F.timestamp_micros(number))
+            .when(number.isNotNull(), F.timestamp_micros(F.floor(number / 1000)))
+            .otherwise(F.try_to_timestamp(written)))
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Second boundaries crossed from start to end (not whole elapsed seconds)."""
     return F.unix_timestamp(end) - F.unix_timestamp(start)

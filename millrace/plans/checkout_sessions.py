@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import RunWindow
+from ..functions.dates import RunWindow, instant
 from ..functions.jsonx import field, parse
 from ..functions.numbers import if_matched
 from ..functions.text import first_match
@@ -34,14 +34,14 @@ def payment_sessions(place_order: DataFrame, payment_api: DataFrame, window: Run
     instead of multiplying rows. Session-wide flags need every event of a session; to keep a huge session
     out of one task, its events first shrink to the latest one per combination of flags.
     """
-    placed = (in_window(place_order, "dt", window).filter(field(F.col("request_params"), "place_order_source") == PLACED_FROM)
+    placed = (in_window(place_order, "dt", window).filter(parse(F.col("request_params"), "struct<place_order_source:string>", strict=True)["place_order_source"] == PLACED_FROM)
               .select("dt", F.col("sid").alias("dp_sid")).distinct().withColumn("sid", F.col("dp_sid")))
     basic = parse(F.col("basic_data"), "struct<sid:string,request_id:string>", strict=True)
     groups = parse(F.col("payment_group"), "array<struct<group_name:string>>")
     named = lambda name: F.exists(F.col("_groups"), lambda g: F.coalesce(g["group_name"] == name, F.lit(False))).cast("int")
     events = (in_window(payment_api, "dt", window).filter(F.col("tenant").isin(TENANTS))
               .withColumns({"_basic": basic, "_groups": groups}).filter(F.size("_groups") > 0)
-              .select("dt", "time_stamp", F.col("_basic.request_id").alias("request_id"), F.col("_basic.sid").alias("sid"),
+              .select("dt", instant(F.col("time_stamp")).alias("time_stamp"), F.col("_basic.request_id").alias("request_id"), F.col("_basic.sid").alias("sid"),
                       field(F.col("additional_details"), "page_visited").alias("page"), "payment_group",
                       named("single_click").alias("_tc"), named("preferred").alias("_pref"))
               .join(placed, ["sid", "dt"], "left"))

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import RunWindow, epoch_ms, minutes_between, stamp
+from ..functions.dates import RunWindow, epoch_ms, instant, minutes_between, stamp
 from ..functions.jsonx import parse
 from ..functions.numbers import alert_reason, alert_status
 from ..functions.text import ieq, unquoted
@@ -102,7 +102,7 @@ def _confirmed(order_confirm: DataFrame, as_of: date) -> DataFrame:
 
 def _parked(pigeon_hole: DataFrame, as_of: date) -> DataFrame:
     rows = on_day(pigeon_hole, "dt", as_of).filter(F.col("object_name") == PIGEON_HOLE)
-    return rows.groupBy("object_value").agg(F.max(F.col("time_stamp").cast("timestamp")).alias("vendor_ph_time"))
+    return rows.groupBy("object_value").agg(F.max(instant(F.col("time_stamp"))).alias("vendor_ph_time"))
 
 
 def _rider(job_logs: DataFrame, as_of: date, precision: str) -> DataFrame:

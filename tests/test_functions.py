@@ -108,3 +108,17 @@ def test_care_stream(spark, code, sex, age, stream):
 ])
 def test_building_rules_keep_their_order(spark, addr, other, city, name):
     assert value(spark, b=building(*[lit(v, "string") for v in (addr, other, city)]))["b"] == name
+
+
+def test_instant_reads_numbers_and_text(spark):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from millrace.functions.dates import instant
+
+    texts = ["1704067200", "1704067200123", "1704067200123456", "1704067200123456789", "2024-01-01 00:00:00", " 2024-01-01 ", "soon", None]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(instant(F.col("t"))).collect()]
+    day = datetime(2024, 1, 1)
+    assert got == [day, day.replace(microsecond=123000), day.replace(microsecond=123456), day.replace(microsecond=123456), day, day, None, None]
+    assert spark.range(1).select(instant(F.lit(1704067200123))).first()[0] == day.replace(microsecond=123000)
