@@ -6,8 +6,9 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 Piece = dict[str, list]
 Work = Callable[[Piece], Piece]
@@ -46,3 +47,12 @@ def map_pieces(df: DataFrame, schema: str, start: Callable[[], Work]) -> DataFra
 
 def documents(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def hash_share(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
+    """A little more than ``rows`` rows (all, if there are not more), chosen by a hash of ``key``: the same at every run.
+
+    A filter, so nothing is sorted or gathered to find them.
+    """
+    share = min(1.0, (1.1 * rows + 100) / max(1, df.count()))
+    return df.where(F.xxhash64(F.lit(seed), F.col(key)) <= F.lit(min(int((share - 0.5) * 2.0 ** 64), (1 << 63) - 1)))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import Piece, map_pieces, pieces
+from .arrow import Piece, hash_share, map_pieces, pieces
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -152,9 +152,9 @@ class Predictor:
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", doc_id: str = "doc_id",
         docs: int = TRAIN_DOCS) -> Network:
     """Train on ``docs`` rows chosen by a hash of their id (a bounded sample); rows with a null label are left out."""
-    chosen = (labelled.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"),
-                              F.col(label).cast("string").alias("label"))
-              .where(F.col("label").isNotNull() & F.col("text").isNotNull()))
+    known = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+    chosen = (hash_share(known, doc_id, docs, 11).select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"),
+                              F.col(label).cast("string").alias("label")))
     # spread over the whole text: window n of TRAIN_WINDOWS starts at its n-th part
     size = F.greatest(F.lit(0), F.length("text") - WINDOW)
     windows = F.transform(F.sequence(F.lit(0), F.lit(TRAIN_WINDOWS - 1)), lambda n: F.substring(

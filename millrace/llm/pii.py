@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
-from .arrow import Piece, map_pieces, pieces
+from .arrow import Piece, hash_share, map_pieces, pieces
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 4000
@@ -192,8 +192,9 @@ class Detector:
 
 def fit(df: DataFrame, doc_id: str = "doc_id", text: str = "text", docs: int = TRAIN_DOCS, rows: int = TRAIN_ROWS) -> Detector:
     """Trees, calibration and thresholds from a bounded sample."""
-    sample = (df.select(F.col(text).cast("string").alias("text"), F.xxhash64(F.lit(3), F.col(doc_id)).alias("h"))
-              .where(F.col("text").isNotNull()).orderBy("h", "text").limit(docs))
+    sample = (hash_share(df, doc_id, docs, 3).where(F.col(text).isNotNull())
+              .select(F.col(text).cast("string").alias("text"), F.xxhash64(F.lit(3), F.col(doc_id)).alias("h"))
+              .orderBy("h", "text").limit(docs))
 
     def start():
         def work(piece: Piece) -> Piece:
