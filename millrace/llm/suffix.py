@@ -6,7 +6,7 @@ windows of one name can be judged apart from the others:
 1. Every text is cut into runs of windows that share a name. Names, a hash of the run's bytes and its place are
    shuffled by name, packed. Runs with equal bytes keep their first occurrence, the others are ranges to remove.
 2. A name with several different runs, or one that may repeat inside a run, sends the runs' bytes on. They are shuffled
-   by name again; whole names are gathered into pieces of a few MB, each gets its transform, and the bounded expansion
+   by name again; whole names are gathered into pieces of about 1 MB, each gets its transform, and the bounded expansion
    gives the windows that an earlier place shares. A name with more than ``HOT`` different runs (the rim of a passage
    that stands in very many texts) is first cut again by longer grams, which tell its runs apart by nearly all their
    bytes, so no piece has to hold it.
@@ -35,7 +35,8 @@ from .byte_runs import GRAM, runs_of
 WIDTH = 100
 HOT = 2048
 FLUSH = 400_000
-PIECE = 3 << 20
+PIECE = 1 << 20
+SENT_KEYS = 500_000  # 8 MB at most; Spark itself broadcasts up to 10 MB
 REMOVED, COMPARED, CROWDED = 0, 1, 2
 _NULL_ID = -(1 << 63)
 
@@ -62,7 +63,7 @@ def _packed_runs(texts: DataFrame, width: int, gram: int, buckets: int) -> DataF
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, total = [], 0
-        for piece in pieces(batches, 2 << 20):
+        for piece in pieces(batches, 1 << 20):
             keys, first = piece.column(0).to_numpy(), piece.column(1).to_numpy()
             r = runs_of([b or b"" for b in piece.column(2).to_pylist()], width, gram)
             parts.append((r.name, r.code, keys[r.row], first[r.row] + r.start, np.where(r.twice, -r.count, r.count)))
@@ -189,7 +190,10 @@ def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     crowded = parts.where(F.col("kind") == CROWDED)
     if not crowded.isEmpty():
         finer = _narrowed(crowded.select("key", "first", F.col("segment").alias("bytes")), width, width - 4, 1 << 62)
-        again = _segments(texts, finer.where(F.col("kind") != REMOVED))
+        finer_runs = finer.where(F.col("kind") != REMOVED)
+        keys = stage(finer_runs.select("key").distinct(), "keys")
+        few = texts.join(F.broadcast(keys), "key", "left_semi") if keys.count() <= SENT_KEYS else texts
+        again = _segments(few, finer_runs)
         ranges = (ranges.unionByName(finer.where(F.col("kind") == REMOVED).select("key", "first", "stop"))
                   .unionByName(_expanded(again, width)))
     return ranges
