@@ -7,10 +7,14 @@ number of blocks is set per size band for this to hold; a document that falls sh
 blocks, until it does. Bands overlap at their borders, so that every linkable pair meets in one.
 
 Blocks are joined as (band, block, value) signatures. Documents with equal sets are one class with one stand-in per
-task, so copies do not inflate groups. In each group only the links to its least member are tested. Where all hold, the
-group is connected and done; otherwise its members, except those connected already, are compared by their bit sketches,
-whose Hamming distance never exceeds D, and only pairs within the bound are tested as well. All tests count shingles
-exactly. So no link between different texts is lost, and no group is ever expanded into all its pairs.
+task, so copies do not inflate groups. Since linked documents share several signatures, each may leave out those of its
+largest groups and still meet every partner in a smaller one (``_kept``): groups that only a frequent passage holds
+together fall apart, and documents without partners drop out. In each group that is left, the links to its least member
+are candidates. They must pass the bit sketches, whose Hamming distance never exceeds D; then one link of each document
+is tested, then those between documents that are not connected yet. A group that is connected by then is done; in any
+other, the members that are not connected to the least one are compared with the rest by their sketches, and pairs within
+the bound are tested as well. All tests count shingles exactly. So no link between different texts is lost, and no group
+is ever expanded into all its pairs.
 
 Texts without words (null, empty, white space) have n_shingles 0, link with nothing and are their own component. Rows
 that share a doc_id are one document with all their links; a row with a null doc_id is not linked (component_id null).
@@ -23,9 +27,8 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
@@ -33,9 +36,11 @@ from .arrow import Piece, arrow_type, map_pieces, pieces
 from .components import components
 from .shingles import mix, shingle_sets
 
-FLUSH = 1_500_000
-CHUNK = 2048
+FLUSH = 300_000
+CHUNK = 1024
 SALTED = 256
+SEEN = 500_000  # pairs a task remembers
+SENT_IDS = 500_000  # 8 MB at most; Spark itself broadcasts up to 10 MB
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -66,11 +71,12 @@ def most_apart(size: int, most: int) -> int:
     return (size + min(4 * size // 3, most)) // 7
 
 
-def signatures(codes: np.ndarray) -> np.ndarray:
-    """Signatures of the filled blocks of a set, for each of its bands."""
-    out, size = [], len(codes)
+def blocks_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """Signatures of the filled blocks of a set for each of its bands; the band of each; (band, filled, wanted) of each
+    band. ``wanted`` is how many of the rarest signatures must be joined, all of them where a band needed more blocks."""
+    out, marks, wanted, size = [], [], [], len(codes)
     for number, _, most in schemes(size):
-        bound, blocks, attempt, filled = most_apart(size, most), 1 + int(0.37 * most), 0, 0
+        bound, blocks, attempt, filled, total = most_apart(size, most), 1 + int(0.37 * most), 0, 0, 0
         while filled <= bound:
             seed = np.uint64((number * 64 + attempt) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
             spread = mix(codes ^ seed)
@@ -80,12 +86,19 @@ def signatures(codes: np.ndarray) -> np.ndarray:
             parity = np.bitwise_xor.reduceat(mix(spread + seed)[order], edge)
             out.append(mix(parity ^ mix(block[order][edge] + seed)))
             filled, blocks, attempt = len(edge), 2 * blocks, attempt + 1
-    return np.concatenate(out)
+            total += filled
+            marks.append(np.full(filled, number + 1, np.uint8))
+        wanted.append((number + 1, total, bound + 1 if attempt == 1 else total))
+    return np.concatenate(out), np.concatenate(marks), wanted
+
+
+def signatures(codes: np.ndarray) -> np.ndarray:
+    return blocks_of(codes)[0]
 
 
 def sketch_bits(size: int) -> int:
-    """Bits of the sketch in which sets of about this size are compared; a power of two, at least twice the size."""
-    return 1 << max(6, (2 * size - 1).bit_length())
+    """Bits of the sketch in which sets of about this size are compared; a power of two, at least four times the size."""
+    return 1 << max(6, (4 * size - 1).bit_length())
 
 
 def sketch(codes: np.ndarray, bits: int) -> bytes:
@@ -102,7 +115,7 @@ def folded(sketch_: bytes, bits: int) -> np.ndarray:
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, bit sketch of every row."""
+    """doc_id, n_shingles, digest of the set, bit sketch, and packed (band, filled, wanted) of every row."""
 
     def start():
         def work(piece: Piece) -> Piece:
@@ -116,19 +129,26 @@ def describe(df: DataFrame) -> DataFrame:
 
 
 def _signature_blocks(df: DataFrame, buckets: int) -> DataFrame:
-    """bucket, signatures (32 bits beyond the bucket) and documents (differences of ascending ids), packed."""
-    schema = "bucket int, signatures binary, documents binary"
+    """bucket, signatures (32 bits beyond the bucket), documents (differences of ascending ids), bands and the filled and
+    wanted blocks of the band, packed."""
+    schema = "bucket int, signatures binary, documents binary, bands binary, filled binary, wanted binary"
     out = arrow_type(schema)
 
-    def packed(ids: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
-        owner = np.repeat(np.array(ids, np.int64), [len(f) for f in found])
-        values = np.concatenate(found)
+    def packed(ids: list[int], found: list[tuple]) -> pa.RecordBatch:
+        owner = np.repeat(np.array(ids, np.int64), [len(f[0]) for f in found])
+        values, bands = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+        # a set's bands come in runs, in the order of its list
+        runs = [(np.count_nonzero(f[1] == band), filled, wanted) for f in found for band, filled, wanted in f[2]]
+        limits = np.repeat(np.array([r[1:] for r in runs], np.int32), [r[0] for r in runs], axis=0)
         bucket = (values >> np.uint64(32)) % np.uint64(buckets)
         order = np.lexsort((owner, bucket))
-        low, owner, bucket = values[order].astype(np.uint32), owner[order], bucket[order]
-        edge = np.searchsorted(bucket, np.arange(buckets + 1))
-        rows = [(b, low[i:j].tobytes(), np.diff(owner[i:j], prepend=0).astype("<i8").tobytes())
-                for b, (i, j) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())) if j > i]
+        edge = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+        rows = []
+        for b, (i, j) in enumerate(zip(edge[:-1], edge[1:])):
+            if j > i:
+                at = order[i:j]
+                rows.append((b, values[at].astype("<u4").tobytes(), np.diff(owner[at], prepend=0).astype("<i8").tobytes(),
+                             bands[at].tobytes(), limits[at, 0].astype("<i4").tobytes(), limits[at, 1].astype("<i4").tobytes()))
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), out)], schema=out)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,73 +158,79 @@ def _signature_blocks(df: DataFrame, buckets: int) -> DataFrame:
                 if doc is None or not len(codes):
                     continue
                 digest = hashlib.blake2b(codes.tobytes(), digest_size=16).digest()
-                if digest in seen:  # a copy: the first one of this flush stands for it
+                if digest in seen:  # a copy: the first one of this task stands for it
                     continue
                 seen.add(digest)
                 ids.append(doc)
-                found.append(signatures(codes))
-                total += len(found[-1])
+                found.append(blocks_of(codes))
+                total += len(found[-1][0])
                 if total >= FLUSH:
                     yield packed(ids, found)
-                    ids, found, total, seen = [], [], 0, set()
+                    ids, found, total = [], [], 0
         if ids:
             yield packed(ids, found)
 
     return df.mapInArrow(run, schema)
 
 
-def _groups(blocks: DataFrame) -> DataFrame:
-    """center (least document) and members (the others, packed and ascending) of every set of documents that share a
-    signature; each distinct set once per bucket."""
-    schema = "center long, members binary"
+def _shared(blocks: DataFrame) -> DataFrame:
+    """grp, doc, band, filled, wanted and freq (documents of the group) of every signature that documents share."""
+    schema = "grp long, doc long, band int, filled int, wanted int, freq int"
     out = arrow_type(schema)
 
-    def of_bucket(parts: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        low = np.concatenate([np.frombuffer(s, "<u4") for s, _ in parts])
-        owner = np.concatenate([np.cumsum(np.frombuffer(d, "<i8")) for _, d in parts])
+    def of_bucket(bucket: int, parts: list[tuple[bytes, ...]]) -> pa.RecordBatch:
+        low, band, filled, wanted = (np.concatenate([np.frombuffer(p[i], k) for p in parts])
+                                     for i, k in ((0, "<u4"), (2, "u1"), (3, "<i4"), (4, "<i4")))
+        owner = np.concatenate([np.cumsum(np.frombuffer(p[1], "<i8")) for p in parts])
         order = np.argsort(low, kind="stable")
-        same = np.zeros(len(low) + 1, bool)
-        same[1:-1] = low[order][1:] == low[order][:-1]
-        shared = order[same[1:] | same[:-1]]
-        shared = shared[np.lexsort((owner[shared], low[shared]))]
-        low, owner = low[shared], owner[shared]
-        fresh = np.ones(len(low), bool)
-        fresh[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
-        low, owner = low[fresh], owner[fresh]
-        edge = [*np.flatnonzero(np.diff(low.astype(np.int64), prepend=-1)).tolist(), len(low)]
-        rows = {(int(owner[i]), owner[i + 1:j].astype("<i8").tobytes()) for i, j in zip(edge[:-1], edge[1:]) if j - i > 1}
-        made = sorted(rows)
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in made], type=f.type) for k, f in enumerate(out)], schema=out)
+        same = low[order][1:] == low[order][:-1]
+        at = order[np.append(same, False) | np.insert(same, 0, False)]
+        at = at[np.lexsort((owner[at], low[at]))]
+        fresh = np.ones(len(at), bool)
+        fresh[1:] = (low[at][1:] != low[at][:-1]) | (owner[at][1:] != owner[at][:-1])
+        at = at[fresh]
+        edge = np.flatnonzero(np.diff(low[at].astype(np.int64), prepend=-1))
+        freq = np.diff(np.append(edge, len(at)))
+        freq = np.repeat(freq, freq)
+        at, freq = at[freq > 1], freq[freq > 1]
+        columns = ((np.int64(bucket) << np.int64(32)) | low[at].astype(np.int64), owner[at], band[at], filled[at], wanted[at], freq)
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, out)], schema=out)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts = None, []
         for batch in batches:
-            for b, s, d in zip(*(c.to_pylist() for c in batch.columns)):
+            for b, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != bucket and parts:
-                    yield of_bucket(parts)
+                    yield of_bucket(bucket, parts)
                     parts = []
                 bucket = b
-                parts.append((s, d))
+                parts.append(row)
         if parts:
-            yield of_bucket(parts)
+            yield of_bucket(bucket, parts)
 
     return blocks.mapInArrow(run, schema)
 
 
-def _stars(groups: DataFrame) -> DataFrame:
-    """Distinct (a, b): every group's least document with each of the others."""
-    schema = "a long, b long"
-    out = arrow_type(schema)
+def _kept(shared: DataFrame) -> DataFrame:
+    """grp and doc of the memberships that must be joined.
+
+    A linked pair shares at least filled - wanted + 1 signatures of a band, so each document may leave out filled -
+    wanted of them. It leaves out those of the largest groups; the order is the same for all, so the smallest group that
+    a pair shares stays for both. Signatures of a single document count as kept first: a document with enough of them
+    links with none and drops out.
+    """
+    mine = Window.partitionBy("doc", "band")
+    ranked = (shared.withColumn("nth", F.row_number().over(mine.orderBy("freq", "grp")))
+              .withColumn("alone", F.col("filled") - F.count("*").over(mine)))
+    return ranked.where("nth <= wanted - alone").select("grp", "doc")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
-            members = [np.frombuffer(m, "<i8") for m in piece.column(1).to_pylist()]
-            if members:
-                a = np.repeat(piece.column(0).to_numpy(), [len(m) for m in members])
-                pairs = np.unique(np.stack([a, np.concatenate(members)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=out)
 
-    return groups.mapInArrow(run, schema).distinct()
+def _centered(kept: DataFrame) -> DataFrame:
+    """grp, doc, center (least document) and n of the groups of two or more; of groups with the same documents one stays."""
+    per = kept.groupBy("grp").agg(F.min("doc").alias("center"), F.count("*").alias("n"),
+                                  F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("all")).where("n > 1")
+    once = per.groupBy("center", "n", "all").agg(F.min("grp").alias("grp")).drop("all")
+    return kept.join(once, "grp")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -240,68 +266,130 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema).groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
-def _left_over(groups: DataFrame, tested: DataFrame, joined: DataFrame, info: DataFrame) -> DataFrame:
-    """Distinct (a, b) that share a group whose star has a failed link, are not connected yet, and whose bit sketches
-    and sizes allow a link."""
-    failed = tested.where("not linked").groupBy("a").agg(F.sort_array(F.collect_set("b")).alias("failed"))
-    opened = (groups.where("length(members) > 8").join(failed, groups.center == failed.a)
-              .select("center", "members", "failed"))
-    schema = "grp string, doc_id long, fresh boolean"
+def _with_sketches(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """a, b and whether sizes and bit sketches allow a link. A sketch's distance never exceeds that of the sets."""
+    one = known.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("size_a"), F.col("sketch").alias("sketch_a"))
+    two = known.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("size_b"), F.col("sketch").alias("sketch_b"))
+    schema = "a long, b long, possible boolean"
     out = arrow_type(schema)
 
-    def open_(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, 1 << 20):
-            for center, members, bad in zip(*(c.to_pylist() for c in piece.columns)):
-                all_ = np.frombuffer(members, "<i8")
-                mark = np.isin(all_, np.array(bad, np.int64))
-                for at in range(0, int(mark.sum()), CHUNK):  # a place compares CHUNK of them with all members
-                    part = np.flatnonzero(mark)[at:at + CHUNK]
-                    rest = np.setdiff1d(np.arange(len(all_)), part)
-                    name = hashlib.blake2b(members + bytes(str((center, at)), "ascii"), digest_size=12).hexdigest()
-                    both = np.concatenate([part, rest])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(both)), pa.array(all_[both]), pa.array([True] * len(part) + [False] * len(rest))],
-                        schema=out)
-
-    spread = opened.mapInArrow(open_, schema).distinct()
-    known = info.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id", "sketch"])
-    rows = (spread.join(known, "doc_id").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            .select("grp", "doc_id", "fresh", "n_shingles", "sketch", F.coalesce("component", "doc_id").alias("component")))
-
-    def compare(key, frame):
-        ids, sizes, comps = (frame[c].to_numpy() for c in ("doc_id", "n_shingles", "component"))
-        own, found = frame["sketch"].tolist(), set()
-        width = np.array(list(map(len, own)))
-        levels = {}  # sketch bytes -> rows at least that wide, and their sketches folded to that width
-        for w in set(width.tolist()):
-            at = np.flatnonzero((width == w) | (width == 2 * w))
-            levels[w] = at, np.stack([folded(own[i], 8 * w) for i in at.tolist()]).view(np.uint64)
-        for i in np.flatnonzero(frame["fresh"].to_numpy()).tolist():
-            for w in (int(width[i]), int(width[i]) // 2):
-                if w in levels:
-                    at, sketches = levels[w]
-                    fits = (4 * sizes[i] >= 3 * sizes[at]) & (4 * sizes[at] >= 3 * sizes[i]) & (comps[at] != comps[i])
-                    apart = np.bitwise_count(sketches[fits] ^ folded(own[i], 8 * w).view(np.uint64)).sum(axis=1)
-                    near = ids[at[fits][apart <= (sizes[i] + sizes[at[fits]]) // 7]]
-                    found.update((min(ids[i], j), max(ids[i], j)) for j in near.tolist())
-        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
-
-    return rows.groupBy("grp").applyInPandas(compare, "a long, b long").distinct()
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            made = []
+            for a, b, m, n, x, y in zip(*(c.to_pylist() for c in piece.columns)):
+                bits = 8 * min(len(x), len(y))
+                ok = 4 * m >= 3 * n and 4 * n >= 3 * m
+                made.append(ok and int(np.bitwise_count(folded(x, bits) ^ folded(y, bits)).sum()) <= (m + n) // 7)
+            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(made, pa.bool_())], schema=out)
+
+    rows = pairs.join(one, "a").join(two, "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
+    return rows.mapInArrow(run, schema).groupBy("a", "b").agg(F.max("possible").alias("possible"))
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs whose ends are not in one component."""
+    a, b = (found.select(F.col("node").alias(c), F.col("component").alias(f"component_{c}")) for c in "ab")
+    return (pairs.join(a, "a", "left").join(b, "b", "left")
+            .where(F.coalesce("component_a", "a") != F.coalesce("component_b", "b")).select(*pairs.columns))
+
+
+def _texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Texts of the documents in ``pairs``; a list of at most ``SENT_IDS`` ids is broadcast, a longer one is joined."""
+    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    return stage(docs.join(F.broadcast(ids) if ids.count() <= SENT_IDS else ids, "doc_id", "left_semi"), "texts")
+
+
+def _left_over(groups: DataFrame, joined: DataFrame, known: DataFrame) -> DataFrame:
+    """Distinct (a, b) that share a group whose documents are not all connected, are not connected themselves, and whose
+    bit sketches and sizes allow a link.
+
+    Documents that are not connected to the group's center are compared with all of the group. Both sides are dealt out
+    in parts of about ``CHUNK``, so no place holds a whole large group.
+    """
+    component = joined.select(F.col("node").alias("doc"), "component")
+    center = joined.select(F.col("node").alias("center"), F.col("component").alias("of_center"))
+    rows = (groups.where("n > 2").join(component, "doc", "left").join(center, "center", "left")
+            .select("grp", "doc", "n", F.coalesce("component", "doc").alias("component"),
+                    (F.coalesce("component", "doc") != F.coalesce("of_center", "center")).alias("loose")))
+    open_ = rows.groupBy("grp").agg(F.count_if("loose").alias("n_loose")).where("n_loose > 0")
+    rows = (rows.join(open_, "grp").join(known.withColumnRenamed("doc_id", "doc"), "doc")
+            .withColumns({"parts": F.ceil(F.col("n") / CHUNK).cast("int"), "loose_parts": F.ceil(F.col("n_loose") / CHUNK).cast("int")}))
+    every = rows.withColumns({"x": F.pmod(F.xxhash64("doc"), "parts").cast("int"),
+                              "y": F.explode(F.sequence(F.lit(0), F.col("loose_parts") - 1)), "fresh": F.lit(False)})
+    fresh = rows.where("loose").withColumns({"x": F.explode(F.sequence(F.lit(0), F.col("parts") - 1)),
+                                             "y": F.pmod(F.xxhash64("doc"), "loose_parts").cast("int"), "fresh": F.lit(True)})
+    columns = ["grp", "x", "y", "doc", "fresh", "n_shingles", "sketch", "component"]
+
+    schema = "a long, b long"
+    out = arrow_type(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, seen = None, [], set()
+        for batch in batches:
+            found: set[tuple[int, int]] = set()
+            for *now, doc, new, size, bits, component_ in zip(*(c.to_pylist() for c in batch.columns)):
+                if now != key:
+                    found |= _near(rows, seen)
+                    key, rows = now, []
+                rows.append((doc, new, size, bits, component_))
+            yield packed(found)
+        yield packed(_near(rows, seen))
+
+    def packed(found: set[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], schema=out)
+
+    width_ = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (every.select(*columns).unionByName(fresh.select(*columns)).repartition(width_, "grp", "x", "y")
+            .sortWithinPartitions("grp", "x", "y").mapInArrow(run, schema).distinct())
+
+
+def _folded_number(sketch_: int, bits: int, least: int) -> int:
+    while bits > least:
+        bits //= 2
+        sketch_ = (sketch_ >> bits) ^ (sketch_ & (1 << bits) - 1)
+    return sketch_
+
+
+def _near(rows: list[tuple], seen: set[tuple[int, int]]) -> set[tuple[int, int]]:
+    """Pairs of a fresh and another row within the bound; ``seen`` spares pairs that this task has compared before."""
+    if len(seen) > SEEN:
+        seen.clear()
+    found = set()
+    others = [(doc, size, len(bits), int.from_bytes(bits, "little"), component)
+              for doc, new, size, bits, component in rows if not new]
+    for doc, new, size, bits, component in rows:
+        if not new:
+            continue
+        wide, sketch_ = len(bits), int.from_bytes(bits, "little")
+        for other, size_, wide_, other_sketch, component_ in others:
+            if component_ == component or 4 * size < 3 * size_ or 4 * size_ < 3 * size:
+                continue
+            pair = (doc, other) if doc < other else (other, doc)
+            if pair in seen:
+                continue
+            seen.add(pair)
+            least = 8 * min(wide, wide_)
+            if (_folded_number(sketch_, 8 * wide, least) ^ _folded_number(other_sketch, 8 * wide_, least)).bit_count() <= (size + size_) // 7:
+                found.add(pair)
+    return found
 
 
 def links(docs: DataFrame, info: DataFrame) -> DataFrame:
     """a, b: links between documents (stand-ins of their classes) that connect all that link by different sets."""
     spark = docs.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # signatures outweigh the rest
     blocks = _signature_blocks(docs, width).repartition(width, "bucket").sortWithinPartitions("bucket")
-    groups = stage(_groups(blocks), "groups")
-    stars = stage(_stars(groups), "stars")
-    members = stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stage(docs.join(members, "doc_id", "left_semi"), "texts")
-    tested = stage(_verified(stars, texts), "tested")
-    sure = tested.where("linked").select("a", "b")
-    more = stage(_left_over(groups, tested, components(sure), info), "left_over")
-    return sure.unionByName(_verified(more, texts).where("linked").select("a", "b"))
+    groups = stage(_centered(stage(_kept(_shared(blocks)), "kept")), "groups")
+    known = info.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id", "sketch"])
+    pairs = groups.where("doc <> center").select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct()
+    possible = stage(_with_sketches(pairs, known).where("possible").select("a", "b"), "possible")
+    texts = _texts_of(docs, possible)
+    # one link for each document; then what these have not connected; then groups that are still not connected
+    first = stage(_verified(possible.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), texts).where("linked"), "first")
+    rest = stage(_apart(possible, components(first)).join(first, ["a", "b"], "left_anti"), "rest")
+    sure = stage(first.unionByName(_verified(rest, texts).where("linked")).select("a", "b"), "sure")
+    more = stage(_left_over(groups, components(sure), known).join(rest, ["a", "b"], "left_anti"), "left_over")
+    return sure.unionByName(_verified(more, _texts_of(docs, more)).where("linked").select("a", "b"))
 
 
 def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
