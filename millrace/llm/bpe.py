@@ -35,7 +35,7 @@ from .arrow import Piece, map_pieces
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Sizes of what a task keeps at hand; both start anew when full, results do not depend on them.
 CACHED_WORDS = 200_000
-TABLE_CELLS = 16_000_000
+TABLE_ROWS = 120_000
 STEP_WORDS = 4096
 
 
@@ -181,7 +181,7 @@ class Automaton:
         All words advance together, one byte at a time; the paths are then read off backwards. Words are sorted by
         length, longest first, so those that still have bytes left are always a prefix.
         """
-        if self.table.size > TABLE_CELLS:
+        if len(self.open) > TABLE_ROWS:
             self._forget()
         order = sorted(range(len(words)), key=lambda i: -len(words[i]))
         flat = np.frombuffer(b"".join([words[i] for i in order]), np.uint8)
