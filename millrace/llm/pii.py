@@ -1,14 +1,16 @@
 """Personal data: candidate spans judged by gradient boosted trees.
 
 Base spans are what the four plain rules find; they always stay. High-recall generators propose further, overlapping
-spans (written-out or spaced addresses, numbers with other separators, phone numbers without a plus). Boosted trees
-score each candidate from its format and its context, scores are calibrated on a held-out part, and per kind the lowest
-threshold that reaches ``PRECISION`` there selects redactions; they may not touch a base span or a better candidate.
+spans: every local part before a written-out or spaced at sign, and every run of neighbouring groups of digits whose
+count fits the kind, so that a number is proposed with and without the numbers beside it. Boosted trees score each
+candidate from its format and its context, scores are calibrated on a held-out part, and per kind the lowest threshold
+that reaches ``PRECISION`` there selects redactions; they may not touch a base span or a better candidate.
 
 There are no labels for personal data among the tables, so training labels come from the base rules on a bounded sample
 (``TRAIN_DOCS`` texts by a hash of their id, ``TRAIN_ROWS`` candidates by another): candidates that a base span fills
-are positive, all others negative, and every positive is also shown in the other ways of writing it, every card also
-with a wrong check digit as a negative. The features do not tell whether a base rule matched.
+are positive, all others negative, and every positive is also shown in the other ways of writing it and beside another
+number, every card also with a wrong check digit as a negative; spans that cover a shown positive in part, or more than
+it, are negative. The features do not tell whether a base rule matched.
 
 Null text counts as empty; rows are judged one by one, so repeated rows, null ids and extra columns have no effect.
 With an empty table, or a sample without both classes, no span is added.
@@ -18,8 +20,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +50,20 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _AT_WORDS, _DOT_WORDS = r"(?:\x20?@\x20?|\x20?[(\[]at[)\]]\x20?|\x20at\x20)", r"(?:\.|\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)"
-GENERATORS = (
-    (0, re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}+{_AT_WORDS}[A-Za-z0-9-]{{1,64}}(?:{_DOT_WORDS}[A-Za-z0-9-]{{1,64}}){{1,4}}")),
-    (1, re.compile(r"[0-9]{1,3}(?:\x20?[.,:]\x20?[0-9]{1,3}){3}")),
-    (2, re.compile(r"[0-9]{2,8}(?:[\x20./_-]{1,2}[0-9]{2,8}){0,6}")),
-    (3, re.compile(r"\(?\+?[0-9][0-9\x20()./-]{6,24}[0-9]")),
+_WRITTEN_AT = re.compile(rf"(?=({_AT_WORDS}[A-Za-z0-9-]{{1,64}}(?:{_DOT_WORDS}[A-Za-z0-9-]{{1,64}}){{1,4}}))")
+_GROUP = re.compile(r"[0-9]+")
+# Per kind of number: what may stand between two groups, and the least and most digits, groups and characters of a run.
+NUMBERS = (
+    (1, re.compile(r"\x20?[.,:]\x20?"), (4, 12), (4, 4), (7, 21)),
+    (2, re.compile(r"[\x20./_-]{1,2}"), (11, 20), (1, 20), (11, 58)),
+    (3, re.compile(r"[\x20()./-]{1,24}"), (7, 16), (1, 16), (8, 26)),
 )
+MOST_DIGITS = 20
+LONGEST_GAP = 24
+SCORED = 4096  # candidates whose features are held at once
+NEIGHBOURS = (("2024-01-15 ", ""), ("", " 2024-01-15"), ("12 ", " 7"), ("12, ", ", 7"))
+# Another number beside a span.
+_CUT_BEFORE, _CUT_AFTER = re.compile(r"[0-9]++([\x20/_().,:-]{1,3})$"), re.compile(r"([\x20/_().,:-]{1,3})[0-9]+")
 # Words that speak for or against a kind nearby.
 CONTEXT = (re.compile(r"mail|contact|write|adress|correo|courriel", re.I), re.compile(r"\bip\b|host|server|addr|login", re.I),
            re.compile(r"card|visa|credit|carte|karte|tarjeta|iban", re.I),
@@ -105,19 +117,53 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def _written_emails(text: str) -> Iterable[Span]:
+    for m in _WRITTEN_AT.finditer(text):
+        first = m.start()
+        while first > 0 and m.start() - first < 64 and text[first - 1] in _LOCAL:
+            first -= 1
+        if first < m.start():
+            yield first, 0, m.end(1)
+
+
+def _numbers(text: str) -> Iterable[Span]:
+    """Every run of neighbouring groups of digits that fits a kind."""
+    groups = [m.span() for m in _GROUP.finditer(text)]
+    joins = []  # per group, the kinds whose numbers may go on to the next group
+    for (_, end), (start, _) in zip(groups, groups[1:]):
+        gap = text[end:start] if start - end <= LONGEST_GAP else ""
+        joins.append([k for k, (_, between, *_) in enumerate(NUMBERS) if between.fullmatch(gap)])
+    for i, (first, _) in enumerate(groups):
+        open_, digits = [0, 1, 2], 0
+        for j in range(i, len(groups)):
+            start, end = groups[j]
+            if j > i:
+                open_ = [k for k in open_ if k in joins[j - 1]]
+            digits += end - start
+            if not open_ or digits > MOST_DIGITS:
+                break
+            for k in open_:
+                kind, _, count, parts, length = NUMBERS[k]
+                if count[0] <= digits <= count[1] and parts[0] <= j - i + 1 <= parts[1] and \
+                        length[0] <= end - first <= length[1]:
+                    if kind == 1 and max(b - a for a, b in groups[i:j + 1]) > 3:
+                        continue
+                    at = first
+                    if kind == 3:
+                        at -= text[at - 1:at] == "+"
+                        at -= text[at - 1:at] == "("
+                    yield at, kind, end
+
+
+def _proposed(text: str) -> Iterable[Span]:
+    if "@" in text or "dot" in text:
+        yield from _written_emails(text)
+    yield from _numbers(text)
+
+
 def candidates(text: str) -> list[Span]:
     """Overlapping proposals of all generators."""
-    out: list[Span] = []
-    if _MARKS.search(text) is None and "at" not in text:
-        return out
-    for kind, pattern in GENERATORS:
-        if kind == 0 and "@" not in text and "dot" not in text:
-            continue
-        for m in pattern.finditer(text):
-            n = sum("0" <= c <= "9" for c in m[0])
-            if kind == 0 or kind == 1 or kind == 2 and 11 <= n <= 20 or kind == 3 and 7 <= n <= 16:
-                out.append((m.start(), kind, m.end()))
-    return out
+    return list(_proposed(text))
 
 
 def features(text: str, span: Span) -> list[float]:
@@ -126,11 +172,17 @@ def features(text: str, span: Span) -> list[float]:
     digits, groups = digits_of(body), re.findall("[0-9]+", body)
     sizes = list(map(len, groups)) or [0]
     edge_a, edge_b = before[-1:], after[:1]
+    gaps, cut_a, cut_b = re.findall("[^0-9]+", body.lstrip("(+")), _CUT_BEFORE.search(before), _CUT_AFTER.match(after)
     near = before[-24:] + " " + after
     return [kind, len(body), len(digits), len(groups), max(sizes), min(sizes), sizes[-1], sum(map(str.isalpha, body)),
             body.count(" "), body.count("-"), body.count("."), body.count("("), body.startswith("+"),
             bool(digits) and luhn(digits), len(set(digits)), "@" in body, "dot" in body.lower(),
             len(re.split(r"[^A-Za-z]+", body)[-1]), all(int(g[:4]) <= 255 for g in groups), digits[:1] == "0",
+            sizes[0], body.startswith("("), body.count("(") == body.count(")"),
+            sizes[0] - sizes[-1], max(sizes) - min(sizes), len(set(gaps)), len(set(gaps[1:])),
+            cut_a is not None, cut_b is not None, cut_a is not None and cut_a[1] in gaps[:1],
+            cut_b is not None and cut_b[1] in gaps[-1:], cut_a is not None and len(cut_a[0]) - len(cut_a[1]) == sizes[0],
+            cut_b is not None and len(cut_b[0]) - len(cut_b[1]) == sizes[-1],
             edge_a.isalnum(), edge_b.isalnum(), edge_a in (".", "-", ","), edge_b == "-",
             bool(re.match(r"[.,:-]?[0-9]", after)), bool(re.search(r"[0-9][.,:-]?$", before)),
             *[bool(p.search(near)) for p in CONTEXT]]
@@ -154,34 +206,49 @@ def _rewritten(kind: int, body: str) -> list[tuple[str, float]]:
 
 def training_rows(text: str) -> list[tuple[list[float], float]]:
     out, base = [], base_spans(text)
-    for c in candidates(text):
-        if not any(a < c[2] and c[0] < b for a, _, b in base):
-            out.append((features(text, c), 0.0))
+    for c in _clear_of(base, _proposed(text)):
+        out.append((features(text, c), 0.0))
     for a, kind, b in base:
         for body, label in [(text[a:b], 1), *_rewritten(kind, text[a:b])]:
-            for c in [c for c in candidates(f" {body} ") if c[1] == kind and c[2] - c[0] == len(body)][:1]:
-                around = text[max(0, a - 32):a] + body + text[b:b + 16]
-                at = min(a, 32)
-                out.append((features(around, (at, kind, at + c[2] - c[0])), float(label)))
+            for left, right in (("", ""), *NEIGHBOURS):
+                before, after = text[max(0, a - 32):a] + left, right + text[b:b + 16]
+                around, shown = before + body + after, (len(before), kind, len(before) + len(body))
+                every = candidates(around)
+                if shown not in every:
+                    continue
+                out.append((features(around, shown), float(label)))
+                for c in _clear_of(base_spans(around), every):  # what would be judged there
+                    if c != shown and c[0] < shown[2] and shown[0] < c[2]:
+                        out.append((features(around, c), 0.0))
     return out
 
 
+def _clear_of(taken: list[Span], spans: Iterable[Span]) -> Iterable[Span]:
+    """Spans that touch none of the taken ones, which are in order of their starts."""
+    starts, reach = [a for a, _, _ in taken], list(accumulate((b for _, _, b in taken), max))
+    for c in spans:
+        before = bisect_left(starts, c[2])
+        if not before or reach[before - 1] <= c[0]:
+            yield c
+
+
 @dataclass
 class Detector:
     model: boosting.Model
     thresholds: list[float]
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
-        """Candidates over their threshold that touch no base span, the most likely first."""
-        open_ = [c for c in candidates(text) if self.thresholds[c[1]] <= 1 and not any(a < c[2] and c[0] < b for a, _, b in base)]
-        if not open_:
-            return []
-        p = self.model.probabilities(np.array([features(text, c) for c in open_], np.float64))
+        """Candidates over their threshold that touch no base span, the most likely first, of equal ones the longest."""
+        likely: list[tuple[float, int, Span]] = []
+        open_ = (c for c in _clear_of(base, _proposed(text)) if self.thresholds[c[1]] <= 1)
+        while some := list(islice(open_, SCORED)):
+            p = self.model.probabilities(np.array([features(text, c) for c in some], np.float64))
+            likely += [(-q, c[0] - c[2], c) for q, c in zip(p.tolist(), some) if q >= self.thresholds[c[1]]]
         taken: list[Span] = []
-        for i in sorted(range(len(open_)), key=lambda i: (-p[i], open_[i])):
-            c = open_[i]
-            if p[i] >= self.thresholds[c[1]] and not any(a < c[2] and c[0] < b for a, _, b in taken):
-                taken.append(c)
+        for _, _, c in sorted(likely):
+            at = bisect_left(taken, c)
+            if (not at or taken[at - 1][2] <= c[0]) and (at == len(taken) or c[2] <= taken[at][0]):
+                taken.insert(at, c)
         return taken
 
     def __call__(self, text: str) -> tuple[list[Span], list[Span]]:

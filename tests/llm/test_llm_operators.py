@@ -84,6 +84,34 @@ def test_pii_rows_and_redaction(spark):
     assert clean[0][0] == "mail <EMAIL> or <PHONE> card <CARD> ip <IP>" and clean[93][0] == "nothing here"
 
 
+def test_numbers_are_proposed_with_and_without_their_neighbours():
+    def proposed(text):
+        return {(pii.KINDS[k], text[a:b]) for a, k, b in pii.candidates(text)}
+    assert ("phone", "(555) 123-4567") in proposed("2024-01-15 (555) 123-4567")
+    assert ("card", "4111.1111.1111.1111") in proposed("2024-01-15 4111.1111.1111.1111")
+    assert {("card", "4111111111111111"), ("card", "12 4111111111111111")} <= proposed("12 4111111111111111 7")
+    assert ("ip", "10 . 0 . 0 . 7") in proposed("at 12, 10 . 0 . 0 . 7")
+    assert ("email", "me.bob (at) example (dot) com") in proposed("look at me.bob (at) example (dot) com")
+    rng = random.Random(2)
+    for _ in range(3000):
+        text = "".join(rng.choice(["1", "22", "333", "4444", "55555555", " ", "-", ".", "(", ") ", "/", "x"]) for _ in range(16))
+        groups = [m.span() for m in re.finditer("[0-9]+", text)]
+        runs = [(a, b) for i, (a, _) in enumerate(groups) for _, b in groups[i:]
+                if 11 <= sum(map(str.isdigit, text[a:b])) <= 20 and re.fullmatch(r"[0-9]+(?:[ ./_-]{1,2}[0-9]+)*", text[a:b])]
+        assert sorted(runs) == sorted((a, b) for a, k, b in pii.candidates(text) if k == 2), text
+
+
+def test_personal_data_beside_other_numbers_is_found(spark):
+    detector = pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    for text, hidden in (("2024-01-15 (555) 123-4567", "2024-01-15 <PHONE>"),
+                         ("2024-01-15 4111.1111.1111.1111", "2024-01-15 <CARD>"),
+                         ("a (555) 123-4567 (555) 123-4568 b", "a <PHONE> <PHONE> b"),
+                         ("on 2024-01-15 at 10:22", "on 2024-01-15 at 10:22")):
+        assert pii.redacted(text, detector(text)[1]) == hidden
+    many = "1." * 20_000 + " (555) 123-4567"
+    assert pii.redacted(many, detector(many)[1]).endswith(" <PHONE>")
+
+
 def test_pii_odd(spark):
     df = odd_rows(spark)
     detector = pii.fit(df)
