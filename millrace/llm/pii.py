@@ -9,7 +9,8 @@ that reaches ``PRECISION`` there selects redactions; they may not touch a base s
 There are no labels for personal data among the tables, so training labels come from the base rules on a bounded sample
 (``TRAIN_DOCS`` texts by a hash of their id, ``TRAIN_ROWS`` candidates by another): candidates that a base span fills
 are positive, all others negative, and every positive is also shown in the other ways of writing it and beside another
-number, every card also with a wrong check digit as a negative; spans that cover a shown positive in part, or more than
+number, every card also with a wrong check digit as a negative and every address with words around it written as
+"word at word.word" as negatives; spans that cover a shown positive in part, or more than
 it, are negative. The features do not tell whether a base rule matched.
 
 Null text counts as empty; rows are judged one by one, so repeated rows, null ids and extra columns have no effect.
@@ -51,6 +52,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _AT_WORDS, _DOT_WORDS = r"(?:\x20?@\x20?|\x20?[(\[]at[)\]]\x20?|\x20at\x20)", r"(?:\.|\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)"
 _WRITTEN_AT = re.compile(rf"(?=({_AT_WORDS}[A-Za-z0-9-]{{1,64}}(?:{_DOT_WORDS}[A-Za-z0-9-]{{1,64}}){{1,4}}))")
+_BRACKETED = re.compile(r"[(\[]at[)\]]")
 _GROUP = re.compile(r"[0-9]+")
 # Per kind of number: what may stand between two groups, and the least and most digits, groups and characters of a run.
 NUMBERS = (
@@ -64,7 +66,8 @@ SCORED = 4096  # candidates whose features are held at once
 NEIGHBOURS = (("2024-01-15 ", ""), ("", " 2024-01-15"), ("12 ", " 7"), ("12, ", ", 7"))
 # Another number beside a span.
 _CUT_BEFORE, _CUT_AFTER = re.compile(r"[0-9]++([\x20/_().,:-]{1,3})$"), re.compile(r"([\x20/_().,:-]{1,3})[0-9]+")
-# Words that speak for or against a kind nearby.
+# Frequent ends of host names; words that speak for or against a kind nearby.
+ENDINGS = frozenset("com org net edu gov".split())
 CONTEXT = (re.compile(r"mail|contact|write|adress|correo|courriel", re.I), re.compile(r"\bip\b|host|server|addr|login", re.I),
            re.compile(r"card|visa|credit|carte|karte|tarjeta|iban", re.I),
            re.compile(r"phone|tel|call|fax|mobil|cell", re.I),
@@ -156,7 +159,7 @@ def _numbers(text: str) -> Iterable[Span]:
 
 
 def _proposed(text: str) -> Iterable[Span]:
-    if "@" in text or "dot" in text:
+    if "@" in text or "at" in text:
         yield from _written_emails(text)
     yield from _numbers(text)
 
@@ -176,8 +179,8 @@ def features(text: str, span: Span) -> list[float]:
     near = before[-24:] + " " + after
     return [kind, len(body), len(digits), len(groups), max(sizes), min(sizes), sizes[-1], sum(map(str.isalpha, body)),
             body.count(" "), body.count("-"), body.count("."), body.count("("), body.startswith("+"),
-            bool(digits) and luhn(digits), len(set(digits)), "@" in body, "dot" in body.lower(),
-            len(re.split(r"[^A-Za-z]+", body)[-1]), all(int(g[:4]) <= 255 for g in groups), digits[:1] == "0",
+            bool(digits) and luhn(digits), len(set(digits)), "@" in body, bool(_BRACKETED.search(body)), "dot" in body.lower(),
+            len(re.split(r"[^A-Za-z]+", body)[-1]), body[-3:].lower() in ENDINGS, all(int(g[:4]) <= 255 for g in groups), digits[:1] == "0",
             sizes[0], body.startswith("("), body.count("(") == body.count(")"),
             sizes[0] - sizes[-1], max(sizes) - min(sizes), len(set(gaps)), len(set(gaps[1:])),
             cut_a is not None, cut_b is not None, cut_a is not None and cut_a[1] in gaps[:1],
@@ -191,8 +194,11 @@ def features(text: str, span: Span) -> list[float]:
 def _rewritten(kind: int, body: str) -> list[tuple[str, float]]:
     """Other ways to write a span, with their labels."""
     if kind == 0:
-        return [(body.replace("@", " (at) ").replace(".", " (dot) "), 1), (body.replace("@", " [at] ").replace(".", " [dot] "), 1),
-                (body.replace("@", " @ "), 1), (body.replace("@", " at ").replace(".", " dot "), 1)]
+        local, _, host = body.rpartition("@")
+        forms = [(at, dot) for at in (" (at) ", "(at)", " [at] ", " @ ", " at ") for dot in (".", " (dot) ", " [dot] ", " dot ")
+                 if dot == "." or at.strip()[0] == dot.strip()[0] or at == " at " and dot == " dot "]
+        short = local.rpartition(".")[2] or local, ".".join(host.split(".")[-2:])
+        return [(x + at + y.replace(".", dot), 1) for at, dot in forms for x, y in dict.fromkeys([(local, host), short])]
     if kind == 1:
         return [(body.replace(".", " . "), 1), (body.replace(".", ","), 0), (body.replace(".", ":"), 0)]
     digits = digits_of(body)
@@ -204,12 +210,18 @@ def _rewritten(kind: int, body: str) -> list[tuple[str, float]]:
             (digits, 0), (f"{digits[:4]}/{digits[4:8]}/{digits[8:]}", 0)]
 
 
+def _prose(kind: int, before: str) -> list[tuple[str, float]]:
+    """Words with an at between them and no blank behind the full stop, which are no address."""
+    words = re.findall("[A-Za-z]{2,12}", before) if kind == 0 else []
+    return [(f"{a} at {b}.{c}", 0) for a, b, c in zip(words[0::3], words[1::3], words[2::3])][-6:]
+
+
 def training_rows(text: str) -> list[tuple[list[float], float]]:
     out, base = [], base_spans(text)
     for c in _clear_of(base, _proposed(text)):
         out.append((features(text, c), 0.0))
     for a, kind, b in base:
-        for body, label in [(text[a:b], 1), *_rewritten(kind, text[a:b])]:
+        for body, label in [(text[a:b], 1), *_rewritten(kind, text[a:b]), *_prose(kind, text[max(0, a - 200):a])]:
             for left, right in (("", ""), *NEIGHBOURS):
                 before, after = text[max(0, a - 32):a] + left, right + text[b:b + 16]
                 around, shown = before + body + after, (len(before), kind, len(before) + len(body))

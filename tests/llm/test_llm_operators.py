@@ -112,6 +112,16 @@ def test_personal_data_beside_other_numbers_is_found(spark):
     assert pii.redacted(many, detector(many)[1]).endswith(" <PHONE>")
 
 
+def test_written_addresses_need_no_other_at_sign(spark):
+    detector = pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    for text, hidden in (("write to john (at) example.com", "write to <EMAIL>"),
+                         ("write to john [at] example.com today", "write to <EMAIL> today"),
+                         ("look at me.bob now", "look at me.bob now"),
+                         ("we met at noon.then at home", "we met at noon.then at home")):
+        assert pii.redacted(text, detector(text)[1]) == hidden
+    assert (9, 0, 28) in pii.candidates("write to john at example.com")
+
+
 def test_pii_odd(spark):
     df = odd_rows(spark)
     detector = pii.fit(df)
