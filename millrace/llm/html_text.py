@@ -3,10 +3,11 @@
 A page is read into text nodes, each with its root-to-leaf tag path. Per path, text length and punctuation are summed
 and divided by the path's nodes; both ratios are laid back on the nodes in page order, smoothed with their neighbours
 and fused. Nodes whose fused ratio reaches the threshold (a part of the mean over the page) are content nodes. The
-article is the smallest element that holds most of their text, inside ``article`` or ``main`` where the page has one;
-every node of it counts, short ones too, but for parts that are marked as menu, header, footer, sidebar, notice,
-advert, form or reader comments by tag, role, class or id. If no element below the body holds them together, the
-content nodes and the headings among them are the text.
+article is the ``article`` and ``main`` elements with content where they hold most of its text, else the smallest
+element that holds nearly all of it. Every node of the article counts, short ones too, but for parts that are marked as
+menu, header, footer, sidebar, notice, advert, form or reader comments by tag, role, class or id. Content nodes outside
+it count too, with the inline nodes of their blocks and the headings before them. If no element below the body holds
+the content together, that and the headings among it are the text.
 
 Null html gives empty text. Unclosed, crossed and unknown tags, unterminated comments and half character references
 are read as browsers read them. Pages are handled one by one: repeated rows, null ids and urls and extra columns have
@@ -192,11 +193,12 @@ def main_text(html: str | None) -> str:
         held[nodes[i][0]] += size * ok
     for e in range(len(elements) - 1, 0, -1):
         held[elements[e].parent] += held[e]
-    # the article element, if there is one with content; else the smallest element that holds most of the content
-    named = [e for e, x in enumerate(elements) if x.tag in ("article", "main") and held[e] >= 0.2 * held[0] > 0]
-    if named:
-        roots = set(named)
-    else:
+    # the article elements, if they hold most of the content; else the smallest element that holds nearly all of it
+    roots = {e for e, x in enumerate(elements) if x.tag in ("article", "main") and held[e] > 0}
+    within = [False] * len(elements)
+    for e, x in enumerate(elements):
+        within[e] = x.parent >= 0 and (within[x.parent] or x.parent in roots)
+    if sum(held[e] for e in roots if not within[e]) <= 0.5 * held[0]:
         root = max((e for e, x in enumerate(elements) if x.tag in HOLDERS and held[e] >= HELD * held[0]), default=0)
         roots = {root}
     inside = [False] * len(elements)
@@ -204,9 +206,20 @@ def main_text(html: str | None) -> str:
         inside[e] = e in roots or x.parent >= 0 and inside[x.parent]
     whole = all(elements[e].tag not in ("", "html", "body") for e in roots)
     content = {p for p, ok in zip(paths, chosen.tolist()) if ok}
+    heading = [False] * len(elements)
+    for e, x in enumerate(elements):
+        heading[e] = x.tag in HEADINGS or x.parent >= 0 and heading[x.parent]
+    blocks = {nodes[i][1] for i, p, ok in zip(solid, paths, chosen.tolist()) if ok or p in content}
+    follows = False  # the next text that is no heading is content outside the article
+    for i in reversed(solid):
+        e, b, _ = nodes[i]
+        if not heading[e]:
+            follows = b in blocks and not inside[e]
+        elif follows or inside[e]:
+            blocks.add(b)
     kept: dict[int, list[str]] = {}
     for e, b, t in nodes:
-        if inside[e] and (whole or t.isspace() or elements[e].path in content or elements[e].tag in HEADINGS):
+        if b in blocks or whole and inside[e]:
             kept.setdefault(b, []).append(t)
     lines = (" ".join(unescape("".join(parts)).split()) for parts in kept.values())
     return "\n".join(line for line in lines if line)

@@ -194,6 +194,20 @@ def test_html_main_text():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>x</nav>") == ""
 
 
+def test_html_keeps_content_outside_the_largest_element():
+    words = "Many words of a story, told at length. " * 5
+    linked = f"{words}See <a href='/x'>here</a>, or <em>there</em>."
+    plain = " ".join(re.sub("<[^>]*>", "", linked).split())
+    assert html_text.main_text(f"<body><p>{linked}</p><p>{linked}</p></body>") == f"{plain}\n{plain}"
+    story, one = f"<p>{words}</p>" * 30, " ".join(words.split())
+    page = f"<div><div><p>{words}</p></div><div>{story}</div><div><h2>Last part</h2><p>{linked}</p></div></div>"
+    assert html_text.main_text(page) == "\n".join([one] * 31 + ["Last part", plain])
+    page = f"<article><h2>First</h2>{story}</article><article><h2>Second</h2><p>{words}</p><p>End</p></article>"
+    assert html_text.main_text(page) == "\n".join(["First"] + [one] * 30 + ["Second", one, "End"])
+    page = f"<div>{story}</div><main><p>{words}</p></main>"  # a small main does not win over the story
+    assert html_text.main_text(page) == "\n".join([one] * 31)
+
+
 def test_html_articles_of_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}
