@@ -5,7 +5,9 @@ and divided by the path's nodes; both ratios are laid back on the nodes in page
 and fused. Nodes whose fused ratio reaches the threshold (a part of the mean over the page) are content nodes. The
 article is the ``article`` and ``main`` elements with content where they hold most of its text, else the smallest
 element that holds nearly all of it. Every node of the article counts, short ones too, but for parts that are marked as
-menu, header, footer, sidebar, notice, advert, form or reader comments by tag, role, class or id. Content nodes outside
+menu, header, footer, sidebar, notice, advert, form or reader comments by tag, role, class or id. Ids do not mark headings, paragraphs and parts of the article
+that start with a heading, and an id with other words too (``social-impact``) only marks a part whose text the ratios do
+not choose. Content nodes outside
 it count too, with the inline nodes of their blocks and the headings before them. If no element below the body holds
 the content together, that and the headings among it are the text.
 
@@ -19,6 +21,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 from html import unescape
+from itertools import takewhile
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -32,11 +35,13 @@ MOST_OF_PAGE = 2 / 3
 
 # Tags and marks of the HTML vocabulary.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select option".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select option".split())
+OPEN_ENDED = frozenset("svg select option".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody
 td tfoot th thead tr ul""".split())
-SKIPPED = frozenset("head nav footer aside form menu button label fieldset dialog canvas audio video object".split())
+SKIPPED = frozenset("""head nav footer aside form menu button label fieldset dialog canvas audio video object
+annotation annotation-xml""".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 SKIPPED_MARKS = frozenset("""ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment
 comments consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice
@@ -50,6 +55,9 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"""<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>""")
 _MARK = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+# What ends a raw element; group 1: a block that ends one of OPEN_ENDED, which its own end tag is missing for.
+_ANY_BLOCK = "|".join(sorted(BLOCK - {"hr"}))
+_END_OF = {t: re.compile(rf"</{t}\b[^>]*>" + (rf"|(</?(?:{_ANY_BLOCK})(?=[\s/>]))" if t in OPEN_ENDED else ""), re.I) for t in RAW}
 _PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
 
 
@@ -60,6 +68,8 @@ class Element:
     path: str
     skipped: bool = False  # for good, by tag or role
     marked: bool = False  # by class or id; void if the element turns out to hold the article
+    slug: bool = False  # marked by an id of further words only, which the ratios must confirm
+    by_id: bool = False  # marked by an id only; void for a part of the article that starts with a heading
     block: int = 0
 
 
@@ -75,22 +85,30 @@ def _marks(name: str) -> bool:
     return bool(words) and HOLDING.isdisjoint(words) and not SKIPPED_MARKS.isdisjoint((words[0], words[-1]))
 
 
-def _skips(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
-    skipped, marked = tag in SKIPPED or tag == "header" and not inside_article, False
+def _skips(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool, bool, bool]:
+    """skipped, marked, slug, by_id of an element."""
+    skipped, by_class, by_word, by_slug = tag in SKIPPED or tag == "header" and not inside_article, False, False, False
     if "=" in attributes:
         for name, a, b, c in _MARK.findall(attributes):
             names = (a or b or c).lower().split()
             if name.lower() == "role":
                 skipped |= not SKIPPED_ROLES.isdisjoint(names)
-            elif tag not in ("html", "body", "article", "main"):
-                marked |= any(map(_marks, names))
-    return skipped, marked
+            elif tag in ("html", "body", "article", "main"):
+                continue
+            elif name.lower() == "class":
+                by_class |= any(map(_marks, names))
+            elif tag != "p" and tag not in HEADINGS and any(map(_marks, names)):
+                only = all(w in SKIPPED_MARKS for n in names for w in re.split(r"[^a-z]+", n) if w)
+                by_word, by_slug = by_word or only, by_slug or not only
+    marked = by_class or by_word or by_slug
+    return skipped, marked, marked and not by_class and not by_word, marked and not by_class
 
 
 def read(html: str) -> Page:
     page = Page()
     elements, nodes = page.elements, page.nodes
     stack, block, at = [0], 0, 0
+    unclosed: set[str] = set()  # tags of OPEN_ENDED that nothing ends from here on
 
     def text_to(end: int) -> None:
         if end > at:
@@ -119,8 +137,13 @@ def read(html: str) -> Page:
             continue
         if tag in RAW:
             if not m[3].endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+                end = None if tag in unclosed else _END_OF[tag].search(html, at)
+                if tag not in OPEN_ENDED:
+                    at = end.end() if end else len(html)
+                elif end is None:
+                    unclosed.add(tag)
+                else:  # a block ends it as well, and is read
+                    at = end.start() if end[1] else end.end()
             continue
         if tag in VOID:
             if tag == "hr":
@@ -142,11 +165,14 @@ def read(html: str) -> Page:
                 break
         above = elements[stack[-1]]
         inside = any(elements[e].tag in ("article", "main") for e in stack)
-        skipped, marked = _skips(tag, m[3], inside)
+        skipped, marked, slug, by_id = _skips(tag, m[3], inside)
+        if tag in HEADINGS and above.by_id and inside and stack[-1] == len(elements) - 1 and \
+                all(t.isspace() for _, _, t in takewhile(lambda n: n[0] == stack[-1], reversed(nodes))):
+            above.marked = False
         if tag in ("article", "main"):
             for e in stack:
                 elements[e].marked = False
-        elements.append(Element(tag, stack[-1], f"{above.path}/{tag}", skipped, marked))
+        elements.append(Element(tag, stack[-1], f"{above.path}/{tag}", skipped, marked, slug, by_id))
         stack.append(len(elements) - 1)
     text_to(len(html))
     return page
@@ -169,6 +195,18 @@ def fused_ratios(paths: list[str], sizes: list[int], marks: list[int]) -> np.nda
     return out
 
 
+def _chosen(page: Page) -> tuple[list[tuple[int, int, str]], list[int], list[str], list[int], np.ndarray]:
+    """Unskipped nodes; numbers, paths and sizes of those with text, and which of them the ratios choose."""
+    elements = page.elements
+    nodes = [(e, b, t) for e, b, t in page.nodes if not elements[e].skipped]
+    solid = [i for i, (_, _, t) in enumerate(nodes) if not t.isspace()]
+    if not solid:
+        return nodes, [], [], [], np.zeros(0, bool)
+    paths, sizes = [elements[nodes[i][0]].path for i in solid], [len(nodes[i][2].strip()) for i in solid]
+    ratio = fused_ratios(paths, sizes, [_punctuation(nodes[i][2]) for i in solid])
+    return nodes, solid, paths, sizes, ratio >= PART_OF_MEAN * np.average(ratio, weights=sizes)
+
+
 def main_text(html: str | None) -> str:
     page = read(html or "")
     elements = page.elements
@@ -177,17 +215,25 @@ def main_text(html: str | None) -> str:
         size_of[e] += len(t.strip())
     for e in range(len(elements) - 1, 0, -1):
         size_of[elements[e].parent] += size_of[e]
-    for e, x in enumerate(elements):  # parents come first
+    for e, x in enumerate(elements):
         x.marked &= size_of[e] < MOST_OF_PAGE * size_of[0]
-    for e in elements[1:]:
-        e.skipped |= e.marked or elements[e.parent].skipped
-    nodes = [(e, b, t) for e, b, t in page.nodes if not elements[e].skipped]
-    solid = [i for i, (_, _, t) in enumerate(nodes) if not t.isspace()]
+    for e in elements[1:]:  # parents come first
+        e.skipped |= e.marked and not e.slug or elements[e.parent].skipped
+    nodes, solid, paths, sizes, chosen = _chosen(page)
+    if any(e.marked and e.slug and not e.skipped for e in elements):
+        size_of[:] = 0
+        high = np.zeros(len(elements))
+        for i, size, ok in zip(solid, sizes, chosen.tolist()):
+            size_of[nodes[i][0]] += size
+            high[nodes[i][0]] += size * ok
+        for e in range(len(elements) - 1, 0, -1):
+            size_of[elements[e].parent] += size_of[e]
+            high[elements[e].parent] += high[e]
+        for e, x in enumerate(elements[1:], 1):
+            x.skipped |= x.marked and x.slug and high[e] < 0.5 * size_of[e] or elements[x.parent].skipped
+        nodes, solid, paths, sizes, chosen = _chosen(page)
     if not solid:
         return ""
-    paths, sizes = [elements[nodes[i][0]].path for i in solid], [len(nodes[i][2].strip()) for i in solid]
-    ratio = fused_ratios(paths, sizes, [_punctuation(nodes[i][2]) for i in solid])
-    chosen = ratio >= PART_OF_MEAN * np.average(ratio, weights=sizes)
     held = np.zeros(len(elements))
     for i, size, ok in zip(solid, sizes, chosen.tolist()):
         held[nodes[i][0]] += size * ok

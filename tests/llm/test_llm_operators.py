@@ -208,6 +208,24 @@ def test_html_keeps_content_outside_the_largest_element():
     assert html_text.main_text(page) == "\n".join([one] * 31)
 
 
+def test_html_ids_and_unclosed_tags_do_not_cut_the_article():
+    words = "Many words of a story, told at length. " * 5
+    story, one = f"<p>{words}</p>" * 4, " ".join(words.split())
+    page = (f"<article>{story}<h2 id='related-work'>Related</h2><p id='notice-of-meeting'>{words}</p>"
+            f"<section id='social-impact'><h2>Impact</h2><p>{words}</p></section><h2 id='responses'>Responses</h2>"
+            f"<div class='comments'><p>{words}</p></div><p>End</p></article>")
+    assert html_text.main_text(page) == "\n".join([one] * 4 + ["Related", one, "Impact", one, "Responses", "End"])
+    page = f"<div>{story}<div id='social-impact'><p>{words}</p></div><div id='skip-links'><a>Up</a> <a>Down</a></div></div>"
+    assert html_text.main_text(page) == "\n".join([one] * 5)
+    page = f"<article>{story}<p>{words}So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article>"
+    assert html_text.main_text(page).endswith("told at length. So x=1 holds.")
+    for tag in ("<svg><path d=''>", "<select>", "<select><option>a<option>b", "<math>"):
+        for after in ("", "<svg></svg><select><option>c</option></select>"):
+            page = f"<article>{story}<p>{words}{tag}</p>{story}{after}<p>End</p></article>"
+            assert html_text.main_text(page) == "\n".join([one] * 9 + ["End"]), tag
+    assert html_text.main_text("a <select><option>x<option>y</select> b <svg><text>z</text></svg>c") == "a b c"
+
+
 def test_html_articles_of_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}
