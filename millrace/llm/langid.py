@@ -193,8 +193,14 @@ def predict(df: DataFrame, net: Network, doc_id: str = "doc_id", text: str = "te
                       "doc_id long, lang_pred string, score double", start)
 
 
-def keep_identified(df: DataFrame, net: Network, text: str = "text", least: float = 0.3) -> DataFrame:
-    """Rows with all their columns, without those that are ``und`` or score under ``least``."""
+def least_score(classes: int) -> float:
+    """0.3, or 1.2 times an even share of the labels where that is less."""
+    return min(0.3, 1.2 / max(1, classes))
+
+
+def keep_identified(df: DataFrame, net: Network, text: str = "text", least: float | None = None) -> DataFrame:
+    """Rows with all their columns, without those that are ``und`` or score under ``least`` (``least_score`` if None)."""
+    least = least_score(len(net.classes)) if least is None else least
     shared = df.sparkSession.sparkContext.broadcast(vars(net))
     names = df.columns
 

@@ -504,6 +504,16 @@ def test_network_gradient_learns():
     assert (judge.probabilities(x).argmax(axis=1) == y).mean() > 0.95
 
 
+def test_rejection_follows_the_number_of_labels(spark):
+    classes, size = list("abcdefgh"), len(langid.WIDTHS) * langid.FILTERS
+    taps = {w: np.zeros((w, 256, langid.FILTERS), np.float32) for w in langid.WIDTHS}
+    for top, kept in ((0.2, 1), (0.13, 0)):  # of eight labels, an even share is 0.125
+        offset = np.log(np.array([top] + [(1 - top) / 7] * 7)).astype(np.float32)
+        net = langid.Network(classes, taps, np.zeros(size, np.float32), np.zeros((size, 8), np.float32), offset)
+        assert langid.keep_identified(frame(spark, [(1, "some text"), (2, "12 34")]), net).count() == kept
+    assert langid.least_score(4) == langid.least_score(2) == langid.least_score(0) == 0.3
+
+
 # archives
 
 def test_archives_round_trip(spark, tmp_path):
