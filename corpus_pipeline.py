@@ -21,7 +21,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least document of each group of near or exact copies."""
+    """The least document of each group of near or exact copies; its rows all stay if its id repeats or is null."""
     return jaccard.keep_one(docs)
 
 

@@ -405,6 +405,10 @@ def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row, with all its columns, of each component: its least document. Rows that cannot link all stay."""
+    """Rows, with all their columns, of the least document of each component.
+
+    That is one row of each where ids are unique and not null. All rows with the least id stay where it repeats, whatever
+    their texts, and so do all rows with a null id, exact copies included, and rows that cannot link.
+    """
     found = join(df, doc_id, text).where("doc_id <> component_id").select("doc_id").distinct()
     return df.join(found.withColumnRenamed("doc_id", doc_id), doc_id, "left_anti").select(*df.columns)
