@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_open: ContextVar[list[str] | None] = ContextVar("open_scope", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; where it is unset, a folder in the warehouse, which is shared too."""
@@ -30,17 +36,55 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write once, read many: for a result that several later steps use. Cuts the lineage too.
 
-    Runs at once, so a plan that stages a step is not lazy up to that step.
+    Runs at once, so a plan that stages a step is not lazy up to that step. Inside a ``scope`` the files go with it.
     """
     path = fresh_path(df.sparkSession, name)
+    if (made := _open.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def unstage(df: DataFrame) -> None:
-    """Delete the files of a staged frame that nothing reads any more."""
-    spark = df.sparkSession
-    for file in df.inputFiles():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-        break
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Delete the files of staged frames that nothing reads any more."""
+    for df in frames:
+        for file in df.inputFiles():
+            _delete(df.sparkSession, file.rpartition("/")[0])
+            break
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A job whose staged frames are deleted when it ends, also when it fails.
+
+    Yields a function that stages the job's result so that it outlives the job (but not an outer scope). Inside, Spark
+    removes the shuffle files of a query once it has run, instead of when the driver happens to collect its garbage: every
+    query here ends in a staged frame or a collected number, and nothing reads its shuffles again.
+    """
+    outer, made = _open.get(), []
+    before = spark.conf.get(_CLEANUP, None)
+    token = _open.set(made)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        inner = _open.set(outer)
+        try:
+            return stage(df, name)
+        finally:
+            _open.reset(inner)
+
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield keep
+    finally:
+        _open.reset(token)
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+        for path in made:
+            _delete(spark, path)
