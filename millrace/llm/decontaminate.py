@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .arrow import arrow_type, pieces
+from .arrow import arrow_type, map_arrow, pieces
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
@@ -183,7 +183,7 @@ def _searched(state: DataFrame, block, width: int, carry: bool) -> DataFrame:
                         [n > 0 for n in n_hit]]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(made, out)], schema=out)
 
-    return state.mapInArrow(run, schema)
+    return map_arrow(state, run, schema)
 
 
 def drop_contaminated(df: DataFrame, items: DataFrame, text: str = "text", width: int = WINDOW,
@@ -199,5 +199,5 @@ def drop_contaminated(df: DataFrame, items: DataFrame, text: str = "text", width
                 hit, _ = search([words_of(t) for t in piece.column(at).to_pylist()])
                 yield piece.filter(pa.array([not r for r in hit], pa.bool_()))
 
-        df = df.mapInArrow(run, schema)
+        df = map_arrow(df, run, schema)
     return df

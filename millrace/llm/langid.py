@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import Piece, hash_share, map_pieces, pieces
+from .arrow import Piece, hash_share, map_arrow, map_pieces, pieces
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -211,4 +211,4 @@ def keep_identified(df: DataFrame, net: Network, text: str = "text", least: floa
             label, score = judge(piece.column(at).to_pylist())
             yield piece.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(label, score)]))
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)

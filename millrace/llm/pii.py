@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
-from .arrow import Piece, hash_share, map_pieces, pieces
+from .arrow import Piece, hash_share, map_arrow, map_pieces, pieces
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 4000
@@ -351,4 +351,4 @@ def redact(df: DataFrame, detector: Detector, text: str = "text") -> DataFrame:
             made = [None if t is None else redacted(t, judge(t)[1]) for t in column.to_pylist()]
             yield piece.set_column(at, piece.schema.field(at), pa.array(made, column.type))
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import arrow_type
+from .arrow import arrow_type, map_arrow
 
 BREAK = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
@@ -123,7 +123,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                                                  schema=out)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(run, schema)
+    return map_arrow(files, run, schema)
 
 
 def headers(records: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import pieces
+from .arrow import map_arrow, pieces
 
 COMPONENTS = 32
 SCALE, OFFSET = 64, 1_000_000
@@ -107,7 +107,7 @@ def _totals(vectors: DataFrame) -> tuple[int, int, list[int]]:
                         rows += [(size, i, len(x), Decimal(t)) for i, t in enumerate(x.sum(axis=0, dtype=object).tolist())]
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
 
-    per = vectors.mapInArrow(run, "size int, at int, n long, total decimal(38,0)").groupBy("size", "at").agg(
+    per = map_arrow(vectors, run, "size int, at int, n long, total decimal(38,0)").groupBy("size", "at").agg(
         F.sum("n").alias("n"), F.sum("total").cast("decimal(38,0)").alias("total"))
     best = per.where("at = 0").orderBy(F.desc("n"), "size").first()
     if best is None:
@@ -142,8 +142,8 @@ def _summed(vectors: DataFrame, fit: Fit, form: Callable[[np.ndarray, Fit], np.n
                                           pa.array([v.tobytes() for v in sums.values()], pa.binary())], schema=schema)
 
     kind = "at int, part long, sums binary"
-    parts = vectors.mapInArrow(of_task, kind).repartition(min(width + 1, 64), "at").sortWithinPartitions("at", "part")
-    rows = parts.mapInArrow(added, kind).collect()  # the same order of addition at every run
+    parts = map_arrow(vectors, of_task, kind).repartition(min(width + 1, 64), "at").sortWithinPartitions("at", "part")
+    rows = map_arrow(parts, added, kind).collect()  # the same order of addition at every run
     shared.unpersist()
     return np.stack([np.frombuffer(r["sums"]) for r in sorted(rows, key=lambda r: r["at"])])
 
@@ -221,4 +221,4 @@ def whiten(df: DataFrame, model: Fit | None, vec_id: str = "vec_id", vector: str
                    pa.array(np.full(len(each), fit_.identity_error)), exact.take(pa.array(each))]
             yield pa.RecordBatch.from_arrays(out, schema=schema)
 
-    return rows.mapInArrow(run, kind)
+    return map_arrow(rows, run, kind)
