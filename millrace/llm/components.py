@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
+from ..sources.staging import stage, unstage
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -18,7 +18,8 @@ def components(links: DataFrame) -> DataFrame:
     """node and component (its least node) of all nodes in ``links`` (a, b of any order, b other than a).
 
     Large-star and small-star steps in turn: each hangs nodes from the least node around them, until nothing moves.
-    Every round is written to the shared folder, so lineage stays short. No node set is gathered anywhere.
+    Every round is written to the shared folder, so lineage stays short, and takes the place of the one before. No node set
+    is gathered anywhere.
     """
     edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
                   "links")
@@ -32,6 +33,7 @@ def components(links: DataFrame) -> DataFrame:
         small = _least(large)
         hung = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                               F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        edges = stage(hung.where("u <> v").distinct(), "links")
+        done, edges = edges, stage(hung.where("u <> v").distinct(), "links")
+        unstage(done)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -13,8 +13,11 @@ together fall apart, and documents without partners drop out. In each group that
 are candidates. They must pass the bit sketches, whose Hamming distance never exceeds D; then one link of each document
 is tested, then those between documents that are not connected yet. A group that is connected by then is done; in any
 other, the members that are not connected to the least one are compared with the rest by their sketches, and pairs within
-the bound are tested as well. All tests count shingles exactly. So no link between different texts is lost, and no group
-is ever expanded into all its pairs.
+the bound are tested as well. All tests count shingles exactly, so no link between different texts is lost.
+
+Only those last comparisons look at pairs inside a group: a group held together by a passage, whose members mostly do not
+link, costs one XOR and bit count of two sketches for each pair of a loose member and another one. They are dealt out in
+parts of ``CHUNK`` members and no pair becomes a row unless its sketches allow a link.
 
 Texts without words (null, empty, white space) have n_shingles 0, link with nothing and are their own component. Rows
 that share a doc_id are one document with all their links; a row with a null doc_id is not linked (component_id null).
@@ -31,15 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
-from .arrow import Piece, arrow_type, map_pieces, pieces
+from ..sources.staging import scope, stage, unstage
+from .arrow import Piece, arrow_type, map_arrow, map_pieces, pieces
 from .components import components
 from .shingles import mix, shingle_sets
 
 FLUSH = 300_000
 CHUNK = 1024
 SALTED = 256
-SEEN = 500_000  # pairs a task remembers
+ROWS = 64  # sketches compared with all of a part at once
 SENT_IDS = 500_000  # 8 MB at most; Spark itself broadcasts up to 10 MB
 
 
@@ -170,7 +173,7 @@ def _signature_blocks(df: DataFrame, buckets: int) -> DataFrame:
         if ids:
             yield packed(ids, found)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def _shared(blocks: DataFrame) -> DataFrame:
@@ -208,7 +211,7 @@ def _shared(blocks: DataFrame) -> DataFrame:
         if parts:
             yield of_bucket(bucket, parts)
 
-    return blocks.mapInArrow(run, schema)
+    return map_arrow(blocks, run, schema)
 
 
 def _kept(shared: DataFrame) -> DataFrame:
@@ -263,7 +266,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                     made.append((a[i], b[i], any(linked(codes, e) for e in ends)))
             yield pa.RecordBatch.from_arrays([pa.array([m[k] for m in made], type=f.type) for k, f in enumerate(out)], schema=out)
 
-    return rows.mapInArrow(run, schema).groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    return map_arrow(rows, run, schema).groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
 def _with_sketches(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -283,7 +286,7 @@ def _with_sketches(pairs: DataFrame, known: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(made, pa.bool_())], schema=out)
 
     rows = pairs.join(one, "a").join(two, "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
-    return rows.mapInArrow(run, schema).groupBy("a", "b").agg(F.max("possible").alias("possible"))
+    return map_arrow(rows, run, schema).groupBy("a", "b").agg(F.max("possible").alias("possible"))
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -324,53 +327,60 @@ def _left_over(groups: DataFrame, joined: DataFrame, known: DataFrame) -> DataFr
     out = arrow_type(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows, seen = None, [], set()
+        key, rows = None, []
         for batch in batches:
             found: set[tuple[int, int]] = set()
             for *now, doc, new, size, bits, component_ in zip(*(c.to_pylist() for c in batch.columns)):
                 if now != key:
-                    found |= _near(rows, seen)
+                    found |= near(rows)
                     key, rows = now, []
                 rows.append((doc, new, size, bits, component_))
             yield packed(found)
-        yield packed(_near(rows, seen))
+        yield packed(near(rows))
 
     def packed(found: set[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], schema=out)
 
     width_ = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (every.select(*columns).unionByName(fresh.select(*columns)).repartition(width_, "grp", "x", "y")
-            .sortWithinPartitions("grp", "x", "y").mapInArrow(run, schema).distinct())
-
-
-def _folded_number(sketch_: int, bits: int, least: int) -> int:
-    while bits > least:
-        bits //= 2
-        sketch_ = (sketch_ >> bits) ^ (sketch_ & (1 << bits) - 1)
-    return sketch_
-
-
-def _near(rows: list[tuple], seen: set[tuple[int, int]]) -> set[tuple[int, int]]:
-    """Pairs of a fresh and another row within the bound; ``seen`` spares pairs that this task has compared before."""
-    if len(seen) > SEEN:
-        seen.clear()
-    found = set()
-    others = [(doc, size, len(bits), int.from_bytes(bits, "little"), component)
-              for doc, new, size, bits, component in rows if not new]
-    for doc, new, size, bits, component in rows:
-        if not new:
-            continue
-        wide, sketch_ = len(bits), int.from_bytes(bits, "little")
-        for other, size_, wide_, other_sketch, component_ in others:
-            if component_ == component or 4 * size < 3 * size_ or 4 * size_ < 3 * size:
-                continue
-            pair = (doc, other) if doc < other else (other, doc)
-            if pair in seen:
+    dealt = (every.select(*columns).unionByName(fresh.select(*columns)).repartition(width_, "grp", "x", "y")
+             .sortWithinPartitions("grp", "x", "y"))
+    return map_arrow(dealt, run, schema).distinct()
+
+
+def _narrowed(sketches: np.ndarray, words: int) -> np.ndarray:
+    while sketches.shape[1] > words:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def near(rows: list[tuple]) -> set[tuple[int, int]]:
+    """Pairs of a fresh and another row, of (doc, fresh, size, sketch, component), whose sizes and sketches allow a link."""
+    sides: dict[tuple[bool, int], list[tuple]] = {}
+    for row in rows:
+        sides.setdefault((row[1], len(row[3])), []).append(row)
+
+    def columns(rows_: list[tuple]) -> tuple[np.ndarray, ...]:
+        doc, size, part = (np.array([r[i] for r in rows_], np.int64) for i in (0, 2, 4))
+        return doc, size, part, np.frombuffer(b"".join(r[3] for r in rows_), "<u8").reshape(len(rows_), -1)
+
+    read, found = {k: columns(v) for k, v in sides.items()}, set()
+    for (new, wide), (doc, size, part, bits) in read.items():
+        for (fresh, other), (doc_, size_, part_, bits_) in read.items():
+            if not new or fresh or wide > 2 * other or other > 2 * wide:  # sizes apart too far to link
                 continue
-            seen.add(pair)
-            least = 8 * min(wide, wide_)
-            if (_folded_number(sketch_, 8 * wide, least) ^ _folded_number(other_sketch, 8 * wide_, least)).bit_count() <= (size + size_) // 7:
-                found.add(pair)
+            words = min(wide, other) // 8
+            right = _narrowed(bits_, words)
+            for at in range(0, len(doc), ROWS):
+                to = slice(at, at + ROWS)
+                left, n = _narrowed(bits[to], words), size[to, None]
+                apart = np.zeros((len(left), len(right)), np.int32)
+                for w in range(words):
+                    apart += np.bitwise_count(left[:, w, None] ^ right[None, :, w])
+                fits = (apart <= (n + size_) // 7) & (4 * n >= 3 * size_) & (4 * size_ >= 3 * n) & (part[to, None] != part_)
+                for i, j in np.argwhere(fits).tolist():
+                    a, b = int(doc[at + i]), int(doc_[j])
+                    found.add((a, b) if a < b else (b, a))
     return found
 
 
@@ -379,29 +389,36 @@ def links(docs: DataFrame, info: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     width = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # signatures outweigh the rest
     blocks = _signature_blocks(docs, width).repartition(width, "bucket").sortWithinPartitions("bucket")
-    groups = stage(_centered(stage(_kept(_shared(blocks)), "kept")), "groups")
+    kept = stage(_kept(_shared(blocks)), "kept")
+    groups = stage(_centered(kept), "groups")
+    unstage(kept)
     known = info.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id", "sketch"])
     pairs = groups.where("doc <> center").select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct()
     possible = stage(_with_sketches(pairs, known).where("possible").select("a", "b"), "possible")
     texts = _texts_of(docs, possible)
     # one link for each document; then what these have not connected; then groups that are still not connected
     first = stage(_verified(possible.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), texts).where("linked"), "first")
-    rest = stage(_apart(possible, components(first)).join(first, ["a", "b"], "left_anti"), "rest")
+    near_first = components(first)
+    rest = stage(_apart(possible, near_first).join(first, ["a", "b"], "left_anti"), "rest")
     sure = stage(first.unionByName(_verified(rest, texts).where("linked")).select("a", "b"), "sure")
-    more = stage(_left_over(groups, components(sure), known).join(rest, ["a", "b"], "left_anti"), "left_over")
+    unstage(possible, texts, first, near_first)
+    near_sure = components(sure)
+    more = stage(_left_over(groups, near_sure, known).join(rest, ["a", "b"], "left_anti"), "left_over")
+    unstage(groups, rest, near_sure)
     return sure.unionByName(_verified(more, _texts_of(docs, more)).where("linked").select("a", "b"))
 
 
 def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    info = stage(describe(docs), "described")
-    named = info.where("n_shingles > 0 and doc_id is not null")
-    copies = named.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    same = named.join(copies, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = components(links(docs, info).unionByName(same))
-    return (info.join(found, info.doc_id == found.node, "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
+    with scope(df.sparkSession) as keep:
+        info = stage(describe(docs), "described")
+        named = info.where("n_shingles > 0 and doc_id is not null")
+        copies = named.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+        same = named.join(copies, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+        found = components(links(docs, info).unionByName(same))
+        return keep(info.join(found, info.doc_id == found.node, "left")
+                    .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")), "joined")
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
