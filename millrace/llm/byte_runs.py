@@ -19,7 +19,6 @@ GRAM = 32
 @dataclass
 class Runs:
     name: np.ndarray  # least hash
-    code: np.ndarray  # hash of the segment
     row: np.ndarray  # text
     start: np.ndarray  # first byte, in its text
     count: np.ndarray  # windows
@@ -49,7 +48,7 @@ def runs_of(texts: list[bytes], width: int, gram: int = GRAM) -> Runs:
     size = np.array([len(t) for t in texts], np.int64)
     if n < width:
         none = np.zeros(0, np.int64)
-        return Runs(none.view(np.uint64), none.view(np.uint64), none, none, none, none.astype(bool))
+        return Runs(none.view(np.uint64), none, none, none, none.astype(bool))
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTES[flat] * _powers(_BASE, n), out=sums[1:])
     back = _powers(_INVERSE, n + 1)
@@ -69,9 +68,7 @@ def runs_of(texts: list[bytes], width: int, gram: int = GRAM) -> Runs:
     at = np.flatnonzero(first)
     count = np.add.reduceat(inside, at, dtype=np.int64)
     row = np.searchsorted(begin, at, side="right") - 1
-    end = at + count - 1 + width
-    code = mix((sums[end] - sums[at]) * back[at] + count.astype(np.uint64))
-    return Runs(least[at], code, row, at - begin[row], count, _repeated(grams, least, at, count, width - gram))
+    return Runs(least[at], row, at - begin[row], count, _repeated(grams, least, at, count, width - gram))
 
 
 def _repeated(grams: np.ndarray, least: np.ndarray, at: np.ndarray, count: np.ndarray, reach: int) -> np.ndarray:

@@ -390,6 +390,39 @@ def test_decontamination_odd(spark):
     assert decontaminate.drop_contaminated(df, bench).columns == df.columns
 
 
+def test_sketch_comparison_equals_plain_loop():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    rows, sets = [], []
+    for n in range(70):
+        own = rng.integers(0, 1 << 62, int(rng.integers(0, 90))).astype(np.uint64)
+        codes = np.unique(np.concatenate([base[:rng.integers(1, 400)], own]))
+        sets.append(codes)
+        rows.append((n, bool(rng.integers(0, 2)), len(codes), jaccard.sketch(codes, jaccard.sketch_bits(len(codes))), n % 9))
+    plain = set()
+    for a, new, m, x, p in rows:
+        for b, old, n, y, q in rows:
+            bits = 8 * min(len(x), len(y))
+            if new and not old and p != q and 4 * m >= 3 * n and 4 * n >= 3 * m and int(
+                    np.bitwise_count(jaccard.folded(x, bits) ^ jaccard.folded(y, bits)).sum()) <= (m + n) // 7:
+                plain.add((min(a, b), max(a, b)))
+    assert jaccard.near(rows) == plain and plain
+    assert jaccard.near([]) == set()
+
+
+def test_documents_around_one_passage_do_not_multiply(spark):
+    """Texts that share three quarters of their words with all others, and link with none: few pairs become rows."""
+    rng = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(300))
+    rows = [(i, passage + " " + " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(90))) for i in range(600)]
+    rows += [(1000 + i, rows[i][1] + " extra") for i in range(20)]
+    docs = frame(spark, rows)
+    info = jaccard.describe(docs).cache()
+    found = jaccard.links(docs, info).collect()
+    info.unpersist()
+    assert {(min(r), max(r)) for r in map(tuple, found)} == {(i, 1000 + i) for i in range(20)}
+
+
 # repeated byte strings
 
 def plain_removal(rows, width):
@@ -431,6 +464,22 @@ def test_repeats_odd(spark):
     assert suffix.remove(df.limit(0)).count() == 0
 
 
+def test_repeats_of_rows_that_share_an_id(spark):
+    """Null and repeated ids: each text is judged for itself, in the order of id and hash of the text."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    a, c = (" ".join(word() for _ in range(60)) for _ in range(2))
+    rows = [(1, a), (2, a), (2, c), (2, a + c), (None, c + "x" * 150), (None, a), (3, c), (3, c), (None, None), (2, "")]
+    df = frame(spark, rows)
+    order = {r.text: r.h for r in df.selectExpr("text", "xxhash64(cast(coalesce(text, '') as binary)) h").collect()}
+    plain = plain_removal([((i is not None, i or 0, order[t]), t) for i, t in set(rows)], 100)
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+                 for r in suffix.digests(df).collect())
+    assert got == sorted((*key[:2], *plain[key]) for key in ((i is not None, i or 0, order[t]) for i, t in rows))
+    alone = suffix.digests(frame(spark, [(1, a), (2, a), (2, c)])).where(f"n_bytes = {len(c)} and n_removed = 0")
+    assert alone.count() >= 1 + (len(a) == len(c))
+
+
 def test_transform_finds_repeated_windows():
     rng = random.Random(7)
     for _ in range(150):
