@@ -28,8 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage, unstage
-from .arrow import pieces
+from ..sources.staging import scope, stage, unstage
+from .arrow import map_arrow, pieces
 from .shingles import mix
 
 LONGEST = 3
@@ -159,7 +159,7 @@ def dictionary(df: DataFrame, text: str, lang: str, longest: int, trigger: int)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = max(4 * width, int(size / 6 / GROUP_WORDS))
-    parsed = rows.mapInArrow(run, "lang string, chunk string, last boolean, freq long")
+    parsed = map_arrow(rows, run, "lang string, chunk string, last boolean, freq long")
     dealt = parsed.withColumn("grp", F.pmod(F.xxhash64("lang", "chunk"), F.lit(groups)).cast("int")).repartition(width, "grp")
     once = dealt.groupBy("grp", "lang", "chunk", "last").agg(F.sum("freq").alias("freq"))
     words = F.length("chunk") - F.length(F.replace("chunk", F.lit(" "), F.lit(""))) + 1
@@ -185,7 +185,7 @@ def _codes(chunks: DataFrame, longest: int, bits: int, bucket_bits: int) -> Data
                     rows.append((grp, int(bucket[i]), j - i, _packed(np.diff(codes[i:j], prepend=np.uint64(0))), _packed(counts[i:j])))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    return chunks.mapInArrow(run, kind)
+    return map_arrow(chunks, run, kind)
 
 
 def _frequent(codes: DataFrame, width: int, least: int) -> DataFrame:
@@ -212,7 +212,7 @@ def _frequent(codes: DataFrame, width: int, least: int) -> DataFrame:
         if rows:
             yield of_bucket(rows)
 
-    return codes.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "grp int, n int, codes binary")
+    return map_arrow(codes.repartition(width, "bucket").sortWithinPartitions("bucket"), run, "grp int, n int, codes binary")
 
 
 def _phrases(chunks: DataFrame, frequent: DataFrame, width: int, longest: int, bits: int) -> DataFrame:
@@ -261,7 +261,7 @@ def _phrases(chunks: DataFrame, frequent: DataFrame, width: int, longest: int, b
                         often, parts = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64), []
                     yield from counted(rows_, often).to_batches()
 
-    return rows.mapInArrow(run, "lang string, phrase string, k int, f long")
+    return map_arrow(rows, run, "lang string, phrase string, k int, f long")
 
 
 def counts(df: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST,
@@ -288,7 +288,13 @@ def mine(df: DataFrame, text: str = "text", lang: str = "lang", longest: int = L
     A phrase scores by the cut that scores lowest. One that lies inside a longer candidate with ``share`` percent or more
     of its own count is left out.
     """
-    found, words = counts(df, text, lang, longest, least)
+    with scope(df.sparkSession) as keep:
+        found, words = counts(df, text, lang, longest, least)
+        return keep(_ranked(found, words, top, share), "collocations")
+
+
+def _ranked(found: DataFrame, words: DataFrame, top: int, share: int) -> DataFrame:
+    """The best ``top`` collocations of each language from counts of phrases and words."""
     word = F.split("phrase", " ")
     candidates = found.where("k > 1").select("lang", "phrase", F.col("k").alias("size"), F.col("f").alias("a"))
     known = found.select("lang", "phrase", F.col("f"))
