@@ -119,7 +119,7 @@ def asof_purchase(spark: SparkSession, folder: str) -> DataFrame:
     ev = load(spark, folder, "events")
     buy, view = ev.filter(F.col("event_type") == "purchase"), ev.filter(F.col("event_type") == "view")
     out = asof_join(buy.select("event_id", "user_id", "ts"), view, {"user_id": "user_id"}, "ts", "ts",
-                    {"event_id": "view_id", "ts": "view_ts"}, bucket="day")
+                    {"event_id": "view_id", "ts": "view_ts"})
     return out.select("event_id", "user_id", F.coalesce("view_id", F.lit(-1)).alias("view_id"),
                       F.coalesce(time_text(F.date_trunc("second", "view_ts")), F.lit("")).alias("view_ts"))
 

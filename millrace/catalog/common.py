@@ -28,7 +28,8 @@ def job_input(build: Build) -> Build:
         key = (spark.sparkContext.applicationId, folder, f"{build.__module__}.{build.__name__}")
         if key not in _written:
             path = fresh_path(spark, build.__name__)
-            build(spark, folder).write.parquet(path)
+            # several files, as a job's inputs are; a test table is a single one
+            build(spark, folder).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
             _written[key] = path
         return spark.read.parquet(_written[key])
 

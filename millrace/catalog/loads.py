@@ -26,20 +26,26 @@ def full_refresh(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _daily(spark: SparkSession, folder: str, run: str) -> DataFrame:
-    return load(spark, folder, "events").select(F.to_date("ts").alias("dt"), "event_id", "event_type", F.lit(run).alias("run"))
+    return load(spark, folder, "events").select(_day().alias("dt"), "event_id", "event_type", F.lit(run).alias("run"))
+
+
+def _day():
+    return F.when(F.col("event_id") % 97 != 0, F.to_date("ts"))
 
 
 def _by_day(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.parquet(path).groupBy(day_text("dt").alias("dt"), "run")
+    return (spark.read.parquet(path).groupBy(F.coalesce(day_text("dt"), F.lit("-")).alias("dt"), "run")
             .agg(F.count("*").alias("n_rows"), F.sum("event_id").alias("id_sum")))
 
 
 def replace_window(spark: SparkSession, folder: str) -> DataFrame:
-    """A window of days is recomputed twice. Its last days come out empty and must vanish; other days stay."""
+    """A window of days is recomputed twice, some rows undated. Its last days come out empty and must vanish; other days
+    stay, and undated rows replace undated ones."""
     path = fresh_path(spark, "window")
     window = RunWindow(date(2024, 1, 10), date(2024, 1, 20))
     sinks.replace_window(_daily(spark, folder, "old"), path, "dt", RunWindow(date(2024, 1, 1), date(2024, 1, 31)))
-    new = _daily(spark, folder, "new").filter(F.col("dt").between(F.lit(window.start), F.lit(date(2024, 1, 18))))
+    new = _daily(spark, folder, "new").filter(
+        F.col("dt").isNull() | F.col("dt").between(F.lit(window.start), F.lit(date(2024, 1, 18))))
     for _ in range(2):
         sinks.replace_window(new, path, "dt", window)
     return _by_day(spark, path)
@@ -70,13 +76,15 @@ QUERIES = {"full_refresh": full_refresh, "replace_window": replace_window, "purg
 ORACLE = {
     "full_refresh": """SELECT o_orderpriority, count(*) + 1 AS n_rows, '2024-01-31 12:00:00.000' AS createddate, 'loader' AS createdby FROM orders GROUP BY 1""",
     "replace_window": """
-        WITH e AS (SELECT CAST(ts AS DATE) AS d, event_id FROM events)
-        SELECT strftime(d, '%Y-%m-%d') AS dt, CASE WHEN d BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' THEN 'new' ELSE 'old' END AS run,
+        WITH e AS (SELECT CASE WHEN event_id % 97 <> 0 THEN CAST(ts AS DATE) END AS d, event_id FROM events)
+        SELECT coalesce(strftime(d, '%Y-%m-%d'), '-') AS dt,
+            CASE WHEN d IS NULL OR d BETWEEN DATE '2024-01-10' AND DATE '2024-01-20' THEN 'new' ELSE 'old' END AS run,
             count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM e
-        WHERE d NOT BETWEEN DATE '2024-01-19' AND DATE '2024-01-20' GROUP BY 1, 2""",
+        WHERE d IS NULL OR d NOT BETWEEN DATE '2024-01-19' AND DATE '2024-01-20' GROUP BY 1, 2""",
     "purge": """
-        SELECT strftime(ts, '%Y-%m-%d') AS dt, 'old' AS run, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events
-        WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY 1""",
+        SELECT coalesce(CASE WHEN event_id % 97 <> 0 THEN strftime(ts, '%Y-%m-%d') END, '-') AS dt, 'old' AS run, count(*) AS n_rows,
+            CAST(sum(event_id) AS BIGINT) AS id_sum FROM events
+        WHERE ts >= TIMESTAMP '2024-01-15' OR event_id % 97 = 0 GROUP BY 1""",
     "aligned_append": """
         SELECT batch, o_orderstatus, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, count(o_totalprice) AS n_priced FROM (
             SELECT 'first' AS batch, o_orderstatus, o_orderkey, o_totalprice FROM orders

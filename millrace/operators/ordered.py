@@ -1,10 +1,10 @@
 """Operators that need an order inside a key.
 
 A window over one key runs in one task. Top-1 forms are safe at any skew, since Spark prunes them to
-one row per key and map task before the shuffle (``WindowGroupLimit``). The forms that keep every row
-(numbering, next row, as-of) take a ``bucket``: a column that never decreases along the order, such as
-the month. Work is then split per (key, bucket) and what must cross a bucket boundary is carried over
-on one summary row per (key, bucket).
+one row per key and map task before the shuffle (``WindowGroupLimit``). Numbering and next row, which keep
+every row, take a ``bucket``: a column that never decreases along the order, such as the month. Work is then
+split per (key, bucket) and what must cross a bucket boundary is carried over on one summary row per (key,
+bucket). The as-of join and the rank over a whole result cut their rows into ranges sized from the data.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
+
+DEAL = 64  # parts over which the rows of a range that is all ties are dealt
 
 
 def top1(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -87,17 +88,52 @@ def next_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: dic
     return out.select(*df.columns, *[F.col(f"_next.{c}").alias(n) for c, n in cols.items()])
 
 
+def range_of(df: DataFrame, order: dict[str, bool], ranges: int | None = None, nulls_last: bool = True) -> Column:
+    """Number of a row's range when ``df`` is cut, along ``order`` (``{column: ascending}``), into ranges of like size.
+
+    Bounds come from a sample of some 64 rows a range, as many ranges as shuffle partitions unless given. They are literals,
+    so the number depends on the row alone: every step and every retry sees the same ranges. Rows equal to a bound are a
+    range of their own, with an odd number; frequent values become bounds. All rows of an even range lie between two
+    bounds, so neither kind holds a large share of the rows but one that is all ties.
+    """
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = df.count()
+    keys = df.select(*order)
+    null_place = "nulls_last" if nulls_last else "nulls_first"
+    sort = [getattr(F.col(c), f"{'asc' if up else 'desc'}_{null_place}")() for c, up in order.items()]
+    rows = keys.sample(min(1.0, 64 * ranges / max(1, n)), 7).orderBy(*sort).collect()
+    step = max(1, len(rows) // ranges)
+    bounds = list(dict.fromkeys(tuple(r) for r in rows[step // 2::step]))
+    if not bounds:
+        return F.lit(0)
+    literal = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f"b{i}") for i, (v, f) in enumerate(zip(b, keys.schema))])
+                        for b in bounds])
+
+    def place(bound: Column) -> Column:
+        """2 behind the bound, 1 at it, 0 before it."""
+        out = F.lit(1)
+        for i, (c, up) in reversed(list(enumerate(order.items()))):
+            mine, other = F.col(c), bound.getField(f"b{i}")
+            behind = (F.when(mine.isNull(), F.lit(nulls_last)).when(other.isNull(), F.lit(not nulls_last))
+                      .otherwise(mine > other if up else mine < other))
+            out = F.when(mine.eqNullSafe(other), out).when(behind, 2).otherwise(0)
+        return out
+
+    return F.aggregate(literal, F.lit(0), lambda total, bound: total + place(bound))
+
+
 def asof_join(left: DataFrame, right: DataFrame, on: dict[str, str], left_ts: str, right_ts: str,
-              values: dict[str, str], strict: bool = True, bucket: str | None = "day") -> DataFrame:
+              values: dict[str, str], strict: bool = True, ranges: int | None = None) -> DataFrame:
     """Every left row with the latest right row of its key before it; unmatched rows get NULLs.
 
     ``on`` maps left to right key columns and ``values`` right columns to their output names. With
     ``strict`` a right row at the very same time does not match. Right rows of one key and time are
-    ordered by their values, greatest wins.
+    ordered by their values, greatest wins. NULL keys never match.
 
-    Both sides are interleaved and the last right row is carried forward, so nothing multiplies.
-    ``bucket`` (a ``date_trunc`` unit) bounds a task to one key and time slice; the last right row of
-    earlier slices comes from one summary row per slice. NULL keys never match.
+    Both sides are interleaved and the last right row is carried forward, so nothing multiplies. (key, time) is cut into
+    ranges sized from the data (``range_of``): a task carries inside one key and range, and what earlier ranges hand on
+    comes from one summary row per key and range. Rows of one key and time that fill a range by themselves are dealt over
+    ``DEAL`` parts: they need no order among them, as the summary alone tells what they find.
     """
     keys = [f"_k{i}" for i in range(len(on))]
     hit = F.struct(*[F.col(v).alias(n) for v, n in values.items()])
@@ -107,47 +143,42 @@ def asof_join(left: DataFrame, right: DataFrame, on: dict[str, str], left_ts: st
     rights = right.filter(known).select(*[F.col(c).alias(k) for c, k in zip(on.values(), keys)],
                                         F.col(right_ts).alias("_ts"), F.lit(1).alias("_side"), hit.alias("_hit"))
     both = lefts.unionByName(rights, allowMissingColumns=True)
-    order = [F.col("_ts").asc_nulls_first(), F.col("_side"), F.col("_hit")]
-    found = [F.col(f"_hit.{n}").alias(n) for n in values.values()]
-
-    def so_far(parts: list[str]) -> Column:
-        window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return F.last("_hit", ignorenulls=True).over(window)
-
-    if bucket is None:
-        return both.withColumn("_hit", so_far(keys)).filter(F.col("_row").isNotNull()).select("_row.*", *found)
-
-    both = both.withColumn("_bucket", F.date_trunc(bucket, "_ts"))
-    earlier = (Window.partitionBy(*keys).orderBy(F.col("_bucket").asc_nulls_first())
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carried = (both.groupBy(*keys, "_bucket")
-               .agg(F.max(F.when(F.col("_side") == 1, F.struct("_ts", "_hit"))).alias("_best"))
-               .withColumn("_before", F.last("_best", ignorenulls=True).over(earlier))
-               .filter(F.col("_before").isNotNull())
-               .select(*keys, "_bucket", F.col("_before._hit").alias("_before")))
-    return (both.withColumn("_hit", so_far([*keys, "_bucket"])).filter(F.col("_row").isNotNull())
-            .join(carried, [*keys, "_bucket"], "left")
-            .withColumn("_hit", F.coalesce("_hit", "_before")).select("_row.*", *found))
-
-
-def global_rank(df: DataFrame, order: dict[str, bool], name: str) -> DataFrame:
+    cut = range_of(both.select(*keys, "_ts"), {**{k: True for k in keys}, "_ts": True}, ranges, nulls_last=False)
+    tied = F.col("_range") % 2 == 1
+    both = both.withColumn("_range", cut).withColumn(
+        "_deal", F.when(tied, F.pmod(F.xxhash64("_row", "_hit"), F.lit(DEAL))).otherwise(0).cast("int"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    handed = (both.groupBy(*keys, "_range")
+              .agg(F.max(F.when(F.col("_side") == 1, F.struct("_ts", "_hit"))).alias("_best"))
+              .withColumn("_before", F.last("_best", ignorenulls=True).over(earlier))
+              .select(*keys, "_range", F.col("_best._hit").alias("_best"), F.col("_before._hit").alias("_before"),
+                      F.explode(F.when(tied, F.sequence(F.lit(0), F.lit(DEAL - 1))).otherwise(F.array(F.lit(0)))).alias("_deal")))
+    parts = [*keys, "_range", "_deal"]
+    so_far = F.last("_hit", ignorenulls=True).over(
+        Window.partitionBy(*parts).orderBy(F.col("_ts").asc_nulls_first(), "_side", "_hit")
+        .rowsBetween(Window.unboundedPreceding, 0))
+    own = F.when(~tied, F.col("_so_far")).when(F.lit(not strict), F.col("_best"))
+    found = [F.col(f"_found.{n}").alias(n) for n in values.values()]
+    return (both.withColumn("_so_far", so_far).filter(F.col("_row").isNotNull()).join(handed, parts, "left")
+            .withColumn("_found", F.coalesce(own, "_before")).select("_row.*", *found))
+
+
+def global_rank(df: DataFrame, order: dict[str, bool], name: str, ranges: int | None = None) -> DataFrame:
     """``rank()`` over the whole result; ``order`` is ``{column: ascending}``, NULLs last.
 
-    A window without a key would sort everything in one task. Instead the distinct order keys are
-    range-partitioned, ranked inside each range, and shifted by the row count of the ranges before it.
-    The ranged keys are written to the shared folder because both steps must see the same range boundaries, also after
-    a lost executor. Ties collapse to one key row first, so a very common key does not fill one range.
+    A window without a key would sort everything in one task. Instead the rows are cut into ranges (``range_of``), ranked
+    inside each, and shifted by the number of rows in the ranges before it, which is one row per range. That is one shuffle
+    of the rows. Rows of a range that is all ties share its first rank, so they are dealt out evenly and not ranked.
     """
     sort = [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in order.items()]
-    ranged = stage(df.groupBy(*order).agg(F.count("*").alias("_n")).repartitionByRange(*sort)
-                   .withColumn("_range", F.spark_partition_id()), "ranged")
-    per_range = ranged.groupBy("_range").agg(F.sum("_n").alias("_rows"))
-    # one row per range, so the keyless window below is bounded by the partition count
+    rows = df.withColumn("_range", range_of(df, order, ranges))
+    # one row per range, so the keyless window below and the broadcast are bounded by the number of ranges
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    shift = per_range.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
-    above = Window.partitionBy("_range").orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
-    renamed = {c: f"_r_{i}" for i, c in enumerate(order)}
-    ranks = (ranged.withColumn("_local", F.coalesce(F.sum("_n").over(above), F.lit(0)))
-             .join(F.broadcast(shift), "_range")
-             .select(*[F.col(c).alias(r) for c, r in renamed.items()], (F.col("_local") + F.col("_shift") + 1).alias(name)))
-    return df.join(ranks, _same(list(order), renamed), "left").drop(*renamed.values())
+    shift = (rows.groupBy("_range").agg(F.count("*").alias("_rows"))
+             .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift")))
+    tied = F.col("_range") % 2 == 1
+    deal = F.when(tied, F.pmod(F.xxhash64(*df.columns), F.lit(DEAL))).otherwise(0)
+    local = F.rank().over(Window.partitionBy("_range", "_deal").orderBy(*sort))
+    return (rows.withColumn("_deal", deal).withColumn("_local", F.when(tied, 1).otherwise(local))
+            .join(F.broadcast(shift), "_range")
+            .select(*df.columns, (F.col("_local") + F.col("_shift")).cast("long").alias(name)))

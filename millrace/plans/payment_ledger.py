@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import RunWindow
@@ -10,7 +10,7 @@ from ..functions.jsonx import canonical, parse, text_fields
 from ..functions.text import strip_list_marks, strip_parens, text_or_empty
 from ..operators.nested import tagged_elements
 from ..operators.rows import in_window
-from ..sources.sinks import merge_insert_only
+from ..sources.sinks import merge_insert_only, merge_into_buckets
 
 # JSON array column -> description, ledger column -> element field, merge key.
 SOURCES = {
@@ -57,20 +57,37 @@ COLUMNS = [
 def payment_ledger(payments: DataFrame, window: RunWindow, strict: bool = True) -> DataFrame:
     """Ledger rows of the payments updated in the window; no two rows are the same.
 
-    Every ledger column follows from the payment's own columns, the kind and the element text, so rows are
-    made distinct on those seven before the fields are read: the shuffle carries each element once as text
-    and the fields are read after it, once per distinct element. Elements that differ only in the order of
-    their keys are one; their text is the form with sorted keys. Bad JSON fails the job unless ``strict`` is off.
+    Every ledger column follows from the payment's own columns, the kind and the element text, so rows are made distinct on
+    those seven before the fields are read. Elements that differ only in the order of their keys are one; their text is the
+    form with sorted keys, which is dear to make. So the rows are shuffled
+    once as plain text, by their payment and by ``_identity``, which no order of keys changes: equal elements meet, and a
+    payment with very many elements is split. Behind the shuffle repeats of one text go first, and only what is left is put
+    in that form and made distinct by it in the same place.
+    Bad JSON fails the job unless ``strict`` is off.
     """
     base = in_window(payments, "updated_at", window).select(
         "order_id", text_or_empty(F.col("transaction_id")).alias("txn_id"), text_or_empty(F.col("lob")).alias("lob"),
         text_or_empty(F.col("created_at")).alias("created_at"), text_or_empty(F.col("updated_at")).alias("updated_at"), *SOURCES)
-    rows = tagged_elements(base, SOURCES, "description", "arr", strict).withColumn("arr", canonical(F.col("arr"), strict)).distinct()
+    rows = tagged_elements(base, SOURCES, "description", "arr", strict)
+    rows = rows.withColumn("_identity", _identity(F.col("arr")))
+    own = [c for c in rows.columns if c != "arr"]
+    rows = rows.repartition(*own).distinct().withColumn("arr", canonical(F.col("arr"), strict)).distinct()
     rows = rows.withColumn("e", parse(F.col("arr"), text_fields(sorted(set(FIELDS.values())))))
     read = {out: text_or_empty((strip_list_marks if out == "utr" else strip_parens)(F.col(f"e.{name}"))).alias(out)
             for out, name in FIELDS.items()}
     return rows.select(*[read.get(c, c) for c in COLUMNS])
 
 
+def _identity(element: Column) -> Column:
+    """The same for elements that are equal up to the order of their keys and the form of their numbers."""
+    value = F.get_json_object(element, f"$.{FIELDS['pg_txn_id']}")
+    return F.xxhash64(F.coalesce(value.try_cast("double").cast("string"), value))
+
+
 def load_payment_ledger(payments: DataFrame, window: RunWindow, path: str) -> None:
     merge_insert_only(payment_ledger(payments, window), path, KEYS)
+
+
+def merge_payment_ledger(payments: DataFrame, window: RunWindow, name: str, buckets: int = 200) -> None:
+    """The same into a catalog table bucketed by the merge key, which no run shuffles."""
+    merge_into_buckets(payment_ledger(payments, window), name, KEYS, buckets)

@@ -1,13 +1,16 @@
 """Loads into Parquet folders.
 
-Replacing loads write beside the target first and swap whole folders by rename, so the plan may read
-its own target, and a load that fails puts back what it had moved. Adding loads leave the commit to
-Spark and keep the partition folders that the target has. The driver touches folder names only. A
-folder without data files counts as no target: rows loaded into it set its columns anew.
+Replacing loads write beside the target first and swap by rename, so the plan may read its own
+target. The renames are written to an intent file beside the target before the first one: a load that
+fails puts back what it had moved, and after a driver is lost in between, the next load of the target
+(or ``recover``) does the renames that are left. Adding loads leave the commit to Spark and keep the
+partition folders that the target has. The driver touches names only. A folder without data files
+counts as no target: rows loaded into it set its columns anew.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
@@ -20,6 +23,9 @@ from ..functions.dates import RunWindow
 from .staging import stage, unstage
 
 
+_UNDATED = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder name of a NULL partition value
+
+
 def _fs(spark: SparkSession, path: str):
     """Hadoop file system of ``path`` and a string -> Path maker."""
     make = spark._jvm.org.apache.hadoop.fs.Path
@@ -75,54 +81,105 @@ def layout(spark: SparkSession, path: str) -> list[str]:
         out.append(folder.getName().split("=")[0])
 
 
+Move = tuple[str, str]
+
+
+def _undo(fs, make, done: list[Move]) -> None:
+    for src, dst in reversed(done):
+        _move(fs, make(dst), make(src))
+
+
+def _note(fs, make, path: str, moves: list[Move], drop: list[str]) -> None:
+    """The intent file appears whole or not at all."""
+    draft, marker = make(_beside(path, "draft")), make(f"{path}.intent")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps({"moves": moves, "drop": drop}).encode()))
+    out.close()
+    _move(fs, draft, marker)
+
+
+def _swap(spark: SparkSession, path: str, moves: list[Move], staged: str, drop: list[str]) -> None:
+    """Do the renames, all or none; then delete ``drop``."""
+    fs, make = _fs(spark, path)
+    _note(fs, make, path, moves, drop)
+    done: list[Move] = []
+    try:
+        for src, dst in moves:
+            fs.mkdirs(make(dst).getParent())
+            _move(fs, make(src), make(dst))
+            done.append((src, dst))
+    except BaseException:
+        _undo(fs, make, done)
+        fs.delete(make(f"{path}.intent"), False)
+        fs.delete(make(staged), True)
+        raise
+    fs.delete(make(f"{path}.intent"), False)  # first: with the old rows gone, the renames must not be done again
+    for folder in drop:
+        fs.delete(make(folder), True)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a replacing load that a lost driver left half done; whether there was one.
+
+    New rows were complete before the intent was written, so the renames that are left are done: those whose source
+    still stands and whose place is free.
+    """
+    path = path.rstrip("/")
+    fs, make = _fs(spark, path)
+    marker = make(f"{path}.intent")
+    if not fs.exists(marker):
+        return False
+    file = fs.open(marker)
+    intent = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8"))
+    file.close()
+    for src, dst in intent["moves"]:
+        if fs.exists(make(src)) and not fs.exists(make(dst)):
+            fs.mkdirs(make(dst).getParent())
+            _move(fs, make(src), make(dst))
+    fs.delete(marker, False)
+    for folder in intent["drop"]:
+        fs.delete(make(folder), True)
+    return True
+
+
 def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Target becomes exactly ``df``."""
-    spark = df.sparkSession
+    spark, path = df.sparkSession, path.rstrip("/")
+    recover(spark, path)
     staged, old = _beside(path, "staged"), _beside(path, "old")
     df.write.partitionBy(*partition_by).parquet(staged)
     fs, make = _fs(spark, path)
-    if fs.exists(make(path)):
-        _move(fs, make(path), make(old))
-    _move(fs, make(staged), make(path))
-    fs.delete(make(old), True)
+    aside = [(path, old)] if fs.exists(make(path)) else []
+    _swap(spark, path, [*aside, (staged, path)], staged, [old])
 
 
 def replace_window(df: DataFrame, path: str, part_col: str, window: RunWindow) -> None:
     """Target rows dated in the window give way to ``df``; days the new rows leave empty disappear.
 
-    The target is partitioned by the date column ``part_col``. New rows dated outside the window are
-    added to their day. The window's old days are moved aside and deleted last; a failure on the way
-    moves everything back.
+    The target is partitioned by the date column ``part_col``. Undated new rows replace the undated rows of the target,
+    which stay if there are none. New rows dated outside the window are added to their day, file by file. The window's
+    old days are moved aside and deleted last.
     """
-    spark = df.sparkSession
+    spark, path = df.sparkSession, path.rstrip("/")
+    recover(spark, path)
     staged, aside = _beside(path, "staged"), _beside(path, "old")
     df.write.partitionBy(part_col).parquet(staged)
     fs, make = _fs(spark, path)
+    new, current = _partitions(fs, make, staged, part_col), _partitions(fs, make, path, part_col)
 
     def inside(value: str) -> bool:
         day = _day(value)
-        return day is not None and window.start <= day <= window.end
-
-    new, current = _partitions(fs, make, staged, part_col), _partitions(fs, make, path, part_col)
-    moves = [(folder, make(f"{aside}/{part_col}={value}")) for value, folder in current.items() if inside(value)]
-    moves += [(folder, make(f"{path}/{part_col}={value}")) for value, folder in new.items() if inside(value)]
-    others = [folder.toString() for value, folder in new.items() if not inside(value)]
-    done = []
+        return value == _UNDATED and value in new or day is not None and window.start <= day <= window.end
+
+    at = lambda top, value: f"{top}/{part_col}={value}"
+    moves = [(folder.toString(), at(aside, value)) for value, folder in current.items() if inside(value)]
+    for value, folder in new.items():
+        if inside(value):
+            moves.append((folder.toString(), at(path, value)))
+        else:
+            moves += [(f.getPath().toString(), f"{at(path, value)}/{f.getPath().getName()}") for f in fs.listStatus(folder)]
     fs.mkdirs(make(path))
-    fs.mkdirs(make(aside))
-    try:
-        for src, dst in moves:
-            _move(fs, src, dst)
-            done.append((src, dst))
-        if others:
-            rest = spark.read.schema(df.schema).option("basePath", staged).parquet(*others)
-            rest.write.mode("append").partitionBy(part_col).parquet(path)
-    except BaseException:
-        for src, dst in reversed(done):
-            _move(fs, dst, src)
-        raise
-    fs.delete(make(aside), True)
-    fs.delete(make(staged), True)
+    _swap(spark, path, moves, staged, [aside, staged])
 
 
 def purge_before(spark: SparkSession, path: str, part_col: str, cutoff: date) -> None:
@@ -156,6 +213,7 @@ def _fitted(df: DataFrame, path: str, partition_by: Sequence[str]) -> tuple[Data
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows, aligned by name to the target and in its partition folders when it exists."""
+    recover(df.sparkSession, path)
     rows, parts = _fitted(df, path, partition_by)
     rows.write.mode("append").partitionBy(*parts).parquet(path)
 
@@ -184,11 +242,38 @@ def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
 def merge_insert_only(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
     """Insert-only MERGE: keys already in the target are left alone. Keys must not be NULL."""
     spark = source.sparkSession
+    recover(spark, path)
     if exists(spark, path):
         source = unmatched(stage(source, "merge_source"), spark.read.parquet(path), keys)
     append(source, path, partition_by)
 
 
+def new_rows(source: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """Source rows, in the columns of the bucketed table ``name``, whose key is not in it.
+
+    The table is bucketed by the merge key, so only the source is shuffled, into the table's buckets. The hint keeps the
+    table out of a broadcast, whatever its size.
+    """
+    target = source.sparkSession.table(name)
+    keys = list(keys)
+    rows = align_to(source, target.schema)
+    return rows.join(target.select(*keys).hint("merge"), keys, "left_anti").select(*rows.columns)
+
+
+def merge_into_buckets(source: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
+    """Insert-only MERGE into a catalog table bucketed by the merge key; the first load creates it.
+
+    A target that grows with every run is then never shuffled: its buckets are read where they lie, without the columns
+    beyond the key. A task writes one file, for the bucket it has compared. Keys must not be NULL.
+    """
+    keys = list(keys)
+    if source.sparkSession.catalog.tableExists(name):
+        rows = new_rows(source, name, keys)
+    else:
+        rows = source.repartition(buckets, *keys)
+    rows.write.mode("append").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
 def insert_into(df: DataFrame, name: str) -> None:
     """Add rows to a catalog table, aligned by name to the schema that the catalog holds for it."""
     align_to(df, df.sparkSession.table(name).schema).write.insertInto(name)

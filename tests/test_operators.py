@@ -1,3 +1,4 @@
+import itertools
 import random
 from datetime import date, datetime, timedelta
 
@@ -72,11 +73,11 @@ def test_next_row_in_buckets_equals_the_plain_window(spark, rows):
 
 
 @pytest.mark.parametrize("strict", [True, False])
-@pytest.mark.parametrize("bucket", [None, "day", "week"])
-def test_asof_equals_brute_force(spark, rows, strict, bucket):
+@pytest.mark.parametrize("ranges", [1, 7, 40, None])
+def test_asof_equals_brute_force(spark, rows, strict, ranges):
     lefts, left = _timeline(spark, 120, 3)
     rights, right = _timeline(spark, 60, 4, days=9)
-    got = ordered.asof_join(left, right, {"k": "k"}, "t", "t", {"i": "ri", "t": "rt"}, strict, bucket)
+    got = ordered.asof_join(left, right, {"k": "k"}, "t", "t", {"i": "ri", "t": "rt"}, strict, ranges)
     want = []
     for i, k, t in lefts:
         before = [(rt, ri) for ri, rk, rt in rights if rk == k and (rt < t or (rt == t and not strict))]
@@ -92,6 +93,48 @@ def test_asof_null_keys_values_and_times(spark, rows):
     assert rows(out.select("i", "v", "rt")) == [(1, None, datetime(2024, 1, 2)), (2, None, None), (3, None, None)]
 
 
+@pytest.mark.parametrize("instants", [3_000_000, 3])
+def test_asof_with_a_third_of_all_rows_in_one_key_and_hour(spark, rows, instants):
+    """Ranges split the hot key; rows of one instant are ranges of their own."""
+    base = datetime(2024, 1, 1)
+    hot = lambda n: (spark.range(n).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997))
+                     .withColumn("t", (F.lit(base.timestamp()) + F.when(F.col("k") == 0, F.pmod(F.xxhash64("id"), F.lit(instants)) / instants * 3600)
+                                       .otherwise(F.pmod(F.xxhash64("id"), F.lit(86400 * 20)))).cast("timestamp")))
+    left, right = hot(24_000), hot(6_000).withColumn("id", -F.col("id"))
+    both = left.select("k", "t").unionByName(right.select("k", "t"))
+    sizes = both.groupBy(ordered.range_of(both, {"k": True, "t": True}, 64).alias("r")).count().collect()
+    even = [r["count"] for r in sizes if r["r"] % 2 == 0]
+    assert max(even) <= 2 * 30_000 / 64 and sum(r["count"] for r in sizes) == 30_000
+    got = ordered.asof_join(left, right, {"k": "k"}, "t", "t", {"id": "rid", "t": "rt"}, ranges=64)
+    window = Window.partitionBy("k").orderBy("t", "side", "v").rowsBetween(Window.unboundedPreceding, 0)
+    plain = (left.selectExpr("id", "k", "t", "0 side", "null v").unionByName(right.selectExpr("null id", "k", "t", "1 side", "struct(id, t) v"))
+             .withColumn("hit", F.last("v", ignorenulls=True).over(window)).where("id is not null").selectExpr("id", "k", "t", "hit.id rid", "hit.t rt"))
+    assert rows(got) == rows(plain)
+
+
+def test_rank_is_one_shuffle_and_splits_ties(spark, rows):
+    """Half of all rows tie; a range of ties is dealt out, and the rows are shuffled once."""
+    df = spark.range(20_000).withColumn("v", F.when(F.col("id") % 2 == 0, 5).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000))))
+    ranked = ordered.global_rank(df, {"v": True}, "p", 32)
+    assert rows(ranked) == rows(df.withColumn("p", F.rank().over(Window.orderBy("v")).cast("long")))
+    plan = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(_range") == 2 and "hashpartitioning(_range#" in plan  # rows, and counts per range
+    assert plan.count("rangepartitioning") == 0
+    sizes = df.groupBy(ordered.range_of(df, {"v": True}, 32).alias("r")).count().collect()
+    assert max(r["count"] for r in sizes if r["r"] % 2 == 0) <= 2 * 10_000 / 16
+
+
+def test_ranges_follow_the_order(spark):
+    """Random rows of two columns, NULLs in both, any direction: range numbers never fall along the order."""
+    r = random.Random(9)
+    df = spark.createDataFrame([(r.choice([None, 1.5, 2.0, float("nan"), -1.0]), r.choice([None, "a", "b", "c"])) for _ in range(300)], "x double, y string")
+    for up_x, up_y, last in itertools.product([True, False], repeat=3):
+        cut = ordered.range_of(df, {"x": up_x, "y": up_y}, 6, last)
+        sort = [getattr(F.col(c), f"{'asc' if up else 'desc'}_nulls_{'last' if last else 'first'}")() for c, up in (("x", up_x), ("y", up_y))]
+        found = [row["r"] for row in df.withColumn("r", cut).orderBy(*sort).collect()]
+        assert found == sorted(found) and len(set(found)) > 5
+
+
 def test_global_rank_equals_rank(spark, rows):
     r = random.Random(5)
     data = [(i, r.choice([0.5, 0.5, 0.5, r.random(), None]), r.randrange(4)) for i in range(400)]

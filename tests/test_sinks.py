@@ -1,3 +1,5 @@
+import os
+import uuid
 from datetime import date, datetime
 
 import pytest
@@ -163,3 +165,97 @@ def test_insert_into_catalog_table(spark, rows):
     sinks.save_report(spark.createDataFrame([(1, "a")], "id int, v string"), "grown")
     sinks.insert_into(spark.createDataFrame([("b", "2", 0)], "V string, ID string, extra int"), "grown")
     assert rows(spark.table("grown")) == [(1, "a"), (2, "b")]
+
+
+def _lost_after(monkeypatch, moves):
+    """The driver is lost after so many renames of the swap: the next one fails and nothing is put back."""
+    real, done = sinks._move, []
+
+    def move(fs, src, dst):
+        if "draft" not in src.getName():
+            if len(done) == moves:
+                raise KeyboardInterrupt
+            done.append(src)
+        real(fs, src, dst)
+
+    def lost(fs, make, done):
+        raise SystemExit
+
+    monkeypatch.setattr(sinks, "_move", move)
+    monkeypatch.setattr(sinks, "_undo", lost)
+
+
+@pytest.mark.parametrize("moves", [0, 1])
+def test_refresh_half_done_is_finished_by_the_next_load(spark, rows, tmp_path, monkeypatch, moves):
+    path = str(tmp_path / "t")
+    sinks.full_refresh(spark.range(2), path)
+    with monkeypatch.context() as m:
+        _lost_after(m, moves)
+        with pytest.raises(SystemExit):
+            sinks.full_refresh(spark.range(5, 8), path)
+    assert os.path.exists(path + ".intent") and os.path.exists(path) == (moves == 0)
+    assert sinks.recover(spark, path) and not sinks.recover(spark, path)
+    assert rows(spark.read.parquet(path)) == [(5,), (6,), (7,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+@pytest.mark.parametrize("fails_at", [0, 1])
+def test_refresh_that_fails_between_its_moves_puts_the_target_back(spark, rows, tmp_path, monkeypatch, fails_at):
+    path = str(tmp_path / "t")
+    sinks.full_refresh(spark.range(2), path)
+    real, seen = sinks._move, []
+
+    def move(fs, src, dst):
+        seen.append(src.getName())
+        if len([n for n in seen if "draft" not in n]) == fails_at + 1:
+            raise IOError("no")
+        real(fs, src, dst)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_move", move)
+        with pytest.raises(IOError, match="no"):
+            sinks.full_refresh(spark.range(9), path)
+    assert sinks.exists(spark, path) and rows(spark.read.parquet(path)) == [(0,), (1,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+@pytest.mark.parametrize("moves", range(5))
+def test_window_half_done_is_finished_by_the_next_load(spark, rows, tmp_path, monkeypatch, moves):
+    """Days 2 and 3 give way to a new day 2; day 4 gets a row more; the next load is of another day."""
+    path, window = str(tmp_path / "t"), RunWindow(date(2024, 1, 2), date(2024, 1, 3))
+    sinks.full_refresh(frame(spark, (1, "a"), (2, "b"), (3, "c"), (4, "d")), path, ["dt"])
+    with monkeypatch.context() as m:
+        _lost_after(m, moves)
+        try:
+            sinks.replace_window(frame(spark, (2, "B"), (4, "late")).coalesce(1), path, "dt", window)
+        except SystemExit:
+            assert moves < 4
+    sinks.replace_window(frame(spark, (1, "A")), path, "dt", RunWindow.day(date(2024, 1, 1)))
+    assert rows(spark.read.parquet(path).select("v")) == [("A",), ("B",), ("d",), ("late",)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_undated_rows_replace_undated_rows(spark, rows, tmp_path):
+    path, window = str(tmp_path / "t"), RunWindow.day(date(2024, 1, 2))
+    new = spark.createDataFrame([(date(2024, 1, 2), "x"), (None, "undated")], "dt date, v string")
+    for _ in range(3):
+        sinks.replace_window(new, path, "dt", window)
+    assert rows(spark.read.parquet(path).select("v")) == [("undated",), ("x",)]
+    sinks.replace_window(frame(spark, (2, "y")), path, "dt", window)
+    assert rows(spark.read.parquet(path).select("v")) == [("undated",), ("y",)]
+
+
+def test_merge_into_buckets_never_shuffles_the_target(spark, rows):
+    name, keys = f"merged_{uuid.uuid4().hex}", ["k", "g"]
+    row = lambda a, b, v: spark.range(a, b).select((F.col("id") % 50).alias("k"), F.col("id").cast("string").alias("g"), F.lit(v).alias("v"))
+    sinks.merge_into_buckets(row(0, 200, "old"), name, keys, 4)
+    new = row(100, 300, "new").withColumn("extra", F.lit(1))
+    plan = sinks.new_rows(new, name, keys)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Bucketed: true" in text and "SortMergeJoin" in text and "Broadcast" not in text
+    assert text.index("Exchange") < text.index("FileScan")  # the source's side
+    for _ in range(2):
+        sinks.merge_into_buckets(new.unionByName(new.where("g = '250'")), name, keys, 4)
+    found = spark.table(name).groupBy("v").agg(F.count("*"), F.countDistinct("g"))
+    assert rows(found) == [("new", 101, 100), ("old", 200, 200)]
+    assert len(spark.table(name).inputFiles()) <= 3 * 4
