@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 from typing import Literal
@@ -77,6 +78,39 @@ def update_from(df: DataFrame, src: DataFrame, on: dict[str, str], assign: dict[
     return df.join(unique, cond, "left").select(*[updated(c).alias(c) if c in new else F.col(f"`{c}`") for c in types])
 
 
+@dataclass(frozen=True)
+class Overlay:
+    """One source of ``overlay``: its key column, what it assigns, and as in ``update_from`` ``keep`` and ``pick``."""
+
+    src: DataFrame
+    key: str
+    assign: dict[str, Column]
+    keep: Literal["coalesce", "flag"] = "coalesce"
+    pick: Sequence[Column] = ()
+
+
+def overlay(df: DataFrame, key: str, overlays: Sequence[Overlay]) -> DataFrame:
+    """Several set-based UPDATE ... FROM on one key at once, in the order given; row count never changes.
+
+    The sources become one union of rows (key, one struct for each source), which is aggregated once: the greatest struct
+    of a source, its ``pick`` values first, is the row that counts. So there is one shuffle of all sources, combined before
+    it, and one join, where a chain of updates has two shuffles and a join for each.
+    """
+    types = {f.name: f.dataType for f in df.schema}
+    rows = [o.src.select(F.col(o.key).alias("_o_key"), F.struct(
+        *[c.alias(f"o{i}") for i, c in enumerate(o.pick)],
+        *[v.cast(types[t]).alias(f"v{i}") for i, (t, v) in enumerate(o.assign.items())]).alias(f"_o_{n}"))
+        for n, o in enumerate(overlays)]
+    tagged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows).filter(F.col("_o_key").isNotNull())
+    best = tagged.groupBy("_o_key").agg(*[F.max(f"_o_{n}").alias(f"_o_{n}") for n in range(len(overlays))])
+    new = {t: F.col(f"`{t}`") for t in types}
+    for n, o in enumerate(overlays):
+        for i, t in enumerate(o.assign):
+            given, hit = F.col(f"_o_{n}.v{i}"), F.col(f"_o_{n}").isNotNull()
+            new[t] = F.coalesce(given, new[t]) if o.keep == "coalesce" else F.when(hit, given).otherwise(new[t])
+    return df.join(best, F.col(key) == F.col("_o_key"), "left").select(*[v.alias(t) for t, v in new.items()])
+
+
 def cast_key(df: DataFrame, *cols: str, kind: str = "string") -> DataFrame:
     """Keys brought to one type before the join, so the join itself stays a plain equi-join."""
     return df.withColumns({c: F.col(c).try_cast(kind) for c in cols})

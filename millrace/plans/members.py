@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import age_years, effective
 from ..functions.numbers import unsentinel
 from ..functions.text import classify_like, first_match, ieq
-from ..operators.joins import decode_multi, star, update_from
+from ..operators.joins import Overlay, decode_multi, overlay, star, update_from
 from ..operators.ordered import numbered, top1
 from ..operators.rows import with_defaults
 from ..operators.spans import continuous_start, days_since_opt_out, span_gaps, term_before_gap
@@ -179,12 +179,6 @@ def member_frame(active: DataFrame, streams: DataFrame, e: Enrolment, delegate:
     return with_defaults(rows.drop("_login", "languageid").distinct(), values.PLACEHOLDERS)
 
 
-def restricted_spans(e: Enrolment, attributes: DataFrame, as_of: date) -> DataFrame:
-    held = (attributes.filter((F.col("attributeid") == values.RESTRICTED_ATTRIBUTE) & effective(F.col("effdate"), F.col("termdate"), as_of, strict=False))
-            .select("memid", F.col("effdate").alias("maeffdate"), F.col("termdate").alias("matermdate")))
-    return _internal(e.keys).select("memid", "carriermemid").distinct().join(held, "memid").drop("memid").distinct()
-
-
 def opt_in_after_opt_out(keys: DataFrame, opt_out_plan: str = values.OPT_OUT_PLAN, opt_in_plan: str = values.OPT_IN_PLAN) -> DataFrame:
     """Member's latest opt-in that began after an opt-out ended."""
     spans = _internal(keys).select("memid", F.col("carriermemid").alias("medicaidid"), F.col("effdate").alias("eff"),
@@ -193,16 +187,6 @@ def opt_in_after_opt_out(keys: DataFrame, opt_out_plan: str = values.OPT_OUT_PLA
                               "memid", ["medicaidid"])
 
 
-def covered_spans(e: Enrolment, coverage_code: DataFrame, as_of: date) -> DataFrame:
-    """Coverage spans of members of the line of business that had begun by the day."""
-    begun = (F.col("effdate") < F.col("termdate")) & ~F.col("ratecode").like("H%") & (F.col("effdate") <= F.lit(as_of))
-    keys = _internal(e.keys).filter(begun & line_of_business(F.col("planid")).like("MMP%")).select("memid", "enrollid")
-    coverage = e.coverage.filter(begun).select("enrollid", "effdate", "termdate", "coveragecodeid", "ratecode")
-    return (keys.join(coverage, "enrollid")
-            .join(coverage_code.select("coveragecodeid", F.col("description").alias("waivertype")), "coveragecodeid", "left")
-            .select("memid", "effdate", "termdate", "coveragecodeid", "waivertype", "ratecode").distinct())
-
-
 def enrolment_dates(spans: DataFrame, as_of: date, bucket: Column | None = None) -> DataFrame:
     """Per member: start of the current stretch, end before the last gap, and whether a span is in force."""
     ties = ["coveragecodeid", "ratecode"]
@@ -222,56 +206,84 @@ def building(addr: Column, other_addr: Column, city: Column) -> Column:
     return first_match([(before != "", before), (with_city, F.lit(values.CITY_BUILDING[2]))], after)
 
 
+def _enrolled(e: Enrolment, as_of: date) -> DataFrame:
+    """One row per member, carrier id and start: whether it is a Medicare span in force, the first end of an opt-out, the
+    last start of an opt-in, and the last entry that was made on the start or later."""
+    col, lasting = F.col, F.col("effdate") <= F.col("termdate")
+    medicare = (col("planid") == values.MEDICARE_PLAN) & effective(col("effdate"), col("termdate"), as_of)
+    plan_is = lambda plan: lasting & (col("planid") == plan)
+    return _internal(e.keys).groupBy("memid", "carriermemid", "effdate").agg(
+        F.max(medicare).alias("medicare"),
+        F.min(F.when(plan_is(values.OPT_OUT_PLAN), col("termdate"))).alias("first_out"),
+        F.max(F.when(plan_is(values.OPT_IN_PLAN), col("effdate"))).alias("last_in"),
+        F.max(F.when(col("createdate") >= col("effdate"), col("createdate"))).alias("entered"))
+
+
+def _covered(e: Enrolment, coverage_code: DataFrame, as_of: date) -> DataFrame:
+    """Enrolments of the line of business with their coverages: what the covered spans and the last end are read from."""
+    spans = _internal(e.keys).filter(line_of_business(F.col("planid")).like("MMP%")).select(
+        "memid", "enrollid", F.col("termdate").alias("enrolment_end"), _begun(as_of).alias("key_begun"), _kept().alias("key_kept"))
+    coverage = e.coverage.select("enrollid", "effdate", "termdate", "coveragecodeid", "ratecode",
+                                 _begun(as_of).alias("begun"), _kept().alias("kept"))
+    waiver = coverage_code.select("coveragecodeid", F.col("description").alias("waivertype"))
+    return spans.join(coverage.filter("begun or kept"), "enrollid").join(waiver, "coveragecodeid", "left")
+
+
+def _kept() -> Column:
+    return (F.col("termdate") > F.col("effdate")) & ~F.col("ratecode").like("H%")
+
+
+def _begun(as_of: date) -> Column:
+    return _kept() & (F.col("effdate") <= F.lit(as_of))
+
+
 def overlay_members(frame: DataFrame, e: Enrolment, cases: DataFrame, attributes: DataFrame, coverage_code: DataFrame,
                     visits: DataFrame, as_of: date) -> DataFrame:
-    """The overlay steps, each a left join to a source with one row per key; a member keeps one row."""
-    col = F.col
-    medicare = _internal(e.keys).filter((col("planid") == values.MEDICARE_PLAN) & effective(col("effdate"), col("termdate"), as_of))
-    out = update_from(frame, medicare, {"memid": "memid"}, {"medicareid": col("carriermemid")}, pick=[col("carriermemid")])
+    """The overlay steps; a member keeps one row.
 
+    Sources with the same key are one union and one join (``overlay``): those by member, those by carrier id, and last the
+    entry date, whose key is a date that the others set. The enrolment keys are scanned twice, alone and with coverages.
+    """
+    col = F.col
+    held = lambda attribute: (col("attributeid") == attribute) & effective(col("effdate"), col("termdate"), as_of, strict=False)
     level = first_match([
         (ieq(col("acuity"), "low") & (col("phase") == "Active"), F.lit("Low")),
         (ieq(col("acuity"), "low") & (col("phase") == "Monitoring"), F.lit("Monitoring")),
         (col("acuity") == "Catastrophic", F.lit("Intensive")),
     ], col("acuity"))
-    out = update_from(out, cases, {"memid": "memid"}, {"ccastratification": level}, keep="flag", pick=[col("lastupdated"), col("caseid")])
-
-    out = update_from(out, restricted_spans(e, attributes, as_of), {"carriermemid": "carriermemid"},
-                      {"restricted": F.lit(1), "restricted effective date": col("maeffdate"), "restricted term date": col("matermdate")},
-                      keep="flag", pick=[col("maeffdate"), col("matermdate")])
-
-    opted = opt_in_after_opt_out(e.keys).groupBy("memid").agg(F.max("latest_opt_in").alias("latest_opt_in"))
-    out = update_from(out, opted, {"memid": "memid"}, {"mostrecentoptindate": col("latest_opt_in")})
-
-    spans = stage(covered_spans(e, coverage_code, as_of), "covered_spans")
+    enrolled = stage(_enrolled(e, as_of), "enrolled")
+    opted = (enrolled.groupBy("memid").agg(F.max("last_in").alias("latest_opt_in"), F.min("first_out").alias("first_out"))
+             .filter(col("latest_opt_in") > col("first_out")))
+    covered = stage(_covered(e, coverage_code, as_of), "covered")
+    spans = covered.filter("key_begun and begun").select("memid", "effdate", "termdate", "coveragecodeid", "waivertype", "ratecode").distinct()
     dates = enrolment_dates(spans, as_of)
-    out = update_from(out.withColumn("enrollmentstatus", F.lit("Disenrolled")), dates, {"memid": "memid"}, {
-        "mcpenrollmentdate": col("firsteffdate"),
-        "mostrecenttermpriortoenrollmentgap": col("mostrecenttermdatewithgap"),
-        "enrollmentstatus": F.when(col("is_active") == 1, "Active"),
-    })
-
-    kept = lambda df: df.filter((col("termdate") > col("effdate")) & ~col("ratecode").like("H%"))
-    ended = (kept(_internal(e.keys)).filter(line_of_business(col("planid")).like("MMP%"))
-             .join(kept(e.coverage).select("enrollid"), "enrollid", "left_semi")
-             .groupBy("memid").agg(F.max("termdate").alias("maxtermdate")))
-    out = update_from(out, ended, {"memid": "memid"}, {"mcptermdate": col("maxtermdate")})
-
-    late = (_internal(e.keys).filter(col("createdate") >= col("effdate"))
-            .select("memid", col("effdate").cast("timestamp").alias("effdate"), "createdate"))
-    out = update_from(out, late, {"memid": "memid", "mcpenrollmentdate": "effdate"},
-                      {"retroenrolledaftereffdate": col("createdate")}, pick=[col("createdate")])
-
-    homes = (attributes.filter((col("attributeid") == values.HEALTH_HOME_ATTRIBUTE) & effective(col("effdate"), col("termdate"), as_of, strict=False))
-             .select("memid").distinct())
-    out = update_from(out, homes, {"memid": "memid"}, {"healthhomemember": F.lit("X")})
-
+    ended = covered.filter("key_kept and kept").groupBy("memid").agg(F.max("enrolment_end").alias("maxtermdate"))
+    homes = attributes.filter(held(values.HEALTH_HOME_ATTRIBUTE)).select("memid").distinct()
     addresses = (e.entity.join(e.member.select("memid", col("entityid").alias("entid")), "entid")
                  .select("memid", building(col("addr1"), col("phyaddr1"), col("city")).alias("ncr")))
-    out = update_from(out, addresses, {"memid": "memid"}, {"ncr": col("ncr")}, pick=[col("ncr")])
-
+    out = overlay(frame.withColumn("enrollmentstatus", F.lit("Disenrolled")), "memid", [
+        Overlay(enrolled.filter("medicare"), "memid", {"medicareid": col("carriermemid")}),
+        Overlay(cases, "memid", {"ccastratification": level}, "flag", [col("lastupdated"), col("caseid")]),
+        Overlay(opted, "memid", {"mostrecentoptindate": col("latest_opt_in")}),
+        Overlay(dates, "memid", {"mcpenrollmentdate": col("firsteffdate"),
+                                 "mostrecenttermpriortoenrollmentgap": col("mostrecenttermdatewithgap"),
+                                 "enrollmentstatus": F.when(col("is_active") == 1, "Active")}),
+        Overlay(ended, "memid", {"mcptermdate": col("maxtermdate")}),
+        Overlay(homes, "memid", {"healthhomemember": F.lit("X")}),
+        Overlay(addresses, "memid", {"ncr": col("ncr")}),
+    ])
+    spans_held = attributes.filter(held(values.RESTRICTED_ATTRIBUTE)).select(
+        "memid", col("effdate").alias("maeffdate"), col("termdate").alias("matermdate"))
+    restricted = enrolled.select("memid", "carriermemid").distinct().join(spans_held, "memid")
     seen = visits.filter(col("rankbysuccessful") == 1).select("carriermemid", col("Contact Date").alias("contact"))
-    return update_from(out, seen, {"carriermemid": "carriermemid"}, {"mostrecentsuccessfulf2f": col("contact")}, pick=[col("contact")])
+    out = overlay(out, "carriermemid", [
+        Overlay(restricted, "carriermemid", {"restricted": F.lit(1), "restricted effective date": col("maeffdate"),
+                                             "restricted term date": col("matermdate")}, "flag", [col("maeffdate"), col("matermdate")]),
+        Overlay(seen, "carriermemid", {"mostrecentsuccessfulf2f": col("contact")}),
+    ])
+    late = (enrolled.filter("entered is not null").groupBy("memid", col("effdate").cast("timestamp").alias("effdate"))
+            .agg(F.max("entered").alias("entered")))
+    return update_from(out, late, {"memid": "memid", "mcpenrollmentdate": "effdate"}, {"retroenrolledaftereffdate": col("entered")})
 
 
 def member_report(overlaid: DataFrame, at: datetime, by: str = "PySpark") -> DataFrame:

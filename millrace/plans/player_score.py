@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import contains_text, first_match, has_digit
 from ..operators.ordered import global_rank
+from ..sources.staging import stage
 
 # Score weights.
 GAMES, TIME, PROMOTIONS, VISITS = "0.3", "0.4", "0.2", "0.1"
@@ -47,7 +48,7 @@ def player_tiers(players: DataFrame, min_bet: float = 500, risk: str | None = No
 def player_report(players: DataFrame, min_bet: float = 500, risk: str | None = None, keyword: str | None = None,
                   anchored_digit: bool = False) -> DataFrame:
     """Tiers ranked over all players by score, then id, in rank order."""
-    tiers = player_tiers(players, min_bet, risk, keyword, anchored_digit)
+    tiers = stage(player_tiers(players, min_bet, risk, keyword, anchored_digit), "tiers")  # ranking reads it several times
     ranked = global_rank(tiers, {"engagementscore": False, "playerid": True}, "playerrank")
     return ranked.orderBy(F.col("playerrank").asc_nulls_last(), F.col("playertier").desc_nulls_first(),
                           F.col("engagementscore").desc_nulls_first())

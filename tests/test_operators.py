@@ -176,6 +176,23 @@ def test_update_from(spark, rows):
     assert rows(flagged) == [(1, "newer", "p"), (2, None, "q"), (3, "old", "r")]
 
 
+def test_overlay_equals_a_chain_of_updates(spark, rows):
+    r = random.Random(12)
+    base = spark.createDataFrame([(k, "old", r.choice([None, 1]), None) for k in [*range(8), None, 3]], "k int, `a b` string, n int, d date")
+    one = spark.createDataFrame([(r.randrange(9), r.choice([None, "x", "y", "z"]), r.choice([None, 1, 2])) for _ in range(40)], "id int, v string, at int")
+    two = spark.createDataFrame([(r.randrange(12), r.randrange(99)) for _ in range(6)] + [(None, 7)], "key int, n int")
+    three = spark.createDataFrame([(k, date(2024, 1, 1 + k)) for k in range(4)], "k int, d date")
+    parts = [joins.Overlay(one, "id", {"a b": F.col("v")}, "flag", [F.col("at")]), joins.Overlay(two, "key", {"n": F.col("n") * 2, "a b": F.col("n").cast("string")}),
+             joins.Overlay(three, "k", {"d": F.col("d")})]
+    chain = base
+    for o in parts:
+        chain = joins.update_from(chain, o.src, {"k": o.key}, o.assign, o.keep, [*o.pick, *o.assign.values()])
+    out = joins.overlay(base, "k", parts)
+    assert rows(out) == rows(chain) and out.columns == base.columns
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Join") == 1 and plan.count("Window") == 0
+
+
 def test_cast_key(spark, rows):
     out = joins.cast_key(spark.createDataFrame([("1",), ("x",), (" 2 ",)], "k string"), "k", kind="decimal(38,0)")
     assert [None if r.k is None else int(r.k) for r in out.collect()] == [1, None, 2]
