@@ -6,6 +6,7 @@ import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,17 @@ def arrow_type(schema: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in schema.split(","))])
 
 
+def packed_numbers(values: np.ndarray) -> bytes:
+    """64-bit numbers, byte plane by byte plane, compressed: small or repeated ones take little room in a shuffle."""
+    planes = values.astype("<i8" if values.dtype.kind == "i" else "<u8").view(np.uint8).reshape(-1, 8).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_numbers(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").reshape(-1)
+
+
 def _give_back() -> None:
     """Return freed memory to the system: Python workers live on and serve later stages, beside those of other tasks."""
     gc.collect()

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import scope, stage, unstage
-from .arrow import map_arrow, pieces
+from .arrow import map_arrow, packed_numbers, pieces, unpacked_numbers
 from .shingles import mix
 
 LONGEST = 3
@@ -127,16 +127,6 @@ class Counted:
             self.parts.append((k, at, code[at], freq[owner[at]]))
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Numbers, byte plane by byte plane, compressed."""
-    return pa.compress(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
-
-
-def _unpacked(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").reshape(-1)
-
-
 def _of_piece(piece: pa.RecordBatch, longest: int) -> Counted:
     return Counted(piece["lang"], piece["chunk"], piece["last"].to_numpy(zero_copy_only=False), piece["freq"].to_numpy(), longest)
 
@@ -182,7 +172,7 @@ def _codes(chunks: DataFrame, longest: int, bits: int, bucket_bits: int) -> Data
                 bucket = (codes >> np.uint64(bits - bucket_bits)).astype(np.int64)
                 edge = np.flatnonzero(np.diff(bucket, prepend=-1))
                 for i, j in zip(edge.tolist(), np.append(edge[1:], len(codes)).tolist()):
-                    rows.append((grp, int(bucket[i]), j - i, _packed(np.diff(codes[i:j], prepend=np.uint64(0))), _packed(counts[i:j])))
+                    rows.append((grp, int(bucket[i]), j - i, packed_numbers(np.diff(codes[i:j], prepend=np.uint64(0))), packed_numbers(counts[i:j])))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
     return map_arrow(chunks, run, kind)
@@ -193,11 +183,11 @@ def _frequent(codes: DataFrame, width: int, least: int) -> DataFrame:
     schema = pa.schema([("grp", pa.int32()), ("n", pa.int32()), ("codes", pa.binary())])
 
     def of_bucket(rows: list[tuple]) -> pa.RecordBatch:
-        codes_ = [np.cumsum(_unpacked(r[2], r[1]), dtype=np.uint64) for r in rows]
-        values, _, sums = _sums(np.concatenate(codes_), np.concatenate([_unpacked(r[3], r[1]) for r in rows]).astype(np.int64))
+        codes_ = [np.cumsum(unpacked_numbers(r[2], r[1]), dtype=np.uint64) for r in rows]
+        values, _, sums = _sums(np.concatenate(codes_), np.concatenate([unpacked_numbers(r[3], r[1]) for r in rows]).astype(np.int64))
         often = values[sums >= least]
         hits = [c[np.isin(c, often, assume_unique=True)] for c in codes_]
-        found = [(r[0], len(h), _packed(h)) for r, h in zip(rows, hits) if len(h)]
+        found = [(r[0], len(h), packed_numbers(h)) for r, h in zip(rows, hits) if len(h)]
         return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t.type) for k, t in enumerate(schema)], schema=schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +244,7 @@ def _phrases(chunks: DataFrame, frequent: DataFrame, width: int, longest: int, b
                 if grp != group:
                     group, parts, often = grp, [], None
                 told = rows_.filter(pc.equal(rows_["kind"], 0))
-                parts += [_unpacked(c, n) for c, n in zip(told["codes"].to_pylist(), told["n"].to_pylist())]
+                parts += [unpacked_numbers(c, n) for c, n in zip(told["codes"].to_pylist(), told["n"].to_pylist())]
                 rows_ = rows_.filter(pc.equal(rows_["kind"], 1))
                 if rows_.num_rows:
                     if often is None:  # all answers of a group come before its chunks

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import scope, stage, unstage
-from .arrow import Piece, arrow_type, map_arrow, map_pieces, pieces
+from .arrow import Piece, arrow_type, map_arrow, map_pieces, packed_numbers, pieces, unpacked_numbers
 from .components import components
 from .shingles import mix, shingle_sets
 
@@ -132,9 +132,9 @@ def describe(df: DataFrame) -> DataFrame:
 
 
 def _signature_blocks(df: DataFrame, buckets: int) -> DataFrame:
-    """bucket, signatures (32 bits beyond the bucket), documents (differences of ascending ids), bands and the filled and
-    wanted blocks of the band, packed."""
-    schema = "bucket int, signatures binary, documents binary, bands binary, filled binary, wanted binary"
+    """bucket, signatures (32 bits beyond the bucket), documents (differences of ascending ids) and the band of each with its
+    filled and wanted blocks, packed."""
+    schema = "bucket int, signatures binary, documents binary, bands binary"
     out = arrow_type(schema)
 
     def packed(ids: list[int], found: list[tuple]) -> pa.RecordBatch:
@@ -142,7 +142,8 @@ def _signature_blocks(df: DataFrame, buckets: int) -> DataFrame:
         values, bands = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
         # a set's bands come in runs, in the order of its list
         runs = [(np.count_nonzero(f[1] == band), filled, wanted) for f in found for band, filled, wanted in f[2]]
-        limits = np.repeat(np.array([r[1:] for r in runs], np.int32), [r[0] for r in runs], axis=0)
+        limits = np.repeat(np.array([r[1:] for r in runs], np.uint64), [r[0] for r in runs], axis=0)
+        bands = bands.astype(np.uint64) << np.uint64(56) | limits[:, 0] << np.uint64(28) | limits[:, 1]
         bucket = (values >> np.uint64(32)) % np.uint64(buckets)
         order = np.lexsort((owner, bucket))
         edge = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
@@ -150,8 +151,8 @@ def _signature_blocks(df: DataFrame, buckets: int) -> DataFrame:
         for b, (i, j) in enumerate(zip(edge[:-1], edge[1:])):
             if j > i:
                 at = order[i:j]
-                rows.append((b, values[at].astype("<u4").tobytes(), np.diff(owner[at], prepend=0).astype("<i8").tobytes(),
-                             bands[at].tobytes(), limits[at, 0].astype("<i4").tobytes(), limits[at, 1].astype("<i4").tobytes()))
+                rows.append((b, values[at].astype("<u4").tobytes(), packed_numbers(np.diff(owner[at], prepend=0)),
+                             packed_numbers(bands[at])))
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), out)], schema=out)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,9 +183,11 @@ def _shared(blocks: DataFrame) -> DataFrame:
     out = arrow_type(schema)
 
     def of_bucket(bucket: int, parts: list[tuple[bytes, ...]]) -> pa.RecordBatch:
-        low, band, filled, wanted = (np.concatenate([np.frombuffer(p[i], k) for p in parts])
-                                     for i, k in ((0, "<u4"), (2, "u1"), (3, "<i4"), (4, "<i4")))
-        owner = np.concatenate([np.cumsum(np.frombuffer(p[1], "<i8")) for p in parts])
+        low = np.concatenate([np.frombuffer(p[0], "<u4") for p in parts])
+        owner, limits = (np.concatenate([read(unpacked_numbers(p[i], len(p[0]) // 4)) for p in parts])
+                         for i, read in ((1, lambda x: np.cumsum(x.view(np.int64))), (2, np.asarray)))
+        band, filled, wanted = (limits >> np.uint64(56), limits >> np.uint64(28) & np.uint64((1 << 28) - 1),
+                                limits & np.uint64((1 << 28) - 1))
         order = np.argsort(low, kind="stable")
         same = low[order][1:] == low[order][:-1]
         at = order[np.append(same, False) | np.insert(same, 0, False)]
@@ -306,14 +309,17 @@ def _left_over(groups: DataFrame, joined: DataFrame, known: DataFrame) -> DataFr
     """Distinct (a, b) that share a group whose documents are not all connected, are not connected themselves, and whose
     bit sketches and sizes allow a link.
 
-    Documents that are not connected to the group's center are compared with all of the group. Both sides are dealt out
-    in parts of about ``CHUNK``, so no place holds a whole large group.
+    Groups with one center hold much the same documents (those around one passage), so they are taken together: a document
+    travels once for each center, and a pair is compared once for it. Documents that are not connected to the center are
+    compared with all others. Both sides are dealt out in parts of about ``CHUNK``, so no place holds a whole large group.
     """
     component = joined.select(F.col("node").alias("doc"), "component")
-    center = joined.select(F.col("node").alias("center"), F.col("component").alias("of_center"))
-    rows = (groups.where("n > 2").join(component, "doc", "left").join(center, "center", "left")
+    center = joined.select(F.col("node").alias("grp"), F.col("component").alias("of_center"))
+    members = groups.where("n > 2").select(F.col("center").alias("grp"), "doc").distinct()
+    sizes = members.groupBy("grp").agg(F.count("*").alias("n"))
+    rows = (members.join(sizes, "grp").join(component, "doc", "left").join(center, "grp", "left")
             .select("grp", "doc", "n", F.coalesce("component", "doc").alias("component"),
-                    (F.coalesce("component", "doc") != F.coalesce("of_center", "center")).alias("loose")))
+                    (F.coalesce("component", "doc") != F.coalesce("of_center", "grp")).alias("loose")))
     open_ = rows.groupBy("grp").agg(F.count_if("loose").alias("n_loose")).where("n_loose > 0")
     rows = (rows.join(open_, "grp").join(known.withColumnRenamed("doc_id", "doc"), "doc")
             .withColumns({"parts": F.ceil(F.col("n") / CHUNK).cast("int"), "loose_parts": F.ceil(F.col("n_loose") / CHUNK).cast("int")}))
