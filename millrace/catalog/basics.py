@@ -15,8 +15,8 @@ from ..operators.ordered import asof_join, global_rank, numbered
 from ..plans import player_score, report_loads
 from ..plans.members import line_of_business, population_group
 from ..plans.sales_summary import sales_summary as build_sales_summary
-from ..sources.staging import fresh_path
-from ..sources.tables import lookup, read_csv
+from ..sources.staging import fresh_path, scope
+from ..sources.tables import lookup, read_csv, read_in_order
 from .common import day_text, load, rounded, text, time_text
 
 AS_OF = date(2001, 8, 1)
@@ -45,7 +45,7 @@ def clean_dims(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("segment", "nation", "tag").agg(F.count("*").alias("n_rows"), sum_text(F.col("amount")).alias("total"))
 
 
-def _sales_summary(spark: SparkSession, folder: str) -> DataFrame:
+def _sales_summary(spark: SparkSession, folder: str, latest: bool = False) -> DataFrame:
     """Every line item is a sale of its customer; parts carry plans and up to two promotions."""
     li, od, cust = (load(spark, folder, t) for t in ("lineitem", "orders", "customer"))
     nation, part = load(spark, folder, "nation"), load(spark, folder, "part")
@@ -66,8 +66,7 @@ def _sales_summary(spark: SparkSession, folder: str) -> DataFrame:
     activation = part.filter(F.col("p_size") > 10).withColumn("i", F.explode(promos)).select(
         text("p_partkey").alias("productlevelcode"), F.concat(F.lit(" "), F.col("p_type")).alias("promotiondescription"),
         F.when(F.col("i") == 1, "1999-01-01").otherwise("bad date").alias("effectivefrom"), F.lit(None).cast("string").alias("effectiveto"))
-    out = build_sales_summary(sales, company, geography, product, plan, outlet, activation, AS_OF)
-    return out
+    return build_sales_summary(sales, company, geography, product, plan, outlet, activation, AS_OF, latest)
 
 
 def _shown_sales(out: DataFrame) -> DataFrame:
@@ -79,6 +78,11 @@ def sales_summary(spark: SparkSession, folder: str) -> DataFrame:
     return _shown_sales(_sales_summary(spark, folder))
 
 
+def latest_activation(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary with the newest activation of each SKU alone."""
+    return _shown_sales(_sales_summary(spark, folder, latest=True))
+
+
 def loaded_sales_summary(spark: SparkSession, folder: str) -> DataFrame:
     """The summary appended to a target with other column order, and an empty batch after it that changes nothing."""
     path = fresh_path(spark, "sales_summary")
@@ -187,8 +191,19 @@ def player360(spark: SparkSession, folder: str) -> DataFrame:
         {"namehasdigits": flag("namehasdigits"), "loccontainskeyword": flag("loccontainskeyword"), "ageint": F.coalesce("ageint", F.lit(-1))})
 
 
+def ranked_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The player report loaded twice in rank order, and the place at which each row is read back."""
+    path = fresh_path(spark, "player_report")
+    with scope(spark):
+        report = player_score.player_report(players(spark, folder))
+        for _ in range(2):
+            report_loads.load_player_report(report, path)
+    return read_in_order(spark, path, "position").select("playerid", "playertier", "playerrank", "position")
+
+
 QUERIES = {
-    "csv_lookup": csv_lookup, "clean_dims": clean_dims, "sales_summary": sales_summary, "loaded_sales_summary": loaded_sales_summary, "classify_rules": classify_rules,
+    "csv_lookup": csv_lookup, "clean_dims": clean_dims, "sales_summary": sales_summary, "latest_activation": latest_activation,
+    "loaded_sales_summary": loaded_sales_summary, "ranked_report": ranked_report, "classify_rules": classify_rules,
     "latest_rows": latest_rows, "asof_purchase": asof_purchase, "order_number": order_number, "quantity_rank": quantity_rank,
     "key_cast_join": key_cast_join, "anti_join": anti_join, "player360": player360,
 }
@@ -270,3 +285,7 @@ ORACLE = {
     "player360": f"WITH {_PLAYERS} " + " UNION ALL ".join(_player_sql(n, **a) for n, a in SETTINGS.items()),
 }
 ORACLE["loaded_sales_summary"] = ORACLE["sales_summary"]
+ORACLE["latest_activation"] = ORACLE["sales_summary"].replace(
+    "WHERE p_size > 10\n", "WHERE p_size > 10 AND p_size <= 25\n")  # later ones have a newer activation
+ORACLE["ranked_report"] = f"""WITH {_PLAYERS} SELECT playerid, playertier, playerrank, row_number() OVER (ORDER BY playerrank) AS position
+    FROM ({_player_sql("default")})"""

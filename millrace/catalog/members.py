@@ -136,9 +136,8 @@ def care_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def engagement(spark: SparkSession, folder: str) -> DataFrame:
-    """Events of a user are engagement entries; every customer counts as a case here."""
-    cust = load(spark, folder, "customer")
-    streams = cust.select(F.col("c_custkey").alias("membercid"), F.concat(F.lit("C"), text("c_custkey")).alias("carriermemid"), F.col("c_name").alias("memname"))
+    """Events of a user are engagement entries; each repeats for every case of the member."""
+    streams = _streams(spark, folder, plan.active_members(enrolment(spark, folder), AS_OF))
     kind = F.when(F.col("event_type").isin("view", "click"), "502476").when(F.col("event_type") == "purchase", "502474").otherwise("1")
     ev = load(spark, folder, "events")
     said = ev.select(F.col("user_id").alias("cid"), kind.alias("concept_id"), F.get_json_object("props", "$.k").alias("str_value"), F.col("ts").alias("update_time"))
@@ -170,15 +169,10 @@ def _overlaid(spark: SparkSession, folder: str) -> DataFrame:
     active = stage(plan.active_members(e, AS_OF), "active")
     found = stage(cases(spark, folder, active), "cases")
     empty = nation.select(F.col("n_nationkey").alias("category_id"), F.col("n_name").alias("category_name"))
-    streams = plan.case_streams(found, empty)
-    one_case = streams.groupBy("carriermemid", "memid", "lob").agg(
-        F.max("membercid").alias("membercid"), F.max("acuity").alias("acuity"), F.max("phase").alias("phase"),
-        F.max("population stream").alias("population stream"), F.max("category_name").alias("category_name"), F.max("name").alias("name"),
-        F.max("caseid").alias("caseid"), F.max("casetype").alias("casetype"), F.max("caseopendate").alias("caseopendate"),
-        F.max("lastupdated").alias("lastupdated"))
+    streams = stage(plan.case_streams(found, empty), "streams")
     mem = text("c_custkey").alias("memid")
     frame = plan.member_frame(
-        active, one_case, e,
+        active, streams, e,
         delegate=cust.filter(F.col("c_nationkey") < 20).select(mem, F.concat(F.lit("D"), text("c_nationkey")).alias("delegate")),
         pcp=cust.select(mem, F.when(F.col("c_acctbal") > 2000, "Y").otherwise("N").alias("currentpcp"), F.col("c_name").alias("assignedpcp"), F.lit("pay").alias("paytoname")),
         primary_cm=cust.select(mem, F.col("c_mktsegment").alias("ccacm"), text("c_nationkey").alias("Login ID")),
@@ -201,9 +195,12 @@ DATES = ["mcpenrollmentdate", "mcptermdate", "mostrecenttermpriortoenrollmentgap
 
 
 def member_overlay(spark: SparkSession, folder: str) -> DataFrame:
+    """The frame after its overlays: one row for each case of a member."""
     out = _overlaid(spark, folder)
     plain = {c: F.coalesce(F.col(c), F.lit("-")) for c in OVERLAY}
     dates = {c.replace(" ", "_"): F.coalesce(day_text(F.to_date(F.col(c))), F.lit("-")) for c in DATES}
+    case = {c: F.coalesce(text(c), F.lit("-")) for c in ("caseid", "ccaacuity", "ccaphase", "ccacasename")}
+    plain |= case
     return out.select("carriermemid", "memid", "lob", "membername", "restricted", *[v.alias(c) for c, v in {**plain, **dates}.items()])
 
 
@@ -312,8 +309,9 @@ ORACLE = {
     "care_stream": f"""WITH {_BASE}, {_CASES}, {_STREAM} SELECT membercid, memname, carriermemid, memid, lob, org_patientid, casetype, acuity, phase, stream,
         category_name, caseid, name, status, strftime(day, {_DAY}) AS caseopendate, strftime(day, {_DAY}) AS consent_date, strftime(day, {_DAY}) AS lastupdated FROM streams""",
     "engagement": f"""
-        WITH s AS (SELECT 'C' || user_id AS carriermemid, CASE WHEN event_type = 'purchase' THEN '502474' ELSE '502476' END AS id, c_name AS memname, user_id AS cid,
-                CAST(json_extract(props, '$.k') AS INTEGER) AS k, CAST(ts AS DATE) AS d FROM events JOIN customer ON c_custkey = user_id
+        WITH {_BASE}, {_CASES}, {_STREAM},
+        s AS (SELECT carriermemid, CASE WHEN event_type = 'purchase' THEN '502474' ELSE '502476' END AS id, memname, user_id AS cid,
+                CAST(json_extract(props, '$.k') AS INTEGER) AS k, CAST(ts AS DATE) AS d FROM events JOIN streams ON membercid = user_id
             WHERE event_type IN ('view', 'click', 'purchase'))
         SELECT carriermemid, id, memname, cid, coalesce(id || ':' || n_name, '') AS engagementstatus, strftime(d, {_DAY}) AS update_time,
             CAST(row_number() OVER (PARTITION BY carriermemid ORDER BY id DESC, d, id || ':' || n_name NULLS FIRST) AS INTEGER) AS rnum
@@ -322,17 +320,18 @@ ORACLE = {
         SELECT memid, n_spans, restarts, gaps, gap_days, strftime(firsteff, {_DAY}) AS firsteffdate, strftime(firstterm, {_DAY}) AS firsttermdate FROM per""",
     "opt_transition": f"""WITH {_BASE}, {_OPT} SELECT memid, medicaidid, strftime(max(inn), {_DAY}) AS latest_opt_in,
         CAST(min(days) FILTER (inn = m) AS INTEGER) AS days FROM (SELECT *, max(inn) OVER (PARTITION BY memid, medicaidid) AS m FROM opt) GROUP BY 1, 2""",
-    "member_overlay": f"""WITH {_OVER} SELECT carriermemid, memid, lob, membername, restricted, coalesce(medicareid, '-') AS medicareid, strat AS ccastratification,
+    "member_overlay": f"""WITH {_OVER}, held AS (SELECT DISTINCT carriermemid, caseid, acuity, phase, name FROM cs) SELECT carriermemid, memid, lob, membername, restricted, coalesce(medicareid, '-') AS medicareid, strat AS ccastratification,
         es AS enrollmentstatus, hh AS healthhomemember, ncr, 'NATION_' || nk AS language, CASE WHEN nk < 20 THEN 'D' || nk ELSE '-' END AS vendorassignment,
         CASE WHEN bal > 2000 THEN membername ELSE '-' END AS currentpcp, 'NATION_' || nk AS supervisor, strftime(firsteff, {_DAY}) AS mcpenrollmentdate,
         strftime(tm, {_DAY}) AS mcptermdate, strftime(firstterm, {_DAY}) AS mostrecenttermpriortoenrollmentgap, strftime(inn, {_DAY}) AS mostrecentoptindate,
         strftime(rc, {_DAY}) AS retroenrolledaftereffdate, strftime(v, {_DAY}) AS mostrecentsuccessfulf2f, strftime(reff, {_DAY}) AS restricted_effective_date,
-        strftime(rterm, {_DAY}) AS restricted_term_date, CASE WHEN bal > 5000 THEN '1999-01-01' ELSE '-' END AS ccabegindate FROM over_""",
+        strftime(rterm, {_DAY}) AS restricted_term_date, CASE WHEN bal > 5000 THEN '1999-01-01' ELSE '-' END AS ccabegindate,
+        coalesce(CAST(caseid AS VARCHAR), '-') AS caseid, coalesce(acuity, '-') AS ccaacuity, coalesce(phase, '-') AS ccaphase, coalesce(name, '-') AS ccacasename
+        FROM over_ LEFT JOIN held USING (carriermemid)""",
     "member_report": f"""WITH {_OVER}, {_TYP},
         str AS (SELECT carriermemid, cid, acuity, caseid, casetype, coalesce(n_name, descr) AS cat, {_STREAM_RULE.format(category='coalesce(n_name, descr)')} AS stream
             FROM cs LEFT JOIN nation ON n_nationkey = vf LEFT JOIN typ ON code = vf),
-        one AS (SELECT carriermemid, max(cid) AS cid, max(acuity) AS acuity, max(caseid) AS caseid, max(casetype) AS casetype, max(cat) AS cat, max(stream) AS stream
-            FROM str GROUP BY 1)
+        held AS (SELECT DISTINCT * FROM str)
         SELECT es AS enrollmentstatus, '-' AS memberdeceased, '-' AS membermoved, mkt AS primarycm, ' ' AS secondarycm, ' ' AS thirdcm,
             CASE WHEN nk < 20 THEN 'D' || nk ELSE '-' END AS vendorassignment, 'NATION_' || nk AS supervisor, hh AS healthhomemember, ncr, carriermemid,
             coalesce(medicareid, '-') AS medicareid, coalesce(CAST(cid AS VARCHAR), '-') AS membercid, membername, strftime(dob, {_DAY}) AS dob,
@@ -343,5 +342,5 @@ ORACLE = {
                 WHEN '4' THEN 'Healthy Adult' ELSE stream END, '-') AS population_stream, coalesce(cat, '-') AS ccacasecategory, '' AS engagementstatus,
             '-' AS engagementstatusstartdate, coalesce(CAST(caseid AS VARCHAR), '-') AS caseid, coalesce(casetype, '-') AS ccacasetype,
             'NEEDS ASSESSMENT' AS initial_assessment_type, '-' AS initial_assessment_date, '1999-06-01 08:00:00' AS createddate, 'PySpark' AS createdby
-        FROM over_ LEFT JOIN one USING (carriermemid)""",
+        FROM over_ LEFT JOIN held USING (carriermemid)""",
 }

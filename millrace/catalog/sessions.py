@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from ..operators.aggregates import spread
 from ..operators.ordered import last_event, top1
 from ..operators.rows import in_window, on_day
 from ..plans import checkout_sessions as plan
-from ..sources.staging import fresh_path, stage
+from ..sources.staging import fresh_path, scope, stage
 from ..sources.tables import read_csv
 from .common import day_text, job_input, load, text, time_text
 
@@ -81,7 +81,7 @@ def payment_options(spark: SparkSession, folder: str) -> DataFrame:
     return _options(spark, folder, _state(spark, folder)).withColumn("dt", day_text("dt"))
 
 
-def session_fact(spark: SparkSession, folder: str) -> DataFrame:
+def _fact(spark: SparkSession, folder: str) -> DataFrame:
     e = _events(spark, folder)
     bought = e.filter(F.col("event_type") == "purchase")
     checkout = e.select("dt", "user_id", F.to_json(F.struct("sid")).alias("basic_data"),
@@ -99,8 +99,24 @@ def session_fact(spark: SparkSession, folder: str) -> DataFrame:
     paid.write.option("header", True).option("escape", '"').csv(path)
     paid = read_csv(spark, path, "dt date, order_id string, payment_details string")
     state = stage(_state(spark, folder), "sessions")
-    fact = plan.session_fact(checkout, state, _options(spark, folder, state), orders, paid, cities, WINDOW)
-    return fact.withColumn("dt", day_text("dt"))
+    return plan.session_fact(checkout, state, _options(spark, folder, state), orders, paid, cities, WINDOW)
+
+
+def session_fact(spark: SparkSession, folder: str) -> DataFrame:
+    return _fact(spark, folder).withColumn("dt", day_text("dt"))
+
+
+def loaded_session_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The window loaded twice over a target with the same rows a month and 400 days back: the month stays, the rest is purged."""
+    path = fresh_path(spark, "session_fact_target")
+    with scope(spark):
+        fact = stage(_fact(spark, folder), "fact")
+        for back in (400, 30):
+            earlier = RunWindow(WINDOW.start - timedelta(days=back), WINDOW.end - timedelta(days=back))
+            plan.load_session_fact(fact.withColumn("dt", F.date_sub("dt", back)), path, earlier)
+        for _ in range(2):
+            plan.load_session_fact(fact, path, WINDOW)
+    return spark.read.parquet(path).withColumn("dt", day_text("dt"))
 
 
 def scan_window(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,7 +146,7 @@ def session_state(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "scan_window": scan_window, "latest_event": latest_event, "session_state": session_state, "payment_state": payment_state,
-    "payment_options": payment_options, "session_fact": session_fact,
+    "payment_options": payment_options, "session_fact": session_fact, "loaded_session_fact": loaded_session_fact,
 }
 
 _E = """e AS (SELECT event_id, event_type AS t, value AS v, user_id AS u, CAST(ts AS DATE) AS dt, ts,
@@ -208,3 +224,5 @@ ORACLE = {
         LEFT JOIN (SELECT sid FROM state WHERE sf = 1 AND page = 'checkout') cart ON cart.sid = c.sid
         LEFT JOIN o ON p.sid = o.sid AND c.dt = o.dt LEFT JOIN opts x ON x.sid = c.sid LEFT JOIN nation ON lower(n_name) = c.city""",
 }
+ORACLE["loaded_session_fact"] = f"""WITH f AS ({ORACLE['session_fact']}) SELECT * FROM f
+    UNION ALL SELECT * REPLACE (strftime(CAST(dt AS DATE) - 30, '%Y-%m-%d') AS dt) FROM f"""

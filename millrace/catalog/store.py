@@ -7,7 +7,6 @@ time of day but move to the load day.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -18,7 +17,7 @@ from ..functions.dates import RunWindow, epoch_ms, minutes_between
 from ..functions.numbers import alert_reason, alert_status, kept_percent
 from ..plans import capacity, item_shortage, report_loads, store_orders
 from ..plans.store_orders import PIGEON_HOLE
-from ..sources.staging import fresh_path
+from ..sources.staging import fresh_path, scope
 from .common import day_text, job_input, load, rounded, text, time_text
 
 LOAD_DAY = date(2024, 1, 31)
@@ -205,7 +204,7 @@ def combo_sku(spark: SparkSession, folder: str) -> DataFrame:
         text(F.col("p_size") + F.length("p_type")).alias("const_sku"), F.length("p_name").alias("const_qty"))
 
 
-def stock_asof(spark: SparkSession, folder: str) -> DataFrame:
+def _shortage(spark: SparkSession, folder: str, states: DataFrame, jobs: DataFrame) -> DataFrame:
     e = _events(spark, folder)
     users = _stores(spark, folder)
     store = users.select(text("user_id").alias("id"), F.lit("InstaCart").alias("name"), (F.col("user_id") % 25).cast("int").alias("area_id"))
@@ -219,8 +218,14 @@ def stock_asof(spark: SparkSession, folder: str) -> DataFrame:
                        F.when(F.col("event_type") != "click", F.floor("value")).cast("bigint").alias("ordered"), F.col("ms").alias("sellable_updated"))
     items = load(spark, folder, "part").groupBy("p_size").agg(F.min("p_brand").alias("item_code"), F.min("p_name").alias("item_name")).select(
         text("p_size").alias("sku_id"), "item_code", "item_name")
-    out = item_shortage.shortage_detail(order_states(spark, folder), job_logs(spark, folder), store, area, city,
-                                        combo_sku(spark, folder), closing, current, items, LOAD_DAY)
+    return item_shortage.shortage_detail(states, jobs, store, area, city, combo_sku(spark, folder), closing, current, items, LOAD_DAY)
+
+
+def stock_asof(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown_shortage(_shortage(spark, folder, order_states(spark, folder), job_logs(spark, folder)))
+
+
+def _shown_shortage(out: DataFrame) -> DataFrame:
     times = ["ordered_time", "vdc_ftr_time", "inv_ordered_time", "inv_vdc_ftr_time"]
     return out.withColumns({c: time_text(c) for c in times} | {"order_dt": day_text("order_dt")})
 
@@ -238,38 +243,84 @@ def fill_rate(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("updated_time", time_text("updated_time"))
 
 
-@functools.cache
-def _run_of(application: str, spark: SparkSession, folder: str) -> dict[str, str]:
-    """One store run, twice over the same targets: the day's events are staged once, each report is loaded from them."""
+def _day(spark: SparkSession, folder: str, *names: str) -> report_loads.StoreTables:
     s = lambda f: f(spark, folder)
-    window = RunWindow.ending(LOAD_DAY, 1)
-    day = report_loads.staged_day(report_loads.StoreTables(
-        s(order_states), s(order_events), s(order_confirm), s(pigeon_hole), s(job_logs), s(store_city)), window)
-    paths = {name: fresh_path(spark, name) for name in ("temp_flag", "state_events", "order_legs", "leg_alerts", "fill_rate", "hour_capacity")}
+    tables = report_loads.StoreTables(s(order_states), s(order_events), s(order_confirm), s(pigeon_hole), s(job_logs), s(store_city))
+    return report_loads.staged_day(tables, RunWindow.ending(LOAD_DAY, 1), names or report_loads.DATED)
+
+
+def _flags(spark: SparkSession, day: report_loads.StoreTables) -> DataFrame:
+    path = fresh_path(spark, "temp_flag")
+    report_loads.load_temperature_flags(day, RunWindow.ending(LOAD_DAY, 1), path)
+    return spark.read.parquet(path)
+
+
+def _reloaded(spark: SparkSession, name: str, load_into: Callable[[str], None]) -> DataFrame:
+    """The target after two loads of the same day."""
+    path = fresh_path(spark, name)
     for _ in range(2):
-        report_loads.load_temperature_flags(day, window, paths["temp_flag"])
-        flags = spark.read.parquet(paths["temp_flag"])
-        report_loads.load_state_events(day, LOAD_DAY, paths["state_events"])
-        report_loads.load_order_legs(day, flags, LOAD_DAY, paths["order_legs"])
-        report_loads.load_leg_alerts(day, flags, s(_active), s(outlets), LOAD_DAY, NOW, paths["leg_alerts"])
-        report_loads.load_fill_rate(day, *_fill_rate_items(spark, folder), s(outlets), LOAD_DAY, NOW, paths["fill_rate"])
-        report_loads.load_report(s(hour_capacity), paths["hour_capacity"])
-    return paths
-
-
-def _loaded(name: str, shown: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        return shown(spark.read.parquet(_run_of(spark.sparkContext.applicationId, spark, folder)[name]))
-    return query
-
-
-LOADED = {
-    "loaded_temp_flag": _loaded("temp_flag", lambda df: df.select(day_text("dt").alias("dt"), "temp_sens", "orderjobid")),
-    "loaded_order_legs": _loaded("order_legs", _shown_legs),
-    "loaded_leg_alerts": _loaded("leg_alerts", _shown_alerts),
-    "loaded_fill_rate": _loaded("fill_rate", lambda df: df.withColumn("updated_time", time_text("updated_time"))),
-    "loaded_hour_capacity": _loaded("hour_capacity", lambda df: df),
-}
+        load_into(path)
+    return spark.read.parquet(path)
+
+
+def loaded_temp_flag(spark: SparkSession, folder: str) -> DataFrame:
+    with scope(spark):
+        day = _day(spark, folder, "order_states")
+        out = _reloaded(spark, "temp_flag", lambda path: report_loads.load_temperature_flags(day, RunWindow.ending(LOAD_DAY, 1), path))
+    return out.select(day_text("dt").alias("dt"), "temp_sens", "orderjobid")
+
+
+def loaded_state_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Both staging targets of the day, of order states and of job states."""
+    with scope(spark):
+        day = _day(spark, folder, "order_states", "job_logs")
+        orders = _reloaded(spark, "state_events", lambda path: report_loads.load_state_events(day, LOAD_DAY, path))
+        jobs = _reloaded(spark, "job_status", lambda path: report_loads.load_job_status(day, LOAD_DAY, path))
+    per = lambda df, state, ms, kind: df.groupBy(F.col(state).alias("state")).agg(
+        F.count("*").alias("n_rows"), F.min(ms).alias("first_ms")).withColumn("target", F.lit(kind))
+    return per(orders, "state", "timestamp", "orders").unionByName(per(jobs, "status", "time_stamp", "jobs"))
+
+
+def loaded_order_legs(spark: SparkSession, folder: str) -> DataFrame:
+    with scope(spark):
+        day = _day(spark, folder)
+        flags = _flags(spark, day)
+        out = _reloaded(spark, "order_legs", lambda path: report_loads.load_order_legs(day, flags, LOAD_DAY, path))
+    return _shown_legs(out)
+
+
+def loaded_leg_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    with scope(spark):
+        day = _day(spark, folder)
+        flags, active, outlet = _flags(spark, day), _active(spark, folder), outlets(spark, folder)
+        out = _reloaded(spark, "leg_alerts", lambda path: report_loads.load_leg_alerts(day, flags, active, outlet, LOAD_DAY, NOW, path))
+    return _shown_alerts(out)
+
+
+def loaded_fill_rate(spark: SparkSession, folder: str) -> DataFrame:
+    with scope(spark):
+        day, (items, mim) = _day(spark, folder, "order_states", "job_logs"), _fill_rate_items(spark, folder)
+        out = _reloaded(spark, "fill_rate", lambda path: report_loads.load_fill_rate(
+            day, items, mim, outlets(spark, folder), LOAD_DAY, NOW, path))
+    return out.withColumn("updated_time", time_text("updated_time"))
+
+
+def loaded_stock_asof(spark: SparkSession, folder: str) -> DataFrame:
+    """The shortage detail from the day's staged job events."""
+    with scope(spark):
+        day = _day(spark, folder, "order_states", "job_logs")
+        jobs = _reloaded(spark, "job_status", lambda path: report_loads.load_job_status(day, LOAD_DAY, path))
+        detail = _shortage(spark, folder, day.order_states, jobs)
+        out = _reloaded(spark, "shortage", lambda path: report_loads.load_report(detail, path))
+    return _shown_shortage(out)
+
+
+def loaded_hour_capacity(spark: SparkSession, folder: str) -> DataFrame:
+    return _reloaded(spark, "hour_capacity", lambda path: report_loads.load_report(hour_capacity(spark, folder), path))
+
+
+LOADED = {f.__name__: f for f in (loaded_temp_flag, loaded_state_events, loaded_order_legs, loaded_leg_alerts, loaded_fill_rate,
+                                  loaded_stock_asof, loaded_hour_capacity)}
 
 
 def time_legs(spark: SparkSession, folder: str) -> DataFrame:
@@ -473,3 +524,8 @@ ORACLE = {
         FROM p LEFT JOIN outl ON outl.store_id = p.store""",
 }
 ORACLE |= {name: ORACLE[name.removeprefix("loaded_")] for name in LOADED}
+ORACLE["loaded_state_events"] = f"""WITH {_E}, {_STATES},
+    jobs AS (SELECT CASE t WHEN 'view' THEN 'placed' WHEN 'purchase' THEN 'delivery_delivered' WHEN 'click' THEN 'delivery_pickedup'
+                    WHEN 'signup' THEN 'delivery_arrived' ELSE 'cancelled' END AS state, ms FROM e)
+    SELECT state, count(*) AS n_rows, min(ms) AS first_ms, 'orders' AS target FROM st GROUP BY 1
+    UNION ALL SELECT state, count(*), min(ms), 'jobs' FROM jobs GROUP BY 1"""

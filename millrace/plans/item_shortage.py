@@ -81,11 +81,18 @@ def stock_levels(closing_stock: DataFrame, current_stock: DataFrame, as_of: date
     return union_distinct(typed(closing), typed(current))
 
 
+def stock_events(job_logs: DataFrame, as_of: date) -> DataFrame:
+    """The day's job events in the states of interest, status in lower case. Its result may be given as ``job_logs`` again."""
+    return job_status_events(job_logs, as_of, STOCK_STATES, ("dt", "store_id", "update_time", "update_json"))
+
+
 def shortage_rows(order_states: DataFrame, job_logs: DataFrame, stores: DataFrame, as_of: date) -> tuple[DataFrame, DataFrame]:
-    """(short items of delivered and of cancelled orders, placed orders with their first time)."""
+    """(short items of delivered and of cancelled orders, placed orders with their first time).
+
+    Job events and picked orders are staged: the logs are scanned once and the item changes parsed once, for old and new.
+    """
     in_store = stores.select("store_id")
-    jobs = (job_status_events(job_logs, as_of, STOCK_STATES, ("dt", "store_id", "update_time", "update_json"))
-            .withColumnRenamed("job_id", "orderjobid"))
+    jobs = stage(stock_events(job_logs, as_of).withColumnRenamed("job_id", "orderjobid"), "job_events")
     placed = (jobs.filter(F.col("status") == "placed").join(in_store, "store_id", "left_semi")
               .groupBy("dt", "store_id", "orderjobid", "status").agg(F.min("update_time").alias("ordered_time")))
     known = placed.select("orderjobid")
@@ -100,6 +107,7 @@ def shortage_rows(order_states: DataFrame, job_logs: DataFrame, stores: DataFram
               })
               .join(delivered, "orderjobid", "left_semi"))
     keep = ["dt", "store_id", "orderjobid", "delivery_type", "vdc_ftr_time"]
+    picked = stage(picked.select(*keep, "doc"), "picked")
     short = (_changed(_items(picked, "oldItems", "ordered_qty", keep), _items(picked, "newItems", "new_qty", ["orderjobid"]),
                       ["orderjobid", "sku_id"])
              .select("dt", "store_id", "orderjobid", "sku_id", "ordered_qty", "delivery_type", "vdc_ftr_time",
@@ -166,7 +174,8 @@ def fill_rate_alert(picked_states: DataFrame, job_logs: DataFrame, items: DataFr
     known = items.select(F.col("store_id").cast("decimal(38,0)").alias("_store"))
     picked = (on_day(picked_states, "dt", as_of).filter(F.col("state") == "PICKED")
               .withColumn("_store", to_number(F.col("storeid"))).join(known, "_store", "left_semi")
-              .withColumn("doc", parse(F.col("metadata"), CHANGE, strict=True)))
+              .select("orderjobid", parse(F.col("metadata"), CHANGE, strict=True).alias("doc")))
+    picked = stage(picked, "picked")  # parsed once, read for old and new items
     old = _items(picked, "oldItems", "ordered_qty", ["orderjobid"])
     changed = _changed(old, _items(picked, "newItems", "new_qty", ["orderjobid"]), ["orderjobid", "sku_id"])
     short = changed.select("orderjobid").distinct().withColumn("ftr_flag", F.lit(1))

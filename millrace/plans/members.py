@@ -147,7 +147,7 @@ def engagement(streams: DataFrame, member_concept: DataFrame, concept: DataFrame
 
 def member_frame(active: DataFrame, streams: DataFrame, e: Enrolment, delegate: DataFrame, pcp: DataFrame, primary_cm: DataFrame,
                  directory: DataFrame, merged: DataFrame, language: DataFrame, as_of: date) -> DataFrame:
-    """One frame of known members with placeholders for everything the overlays fill in."""
+    """Known members, a row for each of their cases, with placeholders for everything the overlays fill in."""
     named = active.select("carriermemid", "memid", "lob").unionByName(streams.select("carriermemid", "memid", "lob"))
     members = top1(named.distinct(), ["carriermemid"], [F.col("lob").asc_nulls_first(), F.col("memid").asc_nulls_first()])
     newest_entity = top1(
@@ -239,7 +239,7 @@ def _begun(as_of: date) -> Column:
 
 def overlay_members(frame: DataFrame, e: Enrolment, cases: DataFrame, attributes: DataFrame, coverage_code: DataFrame,
                     visits: DataFrame, as_of: date) -> DataFrame:
-    """The overlay steps; a member keeps one row.
+    """The overlay steps; the frame keeps its rows, and those of one member (its cases) get the same values.
 
     Sources with the same key are one union and one join (``overlay``): those by member, those by carrier id, and last the
     entry date, whose key is a date that the others set. The enrolment keys are scanned twice, alone and with coverages.

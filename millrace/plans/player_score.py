@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_text, first_match, has_digit
@@ -45,10 +45,12 @@ def player_tiers(players: DataFrame, min_bet: float = 500, risk: str | None = No
                        "loccontainskeyword", "ageint")
 
 
+def rank_order() -> list[Column]:
+    return [F.col("playerrank").asc_nulls_last(), F.col("playertier").desc_nulls_first(), F.col("engagementscore").desc_nulls_first()]
+
+
 def player_report(players: DataFrame, min_bet: float = 500, risk: str | None = None, keyword: str | None = None,
                   anchored_digit: bool = False) -> DataFrame:
     """Tiers ranked over all players by score, then id, in rank order."""
     tiers = stage(player_tiers(players, min_bet, risk, keyword, anchored_digit), "tiers")  # ranking reads it several times
-    ranked = global_rank(tiers, {"engagementscore": False, "playerid": True}, "playerrank")
-    return ranked.orderBy(F.col("playerrank").asc_nulls_last(), F.col("playertier").desc_nulls_first(),
-                          F.col("engagementscore").desc_nulls_first())
+    return global_rank(tiers, {"engagementscore": False, "playerid": True}, "playerrank").orderBy(*rank_order())

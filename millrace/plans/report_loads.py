@@ -6,7 +6,8 @@ target behind, except the aligned append of the sales summary, which adds a batc
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
@@ -14,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import RunWindow
 from ..operators.rows import in_window
-from ..sources.sinks import append_nonempty, full_refresh, replace_window, save_report
+from ..sources.sinks import append_nonempty, full_refresh, ordered_refresh, replace_window, save_report
 from ..sources.staging import stage
-from . import item_shortage, store_orders
+from . import item_shortage, player_score, store_orders
 
 
 @dataclass(frozen=True)
@@ -31,10 +32,12 @@ class StoreTables:
     store_city: DataFrame
 
 
-def staged_day(tables: StoreTables, window: RunWindow) -> StoreTables:
-    """The window's events, written once: the reports of a run read these and not the event tables."""
-    dated = [f.name for f in fields(tables) if f.name != "store_city"]
-    return replace(tables, **{name: stage(in_window(getattr(tables, name), "dt", window), name) for name in dated})
+DATED = ("order_states", "order_events", "order_confirm", "pigeon_hole", "job_logs")
+
+
+def staged_day(tables: StoreTables, window: RunWindow, names: Sequence[str] = DATED) -> StoreTables:
+    """The window's events of the named tables, written once: the reports of a run read these and not the event tables."""
+    return replace(tables, **{name: stage(in_window(getattr(tables, name), "dt", window), name) for name in names})
 
 
 def load_temperature_flags(day: StoreTables, window: RunWindow, path: str) -> None:
@@ -45,6 +48,11 @@ def load_state_events(day: StoreTables, as_of: date, path: str) -> None:
     full_refresh(store_orders.order_state_events(day.order_states, as_of), path)
 
 
+def load_job_status(day: StoreTables, as_of: date, path: str) -> None:
+    """The day's job events that the shortage detail looks at; it reads this target in place of the logs."""
+    full_refresh(item_shortage.stock_events(day.job_logs, as_of), path)
+
+
 def load_order_legs(day: StoreTables, temperature: DataFrame, as_of: date, path: str) -> None:
     """Replace the day; the order time legs carry no date of their own."""
     legs = store_orders.order_time_legs(day.order_states, day.order_events, day.order_confirm, day.pigeon_hole, day.store_city,
@@ -62,6 +70,11 @@ def load_fill_rate(day: StoreTables, items: DataFrame, marked: DataFrame, outlet
     full_refresh(item_shortage.fill_rate_alert(day.order_states, day.job_logs, items, marked, outlets, as_of, now), path)
 
 
+def load_player_report(report: DataFrame, path: str) -> None:
+    """The whole target is refreshed, in rank order."""
+    ordered_refresh(report, path, player_score.rank_order())
+
+
 def load_report(report: DataFrame, path: str) -> None:
     """Capacity and shortage detail: the whole target is refreshed."""
     full_refresh(report, path)

@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -153,6 +153,15 @@ def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     _swap(spark, path, [*aside, (staged, path)], staged, [old])
 
 
+def ordered_refresh(df: DataFrame, path: str, order: Sequence[Column]) -> None:
+    """Target becomes exactly ``df``, in order: by file name, and by row inside each file.
+
+    Rows are cut into ranges of the order, one task and file each, so no task sorts the whole. Rows that tie in all of
+    ``order`` share a range; give it a full tie-break. ``read_in_order`` reads the order back.
+    """
+    full_refresh(df.orderBy(*order), path)
+
+
 def replace_window(df: DataFrame, path: str, part_col: str, window: RunWindow) -> None:
     """Target rows dated in the window give way to ``df``; days the new rows leave empty disappear.
 
