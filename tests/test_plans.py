@@ -248,3 +248,36 @@ def test_active_members_and_retro(spark, rows):
     e = members.Enrolment(keys, coverage, member, entity)
     out = members.active_members(e, DAY)
     assert rows(out.select("memid", "memname", "age", "lob", "coveragecodeid")) == [("m1", "Doe, Jo", 34, "MMP", "cc")]
+
+
+def test_member_keeps_a_row_for_each_case(spark, rows):
+    """Two cases, one member without a case; each case row keeps its own acuity with its own phase."""
+    df, day = spark.createDataFrame, date.fromisoformat
+    active = df([("C1", "m1", "MMP"), ("C1", "m1", "MMP"), ("C2", "m2", "MMP")], "carriermemid string, memid string, lob string")
+    case = ("carriermemid string, memid string, lob string, membercid int, acuity string, phase string, `population stream` string, category_name string, "
+            "name string, caseid long, casetype string, caseopendate date, lastupdated date")
+    streams = df([("C1", "m1", "MMP", 1, "LOW", "Monitoring", "3", "a", "n1", 7, "t", day("2023-01-01"), day("2023-02-01")),
+                  ("C1", "m1", "MMP", 1, "Catastrophic", "Active", "1", "b", "n0", 9, "t", day("2022-01-01"), None)], case)
+    keys = df([(f"e{i}", f"m{i}", "QMXBP7971", "A1", f"C{i}", "int", day("2023-01-01"), day("2024-12-31"), day("2023-01-01")) for i in (1, 2)],
+              "enrollid string, memid string, planid string, ratecode string, carriermemid string, segtype string, effdate date, termdate date, createdate date")
+    member = df([(f"m{i}", f"n{i}", f"Jo {i}", day("1990-01-31"), "l") for i in (1, 2)], "memid string, entityid string, fullname string, dob date, primarylanguage string")
+    entity = df([(f"n{i}", "", "", "", "", "", "", day("2078-12-31")) for i in (1, 2)],
+                "entid string, phyaddr1 string, phyaddr2 string, phycity string, phycounty string, phyzip string, phone string, termdate date")
+    none = lambda schema: df([], schema)
+    frame = members.member_frame(
+        active, streams, members.Enrolment(keys, none("enrollid string"), member, entity), none("memid string, delegate string"),
+        none("memid string, currentpcp string, assignedpcp string, paytoname string"), none("memid string, ccacm string, `Login ID` string"),
+        none("employee_userid string, employee_supervisorname string"), none("memberid string, datasource string, effdate date, termdate date"),
+        df([("l", "lang")], "languageid string, description string"), DAY)
+    assert rows(frame.select("memid", "caseid", "ccaacuity", "ccaphase", "ccacasename")) == [
+        ("m1", 7, "LOW", "Monitoring", "n1"), ("m1", 9, "Catastrophic", "Active", "n0"), ("m2", None, None, None, None)]
+
+
+def test_staged_job_events_stand_in_for_the_logs(spark, rows):
+    """Staging is idempotent: other days and states go once, the staged rows pass again unchanged."""
+    logs = spark.createDataFrame([(DAY, "o1", 1, "PLACED", "s", DAY_MS, "{}"), (DAY, "o1", 2, "Cancelled", "s", None, None), (DAY, "o2", 3, "OPEN", "s", 1, "{}"),
+                                  (date(2024, 1, 30), "o3", 4, "PLACED", "s", 1, "{}"), (DAY, None, None, None, None, None, None)],
+                                 "dt date, job_id string, time_stamp long, status string, store_id string, update_time long, update_json string")
+    once = item_shortage.stock_events(logs, DAY)
+    assert [r.status for r in once.orderBy("time_stamp").collect()] == ["placed", "cancelled"]
+    assert rows(item_shortage.stock_events(once, DAY)) == rows(once)

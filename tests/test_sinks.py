@@ -259,3 +259,29 @@ def test_merge_into_buckets_never_shuffles_the_target(spark, rows):
     found = spark.table(name).groupBy("v").agg(F.count("*"), F.countDistinct("g"))
     assert rows(found) == [("new", 101, 100), ("old", 200, 200)]
     assert len(spark.table(name).inputFiles()) <= 3 * 4
+
+
+def test_ordered_refresh_is_read_back_in_order(spark, tmp_path):
+    """Order holds inside and across files, also for a load over a target that had other files."""
+    path, setting = str(tmp_path / "t"), "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        rows_ = spark.range(2000, numPartitions=5).select((F.col("id") * 7919 % 2000).alias("x"), (F.col("id") % 3).alias("y"))
+        for order in ([F.col("x").asc()], [F.col("y").desc(), F.col("x").asc()]):
+            sinks.ordered_refresh(rows_, path, order)
+    finally:
+        spark.conf.set(setting, before)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) > 1
+    out = tables.read_in_order(spark, path, "place")
+    assert out.columns == ["x", "y", "place"]
+    got = sorted((r.place, -r.y, r.x) for r in out.collect())
+    assert [g[0] for g in got] == list(range(1, 2001)) and [g[1:] for g in got] == sorted(g[1:] for g in got)
+
+
+def test_ordered_refresh_of_nothing_and_of_nulls(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.ordered_refresh(spark.range(0), path, [F.col("id").asc()])
+    assert tables.read_in_order(spark, path, "place").collect() == []
+    sinks.ordered_refresh(spark.createDataFrame([(2,), (None,), (1,), (2,)], "x int"), path, [F.col("x").asc_nulls_last()])
+    assert rows(tables.read_in_order(spark, path, "place")) == [(1, 1), (2, 2), (2, 3), (None, 4)]
