@@ -5,10 +5,10 @@ and divided by the path's nodes; both ratios are laid back on the nodes in page
 and fused. Nodes whose fused ratio reaches the threshold (a part of the mean over the page) are content nodes. The
 article is the ``article`` and ``main`` elements with content where they hold most of its text, else the smallest
 element that holds nearly all of it. Every node of the article counts, short ones too, but for parts that are marked as
-menu, header, footer, sidebar, notice, advert, form or reader comments by tag, role, class or id. Ids do not mark headings, paragraphs and parts of the article
-that start with a heading, and an id with other words too (``social-impact``) only marks a part whose text the ratios do
-not choose. Content nodes outside
-it count too, with the inline nodes of their blocks and the headings before them. If no element below the body holds
+menu, header, footer, sidebar, notice, advert, form or reader comments by tag, role, class or id. A name with other words
+too (an id ``social-impact``; inside the article also such a class) only marks a part whose text the ratios do not
+choose. Ids do not mark headings and paragraphs, and neither ids nor such classes mark parts of the article that start
+with a heading. Content nodes outside it count too, with the inline nodes of their blocks and the headings before them. If no element below the body holds
 the content together, that and the headings among it are the text.
 
 Null html gives empty text. Unclosed, crossed and unknown tags, unterminated comments and half character references
@@ -47,6 +47,7 @@ SKIPPED_MARKS = frozenset("""ad ads adv advert adverts advertisement advertising
 comments consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice
 notices pager pagination paywall popup promo promoted related reply replies respond responses share sharing sidebar
 signup skip social sponsor sponsored subscribe toolbar topbar widget""".split())
+LAYOUT = frozenset("area block box bar button buttons container icons inner items link links list panel posts section wrap wrapper".split())
 HOLDING = frozenset("with has no without main content article post body wrapper page".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
@@ -68,8 +69,8 @@ class Element:
     path: str
     skipped: bool = False  # for good, by tag or role
     marked: bool = False  # by class or id; void if the element turns out to hold the article
-    slug: bool = False  # marked by an id of further words only, which the ratios must confirm
-    by_id: bool = False  # marked by an id only; void for a part of the article that starts with a heading
+    slug: bool = False  # marked by names of further words only, which the ratios must confirm
+    loose: bool = False  # marked by an id or a slug only; void for a part of the article that starts with a heading
     block: int = 0
 
 
@@ -85,20 +86,25 @@ def _marks(name: str) -> bool:
     return bool(words) and HOLDING.isdisjoint(words) and not SKIPPED_MARKS.isdisjoint((words[0], words[-1]))
 
 
+def _only(names: list[str], known: frozenset[str]) -> bool:
+    return all(w in known for n in names for w in re.split(r"[^a-z]+", n) if w)
+
+
 def _skips(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool, bool, bool]:
-    """skipped, marked, slug, by_id of an element."""
+    """skipped, marked, slug, loose of an element."""
     skipped, by_class, by_word, by_slug = tag in SKIPPED or tag == "header" and not inside_article, False, False, False
     if "=" in attributes:
         for name, a, b, c in _MARK.findall(attributes):
             names = (a or b or c).lower().split()
             if name.lower() == "role":
                 skipped |= not SKIPPED_ROLES.isdisjoint(names)
-            elif tag in ("html", "body", "article", "main"):
+            elif tag in ("html", "body", "article", "main") or not any(map(_marks, names)):
                 continue
             elif name.lower() == "class":
-                by_class |= any(map(_marks, names))
-            elif tag != "p" and tag not in HEADINGS and any(map(_marks, names)):
-                only = all(w in SKIPPED_MARKS for n in names for w in re.split(r"[^a-z]+", n) if w)
+                firm = not inside_article or _only(names, SKIPPED_MARKS | LAYOUT)
+                by_class, by_slug = by_class or firm, by_slug or not firm
+            elif tag != "p" and tag not in HEADINGS:
+                only = _only(names, SKIPPED_MARKS)
                 by_word, by_slug = by_word or only, by_slug or not only
     marked = by_class or by_word or by_slug
     return skipped, marked, marked and not by_class and not by_word, marked and not by_class
@@ -165,14 +171,14 @@ def read(html: str) -> Page:
                 break
         above = elements[stack[-1]]
         inside = any(elements[e].tag in ("article", "main") for e in stack)
-        skipped, marked, slug, by_id = _skips(tag, m[3], inside)
-        if tag in HEADINGS and above.by_id and inside and stack[-1] == len(elements) - 1 and \
+        skipped, marked, slug, loose = _skips(tag, m[3], inside)
+        if tag in HEADINGS and above.loose and inside and stack[-1] == len(elements) - 1 and \
                 all(t.isspace() for _, _, t in takewhile(lambda n: n[0] == stack[-1], reversed(nodes))):
             above.marked = False
         if tag in ("article", "main"):
             for e in stack:
                 elements[e].marked = False
-        elements.append(Element(tag, stack[-1], f"{above.path}/{tag}", skipped, marked, slug, by_id))
+        elements.append(Element(tag, stack[-1], f"{above.path}/{tag}", skipped, marked, slug, loose))
         stack.append(len(elements) - 1)
     text_to(len(html))
     return page
