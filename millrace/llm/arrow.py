@@ -32,7 +32,7 @@ def columns_of(batch: pa.RecordBatch) -> Piece:
 def arrow_type(schema: str) -> pa.Schema:
     """Arrow schema of a flat ``name type, ...`` list."""
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(),
-             "binary": pa.binary()}
+             "binary": pa.binary(), "array<string>": pa.list_(pa.string())}
     return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in schema.split(","))])
 
 

@@ -7,9 +7,9 @@ block selects patterns and comparing the words confirms them. All texts of a pie
 step moves every open position by its own shift.
 
 The benchmark is broadcast in blocks of at most ``BLOCK_BYTES`` of text, whatever its size; with more than one block
-the finds of a block are written to the shared folder and carried to the next. Null text has no words, null items have
-no patterns, repeated items count once per item_id, and rows are searched one by one, so repeated rows and extra
-columns have no effect.
+the finds of a block are written to the shared folder, carried to the next, and the block's broadcast is freed. Null text
+has no words, null items have no patterns, repeated items count once per item_id, items with a null id mark words but
+are not counted or listed, and rows are searched one by one, so repeated rows and extra columns have no effect.
 """
 
 from __future__ import annotations
@@ -54,9 +54,9 @@ class Matcher:
         self.shift = np.full(1 << _BITS, self.length - self.block + 1, np.int64)
         for end in range(self.block - 1, self.length):
             np.minimum.at(self.shift, self._slot(self._key(codes, end)), self.length - 1 - end)
-        self.buckets: dict[int, list[tuple[bytes, ...]]] = defaultdict(list)
+        self.buckets: dict[int, set[tuple[bytes, ...]]] = defaultdict(set)
         for pattern, key in zip(patterns, self._key(codes, self.length - 1).tolist()):
-            self.buckets[key].append(pattern)
+            self.buckets[key].add(pattern)
         self.suffixes = np.array(sorted(self.buckets), np.uint64)
 
     def _key(self, codes: np.ndarray, end) -> np.ndarray:
@@ -92,14 +92,13 @@ class Matcher:
     def confirm(self, words: list[bytes], codes: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, tuple[bytes, ...]]]:
         for end, key in zip(ends.tolist(), self._key(codes, ends).tolist()):
             seen = tuple(words[end - self.length + 1:end + 1])
-            for pattern in self.buckets[key]:
-                if pattern == seen:
-                    yield end, pattern
+            if seen in self.buckets[key]:
+                yield end, seen
 
 
 class Search:
-    def __init__(self, items: Iterable[tuple[str, list[bytes]]], width: int = WINDOW):
-        self.owners: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
+    def __init__(self, items: Iterable[tuple[str | None, list[bytes]]], width: int = WINDOW):
+        self.owners: dict[tuple[bytes, ...], set[str | None]] = defaultdict(set)
         for item, words in items:
             for pattern in patterns_of(words, width):
                 self.owners[pattern].add(item)
@@ -121,7 +120,7 @@ class Search:
             for end, pattern in m.confirm(words, codes, ends):
                 row = int(np.searchsorted(begin, end, side="right")) - 1
                 ranges[row].add((end - m.length + 1 - int(begin[row]), end + 1 - int(begin[row])))
-                items[row] |= self.owners[pattern]
+                items[row] |= self.owners[pattern] - {None}
         return ranges, items
 
 
@@ -133,16 +132,17 @@ def covered(ranges: Iterable[tuple[int, int]]) -> int:
     return total
 
 
-def _blocks(items: DataFrame, item_id: str, text: str, limit: int) -> Iterator[list[tuple[str, str]]]:
+def _blocks(items: DataFrame, item_id: str, text: str, limit: int) -> Iterator[list[tuple[str | None, str]]]:
     """Items in blocks of at most ``limit`` bytes (one item at least); the driver holds one block at a time."""
     block, size = [], 0
     rows = items.where(F.col(text).isNotNull()).select(F.col(item_id).cast("string"), F.col(text).cast("string"))
     for name, value in rows.toLocalIterator():
-        if block and size + len(value) > limit:
+        n_bytes = len(value.encode())
+        if block and size + n_bytes > limit:
             yield block
             block, size = [], 0
-        block.append((str(name), value))
-        size += len(value)
+        block.append((name, value))
+        size += n_bytes
     yield block
 
 
@@ -150,17 +150,18 @@ def find(df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "t
          item_text: str = "text", width: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every row."""
     state = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
-                      F.lit(None).cast("binary").alias("ranges"), F.lit(None).cast("string").alias("items"))
+                      F.lit(None).cast("binary").alias("ranges"), F.lit(None).cast("array<string>").alias("items"))
     spark, before = df.sparkSession, None
     for block in _blocks(items, item_id, item_text, block_bytes):
         if before is not None:
             state = stage(_searched(state, before, width, carry=True), "decontaminate")
+            before.unpersist()
         before = spark.sparkContext.broadcast(block)
     return _searched(state, before, width, carry=False)
 
 
 def _searched(state: DataFrame, block, width: int, carry: bool) -> DataFrame:
-    schema = ("doc_id long, text string, ranges binary, items string" if carry else
+    schema = ("doc_id long, text string, ranges binary, items array<string>" if carry else
               "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,10 +173,10 @@ def _searched(state: DataFrame, block, width: int, carry: bool) -> DataFrame:
             for i, (r, names) in enumerate(zip(ranges, items)):
                 if r:
                     hit[i] |= set(map(tuple, np.frombuffer(r, "<i8").reshape(-1, 2).tolist()))
-                    found[i] |= set(names.split("\n"))
+                    found[i] |= set(names)
             if carry:
                 made = [ids, texts, [np.array(sorted(r), "<i8").tobytes() for r in hit],
-                        ["\n".join(sorted(names)) for names in found]]
+                        [sorted(names) for names in found]]
             else:
                 n_hit = [covered(r) for r in hit]
                 made = [ids, [len(ws) for ws in lists], n_hit, [len(names) for names in found],
@@ -188,10 +189,13 @@ def _searched(state: DataFrame, block, width: int, carry: bool) -> DataFrame:
 
 def drop_contaminated(df: DataFrame, items: DataFrame, text: str = "text", width: int = WINDOW,
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows, with all their columns, in which no pattern occurs."""
-    names, schema, spark = df.columns, df.schema, df.sparkSession
+    """Rows, with all their columns, in which no pattern occurs; what a block leaves is written before the next one."""
+    names, schema, spark, before = df.columns, df.schema, df.sparkSession, None
     for block in _blocks(items, "item_id", "text", block_bytes):
-        shared = spark.sparkContext.broadcast(block)
+        if before is not None:
+            df = stage(df, "decontaminate")
+            before.unpersist()
+        shared = before = spark.sparkContext.broadcast(block)
 
         def run(batches, shared=shared):
             search, at = Search(((name, words_of(value)) for name, value in shared.value), width), names.index(text)
