@@ -1,12 +1,13 @@
 """WARC archives with duplicate payloads resolved into revisit records.
 
-Only headers are shuffled to find duplicates: every page's payload digest and length is grouped, the smallest page_id
-of a group is its response and the rest revisit it. Grouping keeps one minimum per digest before the shuffle, so a
-payload shared by a third of all pages costs no more than others. The archives are written with fresh headers by
+Duplicates are found on headers alone: every page's payload digest and length is grouped, the smallest page_id of a group
+is its response and the rest revisit it. Grouping keeps one minimum per digest before the shuffle; the join that brings
+it back to the pages shuffles their html once. The archives are written with fresh headers by
 Spark's text sink: one record per row, records separated by the two line breaks that the format asks for. Reading
-parses whole archives by content length and resolves revisits against the responses that they name.
+streams each archive through the decompressor, parses it by content length, one record in memory at a time, and resolves
+revisits against the responses that they name.
 
-Null html is an empty payload. A null url or page_id leaves out its header. Rows that repeat the page_id of a group's
+Null html is an empty payload. A null url leaves out its header; a record with a null page_id is named after its payload. Rows that repeat the page_id of a group's
 response are responses too. Line breaks in a url are percent-encoded. Extra columns are ignored.
 """
 
@@ -16,6 +17,7 @@ import gzip
 import hashlib
 from base64 import b32encode
 from collections.abc import Iterable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +30,7 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 RECORDS_PER_FILE = 2000
+BATCH_BYTES = 4 << 20
 
 # Digits of Spark's base 32 and the letters of base32 in the same order.
 _DIGITS, _LETTERS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -65,7 +68,8 @@ def _record(page: DataFrame) -> Column:
     url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     head = F.concat_ws(
         BREAK, F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.col("record_type")),
-        F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.col("page_id").cast("string"), F.lit(">")),
+        F.coalesce(F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.col("page_id").cast("string"), F.lit(">")),
+                   F.concat(F.lit("WARC-Record-ID: <urn:payload:"), F.col("payload_digest"), F.lit(">"))),
         F.lit(f"WARC-Date: {DATE}"), F.concat(F.lit("WARC-Target-URI: "), url),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("payload_digest")),
         F.when(~response, F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
@@ -81,19 +85,21 @@ def write(resolved: DataFrame, path: str) -> None:
      .option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
-def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def parse(archive: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of each record of an archive."""
-    at = 0
-    while at < len(archive):
-        end = archive.index(b"\r\n\r\n", at)
-        lines = archive[at:end].decode().split(BREAK)
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        head = dict(line.split(": ", 1) for line in lines[1:])
-        start = end + 4
-        at = start + int(head["Content-Length"])
-        yield head, archive[start:at]
-        at += 4
+    while first := archive.readline():
+        if not first.startswith(b"WARC/"):
+            raise ValueError(f"no record where {first[:40]!r} stands")
+        head = {}
+        while (line := archive.readline().rstrip(b"\r\n")):
+            name, value = line.decode().split(": ", 1)
+            head[name] = value
+        size = int(head["Content-Length"])
+        block = archive.read(size)
+        if len(block) < size:
+            raise ValueError("an archive ends inside a record")
+        yield head, block
+        archive.read(4)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -103,24 +109,35 @@ def read(spark: SparkSession, path: str) -> DataFrame:
               "payload_bytes long")
 
     def page(text: str | None) -> int | None:
-        return int(text.removeprefix("<urn:page:").rstrip(">")) if text else None
+        return int(text.removeprefix("<urn:page:").rstrip(">")) if text and text.startswith("<urn:page:") else None
+
+    def record(head: dict[str, str], block: bytes) -> tuple:
+        digest, payload = head["WARC-Payload-Digest"].removeprefix("sha1:"), None
+        if head["WARC-Type"] == "response":
+            payload = block.split(b"\r\n\r\n", 1)[1]
+            if b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+                raise ValueError("a payload differs from its digest")
+        return (page(head.get("WARC-Record-ID")), head.get("WARC-Target-URI"), head["WARC-Type"],
+                page(head.get("WARC-Refers-To")), digest, payload, None if payload is None else len(payload))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = arrow_type(schema)
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(out)],
+                                              schema=out)
+
         for batch in batches:
             for content in batch.column(0):
-                rows = []
-                for head, block in parse(gzip.decompress(content.as_py())):
-                    digest, payload = head["WARC-Payload-Digest"].removeprefix("sha1:"), None
-                    if head["WARC-Type"] == "response":
-                        payload = block.split(b"\r\n\r\n", 1)[1]
-                        if b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-                            raise ValueError("a payload differs from its digest")
-                    rows.append((page(head.get("WARC-Record-ID")), head.get("WARC-Target-URI"), head["WARC-Type"],
-                                 page(head.get("WARC-Refers-To")), digest, payload,
-                                 None if payload is None else len(payload)))
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(out)],
-                                                 schema=out)
+                rows, size = [], 0
+                with gzip.open(pa.BufferReader(content.as_buffer())) as archive:
+                    for head, block in parse(archive):
+                        rows.append(record(head, block))
+                        size += len(block) + 500
+                        if size > BATCH_BYTES:
+                            yield batch_of(rows)
+                            rows, size = [], 0
+                yield batch_of(rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     return map_arrow(files, run, schema)
