@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import io
 import random
 import re
 import struct
@@ -226,6 +227,21 @@ def test_html_ids_and_unclosed_tags_do_not_cut_the_article():
     assert html_text.main_text("a <select><option>x<option>y</select> b <svg><text>z</text></svg>c") == "a b c"
 
 
+def test_html_classes_of_several_words_do_not_cut_the_article():
+    words = "Many words of a story, told at length. " * 5
+    story, one = f"<p>{words}</p>" * 4, " ".join(words.split())
+    for name in ("social-impact", "share-prices", "menu-engineering", "promoted-officers", "related-work",
+                 "notice-of-meeting", "row notice"):
+        for head in ("", "<h2>Part</h2>"):
+            page = f"<article>{story}<section class='{name}'>{head}<p>{words}</p></section><p>End</p></article>"
+            assert html_text.main_text(page) == "\n".join([one] * 4 + ["Part"] * bool(head) + [one, "End"]), name
+    for name in ("comments", "ad", "comments-area", "related-posts", "sidebar widget", "share-buttons"):
+        page = f"<article>{story}<div class='{name}'><h3>More</h3><p>{words}</p></div><p>End</p></article>"
+        assert html_text.main_text(page) == "\n".join([one] * 4 + ["End"]), name
+    page = f"<div class='notice-board'><p>{words}</p></div><article>{story}</article><div class='left-sidebar'><p>{words}</p></div>"
+    assert html_text.main_text(page) == "\n".join([one] * 4)  # outside the article such classes mark as before
+
+
 def test_html_articles_of_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}
@@ -390,6 +406,17 @@ def test_decontamination_odd(spark):
     assert decontaminate.drop_contaminated(df, bench).columns == df.columns
 
 
+def test_decontamination_names_items_alike_at_every_block_size(spark):
+    items = [("two\nlines", "a b c"), (None, "d e f"), ("é" * 30, "g h i"), ("plain", "a b c")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    docs = frame(spark, [(1, "x a b c x g h i"), (2, "d e f"), (3, "none")])
+    names = sorted(["two\nlines", "é" * 30, "plain"])
+    for block in (1, 5, 1 << 20):
+        got = by_id(decontaminate.find(docs, bench, block_bytes=block), "n_hit", "n_items", "items_sha256")
+        assert got == {1: (6, 3, sha(",".join(names))), 2: (3, 0, sha("")), 3: (0, 0, sha(""))}, block
+        assert [r.doc_id for r in decontaminate.drop_contaminated(docs, bench, block_bytes=block).collect()] == [3]
+
+
 def test_sketch_comparison_equals_plain_loop():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 62, 400).astype(np.uint64)
@@ -581,5 +608,12 @@ def test_archives_round_trip(spark, tmp_path):
     assert {r.record_type for r in small.collect()} == {"response"}
     for file in (tmp_path / "warc").glob("*.gz"):
         assert gzip.decompress(file.read_bytes()).startswith(b"WARC/1.1\r\n")
+    plain = b"".join(gzip.decompress(f.read_bytes()) for f in (tmp_path / "warc").glob("*.gz"))
+    assert plain.count(b"WARC-Record-ID: <urn:") == len(rows) and plain.count(b"WARC-Record-ID: <urn:payload:") == 1
+    archive = io.BytesIO(plain)
+    head, block = next(warc.parse(archive))
+    assert len(block) == int(head["Content-Length"]) and archive.tell() < len(plain)  # one record read, not the archive
+    with pytest.raises(ValueError):
+        list(warc.parse(io.BytesIO(plain[:-6])))
     warc.write(warc.resolve(pages.limit(0)), f"{tmp_path}/none")
     assert warc.headers(warc.read(spark, f"{tmp_path}/none")).count() == 0
