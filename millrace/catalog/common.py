@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +16,15 @@ Build = Callable[[SparkSession, str], DataFrame]
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def job_input(build: Build) -> Build:
+def job_input(build: Build | None = None, *, by: Sequence[str] = ()) -> Build:
     """A job's input table, derived from the test tables: written on first use in a session, then read.
 
     The jobs read tables, so their inputs are tables here too. As expressions over the test tables they
-    would be inlined into every filter and evaluated again by every branch of a plan.
+    would be inlined into every filter and evaluated again by every branch of a plan. ``by`` lays them out by day, as
+    event tables are, so that a job reads the folders of its days.
     """
+    if build is None:
+        return functools.partial(job_input, by=by)
 
     @functools.wraps(build)
     def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,7 +32,7 @@ def job_input(build: Build) -> Build:
         if key not in _written:
             path = fresh_path(spark, build.__name__)
             # several files, as a job's inputs are; a test table is a single one
-            build(spark, folder).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+            build(spark, folder).repartition(spark.sparkContext.defaultParallelism).write.partitionBy(*by).parquet(path)
             _written[key] = path
         return spark.read.parquet(_written[key])
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import RunWindow
+from ..operators.rows import in_window, on_day, on_days
 from ..sources import sinks
 from ..sources.staging import fresh_path
 from .common import day_text, load, time_text
@@ -71,9 +72,31 @@ def aligned_append(spark: SparkSession, folder: str) -> DataFrame:
         F.count("*").alias("n_rows"), F.sum("o_orderkey").alias("key_sum"), F.count("o_totalprice").alias("n_priced"))
 
 
-QUERIES = {"full_refresh": full_refresh, "replace_window": replace_window, "purge": purge, "aligned_append": aligned_append}
+def pruned_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """A target laid out by day, read for a window, for one day, and for the days of a calendar (those with an order over
+    a price limit): each read opens the folders of its days only."""
+    path = fresh_path(spark, "by_day")
+    sinks.full_refresh(_daily(spark, folder, "old").where("dt IS NOT NULL"), path, ["dt"])
+    days = load(spark, folder, "orders").where(F.col("o_totalprice") > 490_000).select(
+        F.date_add(F.lit(date(2024, 1, 1)), F.dayofmonth("o_orderdate") - 1).alias("day"))
+    target = spark.read.parquet(path)
+    reads = {"window": in_window(target, "dt", RunWindow(date(2024, 1, 5), date(2024, 1, 9))),
+             "single": on_day(target, "dt", date(2024, 1, 10)), "calendar": on_days(target, "dt", days, "day")}
+    parts = [df.groupBy(day_text("dt").alias("dt")).agg(F.count("*").alias("n_rows"), F.sum("event_id").alias("id_sum"))
+             .withColumn("kind", F.lit(kind)) for kind, df in reads.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+QUERIES = {"pruned_scan": pruned_scan, "full_refresh": full_refresh, "replace_window": replace_window, "purge": purge, "aligned_append": aligned_append}
 
 ORACLE = {
+    "pruned_scan": """
+        WITH e AS (SELECT CAST(ts AS DATE) AS d, event_id FROM events WHERE event_id % 97 <> 0),
+        r AS (SELECT 'window' AS kind, * FROM e WHERE d BETWEEN DATE '2024-01-05' AND DATE '2024-01-09'
+              UNION ALL SELECT 'single', * FROM e WHERE d = DATE '2024-01-10'
+              UNION ALL SELECT 'calendar', * FROM e WHERE d IN (
+                  SELECT DATE '2024-01-01' + CAST(day(o_orderdate) - 1 AS INTEGER) FROM orders WHERE o_totalprice > 490000))
+        SELECT kind, strftime(d, '%Y-%m-%d') AS dt, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM r GROUP BY 1, 2""",
     "full_refresh": """SELECT o_orderpriority, count(*) + 1 AS n_rows, '2024-01-31 12:00:00.000' AS createddate, 'loader' AS createdby FROM orders GROUP BY 1""",
     "replace_window": """
         WITH e AS (SELECT CASE WHEN event_id % 97 <> 0 THEN CAST(ts AS DATE) END AS d, event_id FROM events)

@@ -44,7 +44,7 @@ def _case(col: str, mapping: dict[str, str], default: str):
     return out.otherwise(default)
 
 
-@job_input
+@job_input(by=["dt"])
 def order_states(spark: SparkSession, folder: str) -> DataFrame:
     e = _events(spark, folder)
     units = F.floor("value").cast("int") + 1
@@ -61,7 +61,7 @@ def order_states(spark: SparkSession, folder: str) -> DataFrame:
         F.to_json(F.array(cold(F.col("k") < 20), cold(F.lit(False)))).alias("itemdetails"))
 
 
-@job_input
+@job_input(by=["dt"])
 def order_events(spark: SparkSession, folder: str) -> DataFrame:
     info = F.struct(F.col("store").alias("id"), F.when(F.col("value") < 80, "Instacart").otherwise("other").alias("name"),
                     F.when(F.col("k") < 50, "LISTED").alias("storeType"))
@@ -72,14 +72,14 @@ def order_events(spark: SparkSession, folder: str) -> DataFrame:
         F.to_json(F.struct(info.alias("storeInfo"))).alias("metadata_json"))
 
 
-@job_input
+@job_input(by=["dt"])
 def order_confirm(spark: SparkSession, folder: str) -> DataFrame:
     return _events(spark, folder).select(
         "dt", F.col("oid").alias("job_id"), (F.col("ms") - 600_000).alias("time_stamp"), F.lit("BUY").alias("type"),
         F.when(F.col("event_type").isin("signup", "view"), "CONFIRMED").otherwise("OTHER").alias("status"))
 
 
-@job_input
+@job_input(by=["dt"])
 def pigeon_hole(spark: SparkSession, folder: str) -> DataFrame:
     return _events(spark, folder).select(
         "dt", F.when(F.col("event_type") == "error", PIGEON_HOLE).otherwise("other").alias("object_name"),
@@ -87,7 +87,7 @@ def pigeon_hole(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("k") < 50, text("ms")).otherwise(text(epoch_ms(F.col("ms")))).alias("time_stamp"))
 
 
-@job_input
+@job_input(by=["dt"])
 def job_logs(spark: SparkSession, folder: str) -> DataFrame:
     status = _case("event_type", {"view": "PLACED", "purchase": "DELIVERY_DELIVERED", "click": "DELIVERY_PICKEDUP", "signup": "DELIVERY_ARRIVED"}, "CANCELLED")
     reason = F.when(F.col("value") >= 20, "late: Stores_VDC | VDC_OOS (auto)").otherwise("changed mind")

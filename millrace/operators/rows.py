@@ -19,6 +19,15 @@ def on_day(df: DataFrame, col: str, day: date) -> DataFrame:
     return df.filter(F.col(col) == F.lit(day))
 
 
+def on_days(df: DataFrame, col: str, days: DataFrame, day: str) -> DataFrame:
+    """Rows whose date occurs in ``days``, a calendar that is only known at run time.
+
+    Where ``df`` is laid out by ``col`` and ``days`` is filtered and small enough to be broadcast, Spark prunes the
+    folders by the calendar's result before the scan; else it is a plain semi join with the same rows.
+    """
+    return df.join(days.select(F.col(day).alias(col)), col, "left_semi").select(*df.columns)
+
+
 def effective_at(df: DataFrame, eff: str, term: str, as_of: date, strict: bool = True) -> DataFrame:
     return df.filter(effective(F.col(eff), F.col(term), as_of, strict))
 

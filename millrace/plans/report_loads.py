@@ -36,8 +36,9 @@ DATED = ("order_states", "order_events", "order_confirm", "pigeon_hole", "job_lo
 
 
 def staged_day(tables: StoreTables, window: RunWindow, names: Sequence[str] = DATED) -> StoreTables:
-    """The window's events of the named tables, written once: the reports of a run read these and not the event tables."""
-    return replace(tables, **{name: stage(in_window(getattr(tables, name), "dt", window), name) for name in names})
+    """The window's events of the named tables, written once, by day: the reports of a run read these and not the event
+    tables, and those of one day read that day's folder."""
+    return replace(tables, **{name: stage(in_window(getattr(tables, name), "dt", window), name, ["dt"]) for name in names})
 
 
 def load_temperature_flags(day: StoreTables, window: RunWindow, path: str) -> None:

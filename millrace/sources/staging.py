@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -33,16 +33,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write once, read many: for a result that several later steps use. Cuts the lineage too.
 
-    Runs at once, so a plan that stages a step is not lazy up to that step. Inside a ``scope`` the files go with it.
+    Runs at once, so a plan that stages a step is not lazy up to that step. Inside a ``scope`` the files go with it. With
+    ``by`` the files lie in a folder for each value, and later filters on these columns skip folders.
     """
     path = fresh_path(df.sparkSession, name)
     if (made := _open.get()) is not None:
         made.append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    return staged.select(*[f"`{c}`" for c in df.columns]) if by else staged
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -54,7 +56,10 @@ def unstage(*frames: DataFrame) -> None:
     """Delete the files of staged frames that nothing reads any more."""
     for df in frames:
         for file in df.inputFiles():
-            _delete(df.sparkSession, file.rpartition("/")[0])
+            folder = file.rpartition("/")[0]
+            while "=" in folder.rpartition("/")[2]:  # laid out by values
+                folder = folder.rpartition("/")[0]
+            _delete(df.sparkSession, folder)
             break
 
 
