@@ -33,15 +33,6 @@ def kept_percent(total: Column, lost: Column, scale: int = 4) -> Column:
     return F.coalesce(F.round(F.try_divide(kept, total), scale), F.lit(0.0))
 
 
-def weighted(parts: Sequence[tuple[Column, float]]) -> Column:
-    """Weighted sum in double, NULL inputs as zero."""
-    total = None
-    for col, weight in parts:
-        term = F.coalesce(col.cast("double"), F.lit(0.0)) * F.lit(weight)
-        total = term if total is None else total + term
-    return total
-
-
 def if_matched(flag: Column, value: Column, default: object = "NA") -> Column:
     """``value`` (even NULL) for a row that found its partner, else ``default``."""
     return F.when(flag.isNotNull(), value).otherwise(F.lit(default))
