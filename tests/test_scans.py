@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.dates import RunWindow
 from millrace.operators.rows import in_window, on_day, on_days
 from millrace.plans import report_loads, store_orders
+from millrace.session import prepare
 from millrace.sources import sinks, staging
 
 DAYS = [date(2024, 1, d) for d in range(1, 8)]
@@ -72,3 +73,11 @@ def test_staged_day_is_laid_out_by_day(spark, rows):
         staging.unstage(day.order_states)
         fs, make = sinks._fs(spark, files[0])
         assert not fs.exists(make(files[0].split("/dt=")[0]))
+
+
+def test_partitions_stay_small_as_inputs_grow(spark):
+    """However few shuffle partitions a session asks for (8 here), a task reads some MB and not a share of the input."""
+    rows = prepare(spark).range(8_000_000).select(F.xxhash64("id").alias("k"), F.xxhash64(F.col("id") + 1).alias("v"))
+    parts = rows.repartition("k").groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    assert len(parts) > 9 and max(r.n for r in parts) < 900_000
+    assert prepare(spark).range(1000).repartition("id").select(F.spark_partition_id().alias("p")).distinct().count() <= 8
