@@ -14,7 +14,7 @@ from ..functions.text import blank_safe_cast
 from ..operators.nested import flatten
 from ..plans.payment_ledger import KEYS, SOURCES, merge_payment_ledger, payment_ledger
 from ..sources.sinks import full_refresh, merge_insert_only, merge_into_buckets
-from ..sources.staging import fresh_path
+from ..sources.staging import fresh_path, scope
 from ..sources.tables import table
 from .common import job_input, load, text
 
@@ -22,11 +22,12 @@ BUCKETS = 16
 WINDOW = RunWindow(date(1995, 6, 1), date(2000, 12, 31))
 
 
-@job_input
+@job_input(dealt=True)
 def payments(spark: SparkSession, folder: str) -> DataFrame:
     """Every line item is a payment; returned ones carry refunds, and so on. Arrays have at most three elements."""
     li = load(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate").repartition(
+        spark.sparkContext.defaultParallelism)
     order, part, line = text("l_orderkey"), text("l_partkey"), text("l_linenumber")
     whole = text(F.col("l_quantity").cast("int"))
 
@@ -66,9 +67,10 @@ def ledger_merge(spark: SparkSession, folder: str) -> DataFrame:
     name = f"ledger_{uuid.uuid4().hex}"
     paid = payments(spark, folder)
     refunds = paid.withColumns({c: F.lit(None).cast("string") for c in SOURCES if c != "pg_refund"})
-    merge_into_buckets(payment_ledger(refunds, WINDOW).withColumn("lob", F.lit("old")), name, KEYS, BUCKETS)
-    for _ in range(2):
-        merge_payment_ledger(paid, WINDOW, name, BUCKETS)
+    with scope(spark):
+        merge_into_buckets(payment_ledger(refunds, WINDOW).withColumn("lob", F.lit("old")), name, KEYS, BUCKETS)
+        for _ in range(2):
+            merge_payment_ledger(paid, WINDOW, name, BUCKETS)
     return (table(spark, name).groupBy("description", "lob")
             .agg(F.count("*").alias("n_rows"), F.sum(F.col("gross_txn_value").cast("bigint")).alias("gross")))
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import parse
@@ -32,14 +32,15 @@ def flatten_typed(df: DataFrame, col: str, name: str, index: str | None = None)
 
 
 def tagged_elements(df: DataFrame, columns: Mapping[str, str], tag: str, name: str,
-                    strict: bool = False) -> DataFrame:
+                    strict: bool = False, form: Callable[[Column], Column] = lambda elements: elements) -> DataFrame:
     """Elements of several JSON array columns as rows, tagged with where they came from.
 
     One scan for all columns: the columns become one array of (tag, elements) that is exploded twice,
-    instead of one scan, extraction and union branch per column.
+    instead of one scan, extraction and union branch per column. ``form`` changes the array of a column's
+    elements before it is exploded.
     """
     sets = F.array(*[
-        F.struct(F.lit(t).alias("tag"), parse(F.col(c), "array<string>", strict).alias("elems"))
+        F.struct(F.lit(t).alias("tag"), form(parse(F.col(c), "array<string>", strict)).alias("elems"))
         for c, t in columns.items()
     ])
     rest = [c for c in df.columns if c not in columns]

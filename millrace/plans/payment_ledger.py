@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..functions.text import strip_list_marks, strip_parens, text_or_empty
 from ..operators.nested import tagged_elements
 from ..operators.rows import in_window
 from ..sources.sinks import merge_insert_only, merge_into_buckets
+from ..sources.staging import scope, stage
 
 # JSON array column -> description, ledger column -> element field, merge key.
 SOURCES = {
@@ -46,6 +49,8 @@ FIELDS = {
     "rrn": "rrn",
 }
 KEYS = ["pg", "mid", "pg_txn_id", "txn_type", "amount_transferred_to_nodal", "utr", "refund_id", "paymentmode"]
+OWN = ["order_id", "txn_id", "lob", "created_at", "updated_at"]
+FEW = 100_000  # repeated payments, by hash, that are broadcast
 COLUMNS = [
     "order_id", "description", "pg", "mid", "txn_id", "pg_txn_id", "txn_type", "txn_date", "settlement_date",
     "gross_txn_value", "pg_commission", "cgst", "sgst", "igst", "amount_transferred_to_nodal", "utr", "refund_id",
@@ -57,25 +62,56 @@ COLUMNS = [
 def payment_ledger(payments: DataFrame, window: RunWindow, strict: bool = True) -> DataFrame:
     """Ledger rows of the payments updated in the window; no two rows are the same.
 
-    Every ledger column follows from the payment's own columns, the kind and the element text, so rows are made distinct on
-    those seven before the fields are read. Elements that differ only in the order of their keys are one; their text is the
-    form with sorted keys, which is dear to make. So the rows are shuffled
-    once as plain text, by their payment and by ``_identity``, which no order of keys changes: equal elements meet, and a
-    payment with very many elements is split. Behind the shuffle repeats of one text go first, and only what is left is put
-    in that form and made distinct by it in the same place.
     Bad JSON fails the job unless ``strict`` is off.
     """
+    return _read(_elements(payments, window, strict), COLUMNS)
+
+
+def _elements(payments: DataFrame, window: RunWindow, strict: bool) -> DataFrame:
+    """The distinct (payment's own columns, kind, element), the element's text with sorted keys.
+
+    Every ledger column follows from these. Elements that differ only in the order of their keys are one. Two rows can be
+    equal only if their payments' own columns are, so a payment that no other row repeats is made distinct where it lies,
+    inside its arrays, and is not shuffled. To find the others only a number for each payment is: a hash of those columns,
+    so some may be taken for repeated that are not. Repeated ones are compared across rows.
+    """
     base = in_window(payments, "updated_at", window).select(
         "order_id", text_or_empty(F.col("transaction_id")).alias("txn_id"), text_or_empty(F.col("lob")).alias("lob"),
         text_or_empty(F.col("created_at")).alias("created_at"), text_or_empty(F.col("updated_at")).alias("updated_at"), *SOURCES)
-    rows = tagged_elements(base, SOURCES, "description", "arr", strict)
+    payment = F.xxhash64(*OWN)
+    repeated = stage(base.groupBy(payment.alias("_payment")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_payment"), "repeated")
+    n = repeated.count()
+    if n > FEW:  # then both parts would be shuffled, to be told apart
+        return _distinct_across(base, strict)
+    within = lambda elements: F.array_distinct(F.transform(elements, lambda e: canonical(e, strict)))
+    if not n:
+        return tagged_elements(base, SOURCES, "description", "arr", strict, within)
+    part = lambda how: base.join(F.broadcast(repeated), payment == F.col("_payment"), how)
+    alone = tagged_elements(part("left_anti"), SOURCES, "description", "arr", strict, within)
+    return alone.unionByName(_distinct_across(part("left_semi"), strict))
+
+
+def _distinct_across(base: DataFrame, strict: bool) -> DataFrame:
+    """The same where several rows hold one payment.
+
+    The text with sorted keys is dear to make. So the rows are shuffled
+    once as plain text, by their payment and by ``_identity``, which no order of keys changes: equal elements meet, and a
+    payment with very many elements is split. Behind the shuffle repeats of one text go first, and only what is left is put
+    in that form and made distinct by it in the same place.
+    """
+    rows = tagged_elements(base, SOURCES, "description", "arr", strict, F.array_distinct)
     rows = rows.withColumn("_identity", _identity(F.col("arr")))
     own = [c for c in rows.columns if c != "arr"]
-    rows = rows.repartition(*own).distinct().withColumn("arr", canonical(F.col("arr"), strict)).distinct()
-    rows = rows.withColumn("e", parse(F.col("arr"), text_fields(sorted(set(FIELDS.values())))))
+    return rows.repartition(*own).distinct().withColumn("arr", canonical(F.col("arr"), strict)).distinct().drop("_identity")
+
+
+def _read(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The named ledger columns; those that the rows do not have are read from the element."""
+    fields = {out: FIELDS[out] for out in columns if out in FIELDS and out not in rows.columns}
+    rows = rows.withColumn("e", parse(F.col("arr"), text_fields(sorted(set(fields.values())))))
     read = {out: text_or_empty((strip_list_marks if out == "utr" else strip_parens)(F.col(f"e.{name}"))).alias(out)
-            for out, name in FIELDS.items()}
-    return rows.select(*[read.get(c, c) for c in COLUMNS])
+            for out, name in fields.items()}
+    return rows.select(*[read.get(c, c) for c in columns])
 
 
 def _identity(element: Column) -> Column:
@@ -89,5 +125,11 @@ def load_payment_ledger(payments: DataFrame, window: RunWindow, path: str) -> No
 
 
 def merge_payment_ledger(payments: DataFrame, window: RunWindow, name: str, buckets: int = 200) -> None:
-    """The same into a catalog table bucketed by the merge key, which no run shuffles."""
-    merge_into_buckets(payment_ledger(payments, window), name, KEYS, buckets)
+    """The same into a catalog table bucketed by the merge key, which no run shuffles.
+
+    The rows are shuffled with the key and the element's text; the other columns are read from it behind the merge, for the
+    rows that are new. The shuffle goes when the run ends.
+    """
+    with scope(payments.sparkSession):
+        rows = _read(_elements(payments, window, True), [*OWN, "description", *KEYS, "arr"])
+        merge_into_buckets(rows, name, KEYS, buckets, lambda new: _read(new, COLUMNS))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -258,28 +258,30 @@ def merge_insert_only(source: DataFrame, path: str, keys: Sequence[str], partiti
 
 
 def new_rows(source: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
-    """Source rows, in the columns of the bucketed table ``name``, whose key is not in it.
+    """Source rows whose key is not in the bucketed table ``name``, keys as the table has them.
 
     The table is bucketed by the merge key, so only the source is shuffled, into the table's buckets. The hint keeps the
     table out of a broadcast, whatever its size.
     """
     target = source.sparkSession.table(name)
     keys = list(keys)
-    rows = align_to(source, target.schema)
+    rows = source.withColumns({k: F.col(k).cast(target.schema[k].dataType) for k in keys})
     return rows.join(target.select(*keys).hint("merge"), keys, "left_anti").select(*rows.columns)
 
 
-def merge_into_buckets(source: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
+def merge_into_buckets(source: DataFrame, name: str, keys: Sequence[str], buckets: int,
+                       finish: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
     """Insert-only MERGE into a catalog table bucketed by the merge key; the first load creates it.
 
     A target that grows with every run is then never shuffled: its buckets are read where they lie, without the columns
-    beyond the key. A task writes one file, for the bucket it has compared. Keys must not be NULL.
+    beyond the key. A task writes one file, for the bucket it has compared. Keys must not be NULL. ``finish`` makes the
+    table's columns from the source's, key included, for the rows that are added; what it makes is not shuffled.
     """
     keys = list(keys)
     if source.sparkSession.catalog.tableExists(name):
-        rows = new_rows(source, name, keys)
+        rows = align_to(finish(new_rows(source, name, keys)), source.sparkSession.table(name).schema)
     else:
-        rows = source.repartition(buckets, *keys)
+        rows = finish(source.repartition(buckets, *keys))
     rows.write.mode("append").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
 
 

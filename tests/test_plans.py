@@ -41,6 +41,25 @@ def test_ledger_bad_json(spark):
     assert payment_ledger.payment_ledger(df, RunWindow(date(2024, 1, 30), DAY), strict=False).count() == 1
 
 
+def test_ledger_is_distinct_with_and_without_repeated_payments(spark, rows, monkeypatch):
+    """Payments that other rows repeat, a few or many, and those that none does; key order and number form make no element."""
+    a, b = '[{"pg":"a","pgTransactionAmount":1.50},{"pgTransactionAmount":1.5,"pg":"a"},{"pg":"b"}]', '[{"pg":"b"},{"pg":"c"}]'
+    noon, window = datetime(2024, 1, 30, 12), RunWindow(date(2024, 1, 30), DAY)
+    apart = [(str(i), a, None, b, a, noon) for i in range(5)]
+    found = lambda df: rows(payment_ledger.payment_ledger(df, window).select("order_id", "description", "pg"))
+    each = [("PG_CHARGEBACK", "a"), ("PG_CHARGEBACK", "b"), ("PG_REFUND", "b"), ("PG_REFUND", "c"), ("PG_TRANSACTION", "a"), ("PG_TRANSACTION", "b")]
+    want = [(str(i), *e) for i in range(5) for e in each]
+    lone = ledger_input(spark, *apart)
+    assert found(lone) == want
+    twice = ledger_input(spark, *apart, ("1", None, None, '[{"pg":"c"},{"pg":"d"}]', a, noon), (None, a, None, None, None, noon), (None, a, None, None, None, noon))
+    extra = sorted([*want, ("1", "PG_REFUND", "d"), (None, "PG_CHARGEBACK", "a"), (None, "PG_CHARGEBACK", "b")], key=repr)
+    assert found(twice) == extra
+    monkeypatch.setattr(payment_ledger, "FEW", 0)
+    assert found(twice) == extra
+    plan = payment_ledger.payment_ledger(lone, window)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # no other row has a part in a lone payment
+
+
 def states(spark, *rows):
     """(order, slotted, minute of the day, state[, metadata, itemdetails])"""
     full = [(DAY, o, s, DAY_MS + m * 60_000, DAY_MS + m * 60_000, st, "s1", *(rest or [None, None])) for o, s, m, st, *rest in rows]
