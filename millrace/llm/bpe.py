@@ -71,21 +71,24 @@ class Automaton:
         self.special = special
         self.born: dict[int, int] = {}  # label -> rank of its gadget; bytes have none
         self.halves: dict[int, tuple[int, int]] = {}
-        self.cut: dict[tuple[int, int], int] = {}  # (state, arc cut from it) -> rank
+        self.cut: dict[int, int] = {}  # state << 32 | arc cut from it -> rank
         self.dead: set[int] = set()
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}
         for rank, (u, v) in enumerate(merges):
             self._gadget(rank, self.ids[u], self.ids[v], self.ids[u + v])
-        self.below: list[dict[int, int]] = [{}]  # trie over labels
+        self.below: dict[int, int] = {}  # trie over labels: node << 8 | byte -> node
+        self.inner = bytearray(1)  # whether anything is below a node
         self.named: list[int] = [-2]
         for label, number in self.ids.items():
             node = 0
             for byte in label:
-                node = self.below[node].setdefault(byte, len(self.below))
-                if node == len(self.below):
-                    self.below.append({})
+                self.inner[node] = 1
+                node = self.below.setdefault(node << 8 | byte, len(self.named))
+                if node == len(self.named):
+                    self.inner.append(0)
                     self.named.append(-2)
             self.named[node] = number
+        self.width = 2 + max(self.labels)  # a label being read is one number: node * width + 1 + the state it left
         self.size_of = np.zeros(1 + max(self.labels), np.int64)
         for number, label in self.labels.items():
             self.size_of[number] = len(label)
@@ -99,14 +102,14 @@ class Automaton:
     def _gadget(self, rank: int, u: int, v: int, w: int) -> None:
         if not self._reads(u, v, rank):
             self.dead.add(w)
-        self.cut[u, v] = rank
+        self.cut[u << 32 | v] = rank
         self.born[w], self.halves[w] = rank, (u, v)
 
     def _reads(self, p: int, w: int, rank: int) -> bool:
         """Whether state ``p`` had arc ``w`` just before the gadget of ``rank``."""
         while w not in self.dead:
             made = self.born.get(w, -1)
-            if made >= rank or self.cut.get((p, w), rank) < rank:
+            if made >= rank or self.cut.get(p << 32 | w, rank) < rank:
                 return False
             copied = self.born.get(p, -1)
             if copied > made:  # the copy took the arc along, if its origin had it
@@ -130,32 +133,34 @@ class Automaton:
         return [part[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(part)]
 
     def arc(self, p: int, w: int) -> bool:
-        found = self.arcs.get((p, w))
+        found = self.arcs.get(p << 32 | w)
         if found is None:
             if len(self.arcs) > 2_000_000:
                 self.arcs.clear()
-            found = self.arcs[p, w] = self._reads(p, w, 1 << 60)
+            found = self.arcs[p << 32 | w] = self._reads(p, w, 1 << 60)
         return found
 
     def _forget(self) -> None:
         """Start the byte table anew; row 0 is the start of a word."""
-        self.rows: dict[tuple, int] = {((START, 0),): 0}
-        self.open: list[tuple] = [((START, 0),)]  # row -> (state, trie node) of the labels being read
+        self.rows: dict[tuple, int] = {(START + 1,): 0}
+        self.open: list[tuple] = [(START + 1,)]  # row -> the labels being read
         self.reached = np.full(1 << 12, START, dtype=np.int32)  # row -> state after its last byte
         self.table = np.full((1 << 12, len(self.bytes_seen) or 1), -1, dtype=np.int32)  # row, class of byte -> row
 
     def _step(self, row: int, byte: int) -> None:
         """Fill in one transition of the byte table."""
         ahead, state = [], None
-        for origin, node in self.open[row]:
-            node = self.below[node].get(byte)
+        for reading in self.open[row]:
+            node, origin = divmod(reading, self.width)
+            node = self.below.get(node << 8 | byte)
             if node is not None:
-                ahead.append((origin, node))
-                if state is None and self.named[node] >= 0 and self.arc(origin, self.named[node]):
+                if self.inner[node]:
+                    ahead.append(node * self.width + origin)
+                if state is None and self.named[node] >= 0 and self.arc(origin - 1, self.named[node]):
                     state = self.named[node]
         if state is None:
             raise ValueError("the vocabulary lacks a byte")
-        key = (*[x for x in ahead if self.below[x[1]]], (state, 0))
+        key = (*ahead, state + 1)
         to = self.rows.get(key)
         if to is None:
             to = self.rows[key] = len(self.open)

@@ -6,6 +6,7 @@ import io
 import random
 import re
 import struct
+import tracemalloc
 from html import unescape
 
 import numpy as np
@@ -263,6 +264,18 @@ def machine():
     return bpe.Automaton(*bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def test_compiled_vocabulary_is_small():
+    """Every task holds one, beside the others of its executor."""
+    parts = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    tracemalloc.start()
+    try:
+        machine = bpe.Automaton(*parts)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert machine.decode(machine.encode(["a token"])[0]) == "a token" and held < 36_000_000
+
+
 def test_automaton_equals_library(machine):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rng = random.Random(3)
