@@ -32,9 +32,9 @@ def _pick(col, mapping: dict, default=None):
 PLANS = {"1-URGENT": "QMXBP7971", "2-HIGH": "QMXBP7971", "3-MEDIUM": "QMXBP7938", "4-NOT SPECIFIED": "QMXBP7938"}
 
 
-@job_input
+@job_input(dealt=True)
 def enrol_keys(spark: SparkSession, folder: str) -> DataFrame:
-    od = load(spark, folder, "orders")
+    od = load(spark, folder, "orders").repartition(spark.sparkContext.defaultParallelism)
     start = F.col("o_orderdate").cast("date")
     return od.select(
         F.concat(F.lit("e"), text("o_orderkey")).alias("enrollid"), text("o_custkey").alias("memid"),
@@ -45,9 +45,9 @@ def enrol_keys(spark: SparkSession, folder: str) -> DataFrame:
         _days(start, 5 - F.floor(F.col("o_totalprice") / 50000)).alias("createdate"))
 
 
-@job_input
+@job_input(dealt=True)
 def enrol_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    li = load(spark, folder, "lineitem")
+    li = load(spark, folder, "lineitem").repartition(spark.sparkContext.defaultParallelism)
     ship = F.col("l_shipdate").cast("date")
     return li.select(
         F.concat(F.lit("e"), text("l_orderkey")).alias("enrollid"), _pick("l_returnflag", {"A": "A1", "N": "B1"}, F.lit("H2")).alias("ratecode"),
