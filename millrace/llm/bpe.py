@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -33,9 +34,12 @@ from .arrow import Piece, map_pieces
 
 # Fixed value: the split pattern of byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Sizes of what a task keeps at hand; both start anew when full, results do not depend on them.
+# The same split for text of ASCII letters alone, where character classes are short lists.
+ASCII_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+# Sizes of what a task keeps at hand; all start anew when full, results do not depend on them.
 CACHED_WORDS = 200_000
 TABLE_ROWS = 120_000
+CACHED_ARCS = 150_000
 STEP_WORDS = 4096
 
 
@@ -76,25 +80,27 @@ class Automaton:
         self.arcs: dict[int, bool] = {}
         for rank, (u, v) in enumerate(merges):
             self._gadget(rank, self.ids[u], self.ids[v], self.ids[u + v])
-        self.below: dict[int, int] = {}  # trie over labels: node << 8 | byte -> node
-        self.inner = bytearray(1)  # whether anything is below a node
-        self.named: list[int] = [-2]
+        below: dict[int, int] = {}  # trie over labels: node << 8 | byte -> node
+        named = [-2]
         for label, number in self.ids.items():
             node = 0
             for byte in label:
-                self.inner[node] = 1
-                node = self.below.setdefault(node << 8 | byte, len(self.named))
-                if node == len(self.named):
-                    self.inner.append(0)
-                    self.named.append(-2)
-            self.named[node] = number
+                node = below.setdefault(node << 8 | byte, len(named))
+                if node == len(named):
+                    named.append(-2)
+            named[node] = number
+        self.edges, self.below = (np.fromiter(x, np.int64, len(below)) for x in (below, below.values()))
+        order = np.argsort(self.edges)
+        self.edges, self.below, self.named = self.edges[order], self.below[order], np.array(named)
+        self.inner = np.zeros(len(named), bool)  # whether anything is below a node
+        self.inner[self.edges >> 8] = True
         self.width = 2 + max(self.labels)  # a label being read is one number: node * width + 1 + the state it left
         self.size_of = np.zeros(1 + max(self.labels), np.int64)
         for number, label in self.labels.items():
             self.size_of[number] = len(label)
         self.bytes_seen, self.class_of = np.zeros(0, np.uint8), np.zeros(256, np.int64)
         self._forget()
-        self.split = regex.compile(SPLIT)
+        self.split, self.ascii_split = regex.compile(SPLIT), re.compile(ASCII_SPLIT)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.splitter = ByteLevel(add_prefix_space=False)
         self.known: dict[str, bytes] = {s: np.array([i], "<u4").tobytes() for s, i in special.items()}
@@ -128,49 +134,78 @@ class Automaton:
     def _split(self, part: str) -> list[str]:
         """Words to encode. Character classes of newer scripts differ between libraries, so those texts go by the
         vocabulary's own library."""
-        if not part or part.isascii() or max(part) < "\u0500":
+        if part.isascii():
+            return self.ascii_split.findall(part)
+        if max(part) < "\u0500":
             return self.split.findall(part)
         return [part[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(part)]
 
     def arc(self, p: int, w: int) -> bool:
         found = self.arcs.get(p << 32 | w)
         if found is None:
-            if len(self.arcs) > 2_000_000:
+            if len(self.arcs) > CACHED_ARCS:
                 self.arcs.clear()
             found = self.arcs[p << 32 | w] = self._reads(p, w, 1 << 60)
         return found
 
     def _forget(self) -> None:
         """Start the byte table anew; row 0 is the start of a word."""
-        self.rows: dict[tuple, int] = {(START + 1,): 0}
-        self.open: list[tuple] = [(START + 1,)]  # row -> the labels being read
+        start = np.array([START + 1])
+        self.rows: dict[bytes, int] = {start.tobytes(): 0}  # labels being read -> row
+        self.open, self.begin = np.resize(start, 1 << 14), np.zeros(1 << 12, np.int64)  # those of a row, from its begin on
+        self.many, self.used = np.ones(1 << 12, np.int64), 1
         self.reached = np.full(1 << 12, START, dtype=np.int32)  # row -> state after its last byte
         self.table = np.full((1 << 12, len(self.bytes_seen) or 1), -1, dtype=np.int32)  # row, class of byte -> row
 
-    def _step(self, row: int, byte: int) -> None:
-        """Fill in one transition of the byte table."""
-        ahead, state = [], None
-        for reading in self.open[row]:
-            node, origin = divmod(reading, self.width)
-            node = self.below.get(node << 8 | byte)
-            if node is not None:
-                if self.inner[node]:
-                    ahead.append(node * self.width + origin)
-                if state is None and self.named[node] >= 0 and self.arc(origin - 1, self.named[node]):
-                    state = self.named[node]
-        if state is None:
+    def _step(self, cells: np.ndarray) -> None:
+        """Fill in transitions of the byte table; a cell is ``row << 8 | byte``."""
+        row, byte = cells >> 8, cells & 255
+        n = self.many[row]
+        of = np.repeat(np.arange(len(cells)), n)
+        node, origin = np.divmod(self.open[np.arange(len(of)) + np.repeat(self.begin[row] - np.cumsum(n) + n, n)], self.width)
+        wanted = node << 8 | byte[of]
+        place = np.minimum(np.searchsorted(self.edges, wanted), len(self.edges) - 1)
+        on = self.edges[place] == wanted
+        of, origin, node = of[on], origin[on], self.below[place[on]]
+        state, label = [START] * len(cells), self.named[node]
+        ends = label >= 0
+        for i, p, w in zip(of[ends].tolist(), (origin[ends] - 1).tolist(), label[ends].tolist()):
+            if state[i] == START and self.arc(p, w):
+                state[i] = w
+        if START in state:
             raise ValueError("the vocabulary lacks a byte")
-        key = (*ahead, state + 1)
-        to = self.rows.get(key)
-        if to is None:
-            to = self.rows[key] = len(self.open)
-            self.open.append(key)
-            if to == len(self.reached):
-                self.reached = np.concatenate([self.reached, np.full(to, START, np.int32)])
-                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
-            self.reached[to] = state
+        ahead = self.inner[node]
+        of = of[ahead]
+        size = np.bincount(of, minlength=len(cells)) + 1
+        stop = np.cumsum(size)
+        reading = np.empty(stop[-1], np.int64)  # of a cell: the labels that go on, then those that start
+        reading[stop - 1] = np.array(state) + 1
+        reading[np.arange(len(of)) + of] = node[ahead] * self.width + origin[ahead]
+        data, to, new, known = reading.tobytes(), [], [], len(self.rows)
+        for i, (a, b) in enumerate(zip((8 * (stop - size)).tolist(), (8 * stop).tolist())):
+            to.append(self.rows.setdefault(data[a:b], len(self.rows)))
+            if len(self.rows) > known:
+                new.append(i)
+                known += 1
+        if new:
+            self._add_rows(known - len(new), size[new], np.array(state)[new],
+                           np.concatenate([reading[a:b] for a, b in zip((stop - size)[new].tolist(), stop[new].tolist())]))
         self.table[row, self.class_of[byte]] = to
 
+    def _add_rows(self, at: int, size: np.ndarray, state: np.ndarray, reading: np.ndarray) -> None:
+        to = at + len(size)
+        if to > len(self.table):
+            more = to + to // 2 - len(self.table)
+            grown = lambda x, value: np.concatenate([x, np.full((more, *x.shape[1:]), value, x.dtype)])
+            self.begin, self.many, self.reached = grown(self.begin, 0), grown(self.many, 0), grown(self.reached, START)
+            self.table = grown(self.table, -1)
+        if self.used + len(reading) > len(self.open):
+            self.open = np.resize(self.open, 2 * (self.used + len(reading)))
+        self.open[self.used:self.used + len(reading)] = reading
+        self.many[at:to], self.begin[at:to] = size, self.used + np.cumsum(size) - size
+        self.reached[at:to] = state
+        self.used += len(reading)
+
     def _classes(self, flat: np.ndarray) -> None:
         new = np.setdiff1d(np.unique(flat), self.bytes_seen)
         if len(new):
@@ -186,7 +221,7 @@ class Automaton:
         All words advance together, one byte at a time; the paths are then read off backwards. Words are sorted by
         length, longest first, so those that still have bytes left are always a prefix.
         """
-        if len(self.open) > TABLE_ROWS:
+        if len(self.rows) > TABLE_ROWS:
             self._forget()
         order = sorted(range(len(words)), key=lambda i: -len(words[i]))
         flat = np.frombuffer(b"".join([words[i] for i in order]), np.uint8)
@@ -201,8 +236,7 @@ class Automaton:
             to = self.table[here, self.class_of[byte]]
             gap = to < 0
             if gap.any():
-                for cell in np.unique(here[gap].astype(np.int64) << 8 | byte[gap]).tolist():
-                    self._step(cell >> 8, cell & 255)
+                self._step(np.unique(here[gap].astype(np.int64) << 8 | byte[gap]))
                 to = self.table[here, self.class_of[byte]]
             row[:n] = to
             states[at] = self.reached[to]

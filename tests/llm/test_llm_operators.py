@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import io
+import itertools
 import random
 import re
 import struct
@@ -288,6 +289,25 @@ def test_automaton_equals_library(machine):
         assert machine.decode(ids) == library.decode(expected.ids, skip_special_tokens=False)
 
 
+def test_table_is_filled_batch_by_batch(machine):
+    """All transitions that a byte of many words lacks are found together, and starting anew changes nothing."""
+    parts = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    small, calls = bpe.Automaton(*parts), []
+    step = small._step
+    small._step = lambda cells: (calls.append(len(cells)), step(cells))
+    rng = random.Random(5)
+    words = list({"".join(rng.choice("abcdefgé") for _ in range(rng.randint(1, 9))).encode() for _ in range(3000)})
+    first = small.run(words)
+    assert len(calls) <= max(map(len, words)) and sum(calls) > 1000
+    small._forget()
+    assert small.run(words) == first == [machine.encode([w.decode()])[0] for w in words]
+
+
+def test_ascii_text_is_split_as_any_other(machine):
+    for text in map("".join, itertools.product([*"a1' \t\r\x1c.", "'ll"], repeat=5)):
+        assert machine._split(text) == machine.split.findall(text), repr(text)
+
+
 def test_bpe_rows(spark):
     path, df = public_tokenizers.path("byte_bpe_50k.json"), odd_rows(spark)
     library = Tokenizer.from_file(path)
