@@ -15,6 +15,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 
 DEAL = 64  # parts over which the rows of a range that is all ties are dealt
@@ -94,11 +95,14 @@ def range_of(df: DataFrame, order: dict[str, bool], ranges: int | None = None, n
     Bounds come from a sample of some 64 rows a range, as many ranges as shuffle partitions unless given. They are literals,
     so the number depends on the row alone: every step and every retry sees the same ranges. Rows equal to a bound are a
     range of their own, with an odd number; frequent values become bounds. All rows of an even range lie between two
-    bounds, so neither kind holds a large share of the rows but one that is all ties.
+    bounds, so neither kind holds a large share of the rows but one that is all ties. A row finds its range by halving, so
+    the work on it hardly grows with the number of ranges. Timestamps are compared as microseconds: a local time that comes
+    twice a year would put the bounds out of order.
     """
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = df.count()
-    keys = df.select(*order)
+    value = {c: F.unix_micros(c) if df.schema[c].dataType == TimestampType() else F.col(c) for c in order}
+    keys = df.select(*[v.alias(c) for c, v in value.items()])
     null_place = "nulls_last" if nulls_last else "nulls_first"
     sort = [getattr(F.col(c), f"{'asc' if up else 'desc'}_{null_place}")() for c, up in order.items()]
     rows = keys.sample(min(1.0, 64 * ranges / max(1, n)), 7).orderBy(*sort).collect()
@@ -113,13 +117,22 @@ def range_of(df: DataFrame, order: dict[str, bool], ranges: int | None = None, n
         """2 behind the bound, 1 at it, 0 before it."""
         out = F.lit(1)
         for i, (c, up) in reversed(list(enumerate(order.items()))):
-            mine, other = F.col(c), bound.getField(f"b{i}")
+            mine, other = value[c], bound.getField(f"b{i}")
             behind = (F.when(mine.isNull(), F.lit(nulls_last)).when(other.isNull(), F.lit(not nulls_last))
                       .otherwise(mine > other if up else mine < other))
             out = F.when(mine.eqNullSafe(other), out).when(behind, 2).otherwise(0)
         return out
 
-    return F.aggregate(literal, F.lit(0), lambda total, bound: total + place(bound))
+    n, steps = len(bounds), F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+
+    def search(given: Column) -> Column:
+        def further(passed: Column, step: Column) -> Column:
+            return passed + F.when((passed + step <= n) & (place(F.get(given, passed + step - 1)) == 2), step).otherwise(0)
+
+        return F.aggregate(steps, F.lit(0), further,
+                           lambda passed: 2 * passed + F.when((passed < n) & (place(F.get(given, passed)) == 1), 1).otherwise(0))
+
+    return F.get(F.transform(F.array(literal), search), F.lit(0))  # the bounds stand in the plan once
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: dict[str, str], left_ts: str, right_ts: str,

@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -247,3 +248,26 @@ def test_opt_in_after_opt_out_equals_pairing(spark, rows):
     schema = "k int, m string, eff date, term date"
     got = spans.days_since_opt_out(spark.createDataFrame(outs, schema), spark.createDataFrame(ins, schema), "k", ["m"])
     assert rows(got) == sorted([(*k, *v) for k, v in want.items()], key=repr)
+
+
+def test_a_row_finds_its_range_by_halving(spark):
+    """The range is twice the bounds before a row, plus one at a bound; ten times the ranges are not ten times the work."""
+    df = spark.range(0, 200_000, 1, 4).select((F.col("id") * 7919 % 200_003).alias("v"), F.timestamp_seconds("id").alias("t")).localCheckpoint()
+
+    def seconds(ranges):
+        cut = ordered.range_of(df, {"v": True, "t": False}, ranges)
+        begun = time.monotonic()
+        df.agg(F.sum(cut)).collect()
+        return time.monotonic() - begun
+
+    seconds(8)
+    assert seconds(400) < 4 * seconds(20) + 0.5
+    few = spark.range(0, 1000, 1, 2).select(F.when(F.col("id") % 9 > 0, F.col("id") % 40).alias("v"), F.timestamp_seconds(F.col("id") % 7).alias("t"))
+    for up, last in itertools.product((True, False), repeat=2):
+        found = few.select("v", "t", ordered.range_of(few, {"v": up, "t": not up}, 60, last).alias("r")).distinct().collect()
+        place = lambda r: (((r.v is None) == last, 0) if r.v is None else (not last, r.v if up else -r.v),
+                           -r.t.timestamp() if up else r.t.timestamp())
+        found.sort(key=place)
+        numbers = [r.r for r in found]
+        ties = [r for r in numbers if r % 2]
+        assert numbers == sorted(numbers) and ties == sorted(set(range(1, 2 * len(ties), 2))) and len(ties) > 20
