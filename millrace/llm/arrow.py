@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE_BYTES = 1 << 20
+# Batches are cut on the JVM's side as well: by rows alone, one of long texts takes tens of MB there and in the worker.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 Piece = dict[str, list]
 Work = Callable[[Piece], Piece]
@@ -66,6 +68,7 @@ def map_arrow(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[
         finally:
             _give_back()
 
+    df.sparkSession.conf.set(BATCH_BYTES, 4 * PIECE_BYTES)
     return df.mapInArrow(whole, schema)
 
 

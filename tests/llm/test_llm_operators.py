@@ -12,11 +12,14 @@ from html import unescape
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import (boosting, bpe, bwt, decontaminate, html_text, jaccard, langid, pii, quality, secret_scan,
                           suffix, warc)
+from millrace.llm.arrow import map_arrow
 from millrace.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -308,6 +311,17 @@ def test_ascii_text_is_split_as_any_other(machine):
         assert machine._split(text) == machine.split.findall(text), repr(text)
 
 
+def test_batches_are_bounded_by_bytes(spark):
+    """A batch of long texts holds some MB in the JVM and in the worker, whatever its number of rows."""
+    long_ = spark.range(0, 64, 1, 1).select(F.repeat(F.lit("x"), 1_000_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    assert max(r.n for r in map_arrow(long_, sizes, "n long").collect()) < 8_000_000
+
+
 def test_bpe_rows(spark):
     path, df = public_tokenizers.path("byte_bpe_50k.json"), odd_rows(spark)
     library = Tokenizer.from_file(path)
