@@ -127,13 +127,22 @@ class Counted:
             self.parts.append((k, at, code[at], freq[owner[at]]))
 
 
+def _longer(key: np.ndarray, span: int, number: np.ndarray, size: int) -> tuple[np.ndarray, int]:
+    """Keys below ``span`` told apart further by numbers below ``size``, in the same order; what they are below. Exact: keys
+    that would not fit into 63 bits are numbered anew first."""
+    if span * size >= 1 << 63:
+        known, key = np.unique(key, return_inverse=True)
+        span = len(known)
+    return key * np.int64(size) + number, span * size
+
+
 def _of_piece(piece: pa.RecordBatch, longest: int) -> Counted:
     return Counted(piece["lang"], piece["chunk"], piece["last"].to_numpy(zero_copy_only=False), piece["freq"].to_numpy(), longest)
 
 
 def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ascending distinct keys, where each is found first, and exact sums of their weights."""
-    order = np.argsort(keys, kind="stable")
+    """Ascending distinct keys, a place of each, and exact sums of their weights."""
+    order = np.argsort(keys)
     edge = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[order][edge], order[edge], np.add.reduceat(weights[order], edge) if len(edge) else weights[:0]
 
@@ -219,10 +228,10 @@ def _phrases(chunks: DataFrame, frequent: DataFrame, width: int, longest: int, b
         made, out = _of_piece(piece, longest), []
         langs = piece["lang"].dictionary_encode()
         spoken = langs.indices.to_numpy()[made.owner].astype(np.int64)
-        key = spoken  # number of (lang, words so far) at each place, exact
+        key, span = spoken, max(1, len(langs.dictionary))  # number of (lang, words so far) at each place, exact
         for k, at, code, weight in made.parts:
             ahead = np.minimum(np.arange(len(key)) + k - 1, len(key) - 1)
-            key = np.unique(key << np.int64(32) | made.number[ahead], return_inverse=True)[1]
+            key, span = _longer(key, span, made.number[ahead], max(1, len(made.distinct)))
             code = code >> np.uint64(64 - bits)
             near = np.minimum(np.searchsorted(often, code), max(0, len(often) - 1))
             hit = often[near] == code if len(often) else np.zeros(len(code), bool)

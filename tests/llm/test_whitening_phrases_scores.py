@@ -260,3 +260,12 @@ def test_quality_query_on_held_out_labels(spark):
     both = found.merge(pd.read_parquet(f"{folder}/labels.parquet"), on="doc_id")
     both = both[both["held_out"]]
     assert (both["predicted"] == both["quality"]).mean() > 0.95
+
+
+def test_phrase_keys_are_exact_where_they_do_not_fit():
+    rng = np.random.default_rng(2)
+    key, number = rng.integers(0, 5, 4000), rng.integers(0, 90, 4000)
+    want = np.unique(key * 90 + number, return_inverse=True)[1]
+    for below in (5, 1 << 62):
+        longer, span = collocations._longer(key, below, number, 90)
+        assert (np.unique(longer, return_inverse=True)[1] == want).all() and span < 1 << 63 and longer.max() < span
