@@ -395,7 +395,9 @@ def links(docs: DataFrame, info: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     width = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # signatures outweigh the rest
     blocks = _signature_blocks(docs, width).repartition(width, "bucket").sortWithinPartitions("bucket")
-    kept = stage(_kept(_shared(blocks)), "kept")
+    shared = stage(_shared(blocks), "shared")  # so the shuffled blocks, which outweigh it, are gone before the next shuffle
+    kept = stage(_kept(shared), "kept")
+    unstage(shared)
     groups = stage(_centered(kept), "groups")
     unstage(kept)
     known = info.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id", "sketch"])
