@@ -19,23 +19,24 @@ from .common import day_text, job_input, load, text, time_text
 WINDOW = RunWindow(date(2024, 1, 3), date(2024, 1, 27))
 
 
-def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "events").select(
+def _events(spark: SparkSession, folder: str, dealt: bool = False) -> DataFrame:
+    e = load(spark, folder, "events").select("event_id", "event_type", "value", "user_id", "ts", "props")
+    return (e.repartition(spark.sparkContext.defaultParallelism) if dealt else e).select(
         "event_id", "event_type", "value", "user_id", "ts", F.to_date("ts").alias("dt"),
         F.concat(F.lit("s"), text("user_id"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("sid"),
         F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
-@job_input
+@job_input(dealt=True)
 def place_orders(spark: SparkSession, folder: str) -> DataFrame:
-    e = _events(spark, folder)
+    e = _events(spark, folder, dealt=True)
     source = F.when((F.col("event_type") == "purchase") & (F.col("value") < 100), "turbocheckout").otherwise("web")
     return e.select("dt", "sid", F.to_json(F.struct(source.alias("place_order_source"))).alias("request_params"))
 
 
-@job_input
+@job_input(dealt=True)
 def payment_api(spark: SparkSession, folder: str) -> DataFrame:
-    e = _events(spark, folder)
+    e = _events(spark, folder, dealt=True)
     page = F.when(F.col("event_type") == "view", "payment").when(F.col("event_type").isin("click", "purchase"), "checkout").otherwise("cart")
 
     def method(i):
@@ -98,7 +99,7 @@ def _fact(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "transactions")
     paid.write.option("header", True).option("escape", '"').csv(path)
     paid = read_csv(spark, path, "dt date, order_id string, payment_details string")
-    state = stage(_state(spark, folder), "sessions")
+    state = _state(spark, folder)
     return plan.session_fact(checkout, state, _options(spark, folder, state), orders, paid, cities, WINDOW)
 
 

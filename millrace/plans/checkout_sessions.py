@@ -16,6 +16,7 @@ from ..operators.nested import flatten_typed
 from ..operators.ordered import top1
 from ..operators.rows import in_window
 from ..sources.sinks import purge_before, replace_window
+from ..sources.staging import scope, stage
 
 # Fixed values.
 TENANTS = ["SW-FOOD", "SW-FOOD-PWA"]
@@ -31,26 +32,38 @@ def payment_sessions(place_order: DataFrame, payment_api: DataFrame, window: Run
 
     Events are tested first and ranked afterwards, so a session whose last event says nothing falls back
     to an earlier one. Only the group names in ``payment_group`` matter, so the array is tested in place
-    instead of multiplying rows. Session-wide flags need every event of a session; to keep a huge session
-    out of one task, its events first shrink to the latest one per combination of flags.
+    instead of multiplying rows. The tested events are staged: a request's flag and its events both come from them, and a
+    filter on parsed text would have it parsed once more. Session-wide flags need every event of a session; to keep a huge
+    session out of one task, its events first shrink to the latest one per day and combination of flags. What is left meets
+    the session's order days (one row per session, no more days than the window has) in the partitioning of its flags.
+    The result is staged.
     """
-    placed = (in_window(place_order, "dt", window).filter(parse(F.col("request_params"), "struct<place_order_source:string>", strict=True)["place_order_source"] == PLACED_FROM)
-              .select("dt", F.col("sid").alias("dp_sid")).distinct().withColumn("sid", F.col("dp_sid")))
-    basic = parse(F.col("basic_data"), "struct<sid:string,request_id:string>", strict=True)
-    groups = parse(F.col("payment_group"), "array<struct<group_name:string>>")
+    with scope(place_order.sparkSession) as keep:
+        return keep(_settled(place_order, stage(_shown(payment_api, window), "payment_events"), window), "sessions")
+
+
+def _shown(payment_api: DataFrame, window: RunWindow) -> DataFrame:
+    """Payment page events of the window, their JSON parsed once; ``_shown`` where they list any group, else not to be used."""
     named = lambda name: F.exists(F.col("_groups"), lambda g: F.coalesce(g["group_name"] == name, F.lit(False))).cast("int")
-    events = (in_window(payment_api, "dt", window).filter(F.col("tenant").isin(TENANTS))
-              .withColumns({"_basic": basic, "_groups": groups}).filter(F.size("_groups") > 0)
-              .select("dt", instant(F.col("time_stamp")).alias("time_stamp"), F.col("_basic.request_id").alias("request_id"), F.col("_basic.sid").alias("sid"),
-                      field(F.col("additional_details"), "page_visited").alias("page"), "payment_group",
-                      named("single_click").alias("_tc"), named("preferred").alias("_pref"))
-              .join(placed, ["sid", "dt"], "left"))
-    events = spread(events, ["request_id"], {"finalflag": F.max("_tc")})
+    shown = F.size("_groups") > 0
+    basic = parse(F.col("basic_data"), "struct<sid:string,request_id:string>", strict=True)
+    return (in_window(payment_api, "dt", window).filter(F.col("tenant").isin(TENANTS))
+            .withColumn("_groups", parse(F.col("payment_group"), "array<struct<group_name:string>>"))
+            .withColumn("_basic", F.when(shown, basic))
+            .select("dt", F.when(shown, instant(F.col("time_stamp"))).alias("time_stamp"), F.col("_basic.request_id").alias("request_id"),
+                    F.col("_basic.sid").alias("sid"), field(F.col("additional_details"), "page_visited").alias("page"), "payment_group",
+                    named("single_click").alias("_tc"), named("preferred").alias("_pref"), shown.alias("_shown")))
+
+
+def _settled(place_order: DataFrame, events: DataFrame, window: RunWindow) -> DataFrame:
+    placed = (in_window(place_order, "dt", window).filter(parse(F.col("request_params"), "struct<place_order_source:string>", strict=True)["place_order_source"] == PLACED_FROM)
+              .groupBy("sid").agg(F.collect_set("dt").alias("_days")))
+    events = spread(events.filter("_shown").drop("_shown"), ["request_id"], {"finalflag": F.max("_tc")})
     kind = F.when(F.col("page").isin("payment", "checkout"), F.col("page")).otherwise(F.when(F.col("page").isNotNull(), "other"))
     newest = [F.col("time_stamp").desc_nulls_first(), F.col("request_id").desc_nulls_last(), F.col("page").desc_nulls_last(),
               F.col("payment_group").desc_nulls_last()]
-    few = top1(events.withColumns({"_kind": kind, "_placed": F.col("dp_sid").isNotNull()}),
-               ["sid", "_kind", "_placed", "finalflag", "_tc", "_pref"], newest)
+    few = (top1(events.withColumn("_kind", kind), ["sid", "dt", "_kind", "finalflag", "_tc", "_pref"], newest)
+           .join(placed, "sid", "left").withColumn("dp_sid", F.when(F.array_contains("_days", F.col("dt")), F.col("sid"))))
     session = Window.partitionBy("sid")
     p_flag = F.when(F.col("page") == "payment", 1).otherwise(0)
     few = few.withColumns({"p_flag": p_flag}).withColumns({
@@ -105,7 +118,8 @@ def session_fact(checkout: DataFrame, sessions: DataFrame, options: DataFrame, o
 
     Session state and options are both one row per session, so they meet once and reach the checkout rows
     in a single join on the session id; the day test becomes a match flag. Orders hang on the payment
-    session, so a checkout without one has no order.
+    session, so a checkout without one has no order. Most checkouts have none: orders take their transaction before they meet
+    the checkouts, by the checkout's own session id, since all rows without a match would share the key NULL and one task.
     """
     base = (in_window(checkout, "dt", window)
             .select("dt", "user_id", field(F.col("basic_data"), "sid").alias("sid_c"),
@@ -121,10 +135,11 @@ def session_fact(checkout: DataFrame, sessions: DataFrame, options: DataFrame, o
     classes = cities.select(F.upper("classification").alias("_class"), F.trim(F.lower("city_name")).alias("city_key"),
                             F.upper(F.trim(F.lower("city_name"))).alias("_city"), "launch_version")
 
+    bought = (placed.withColumnRenamed("dt", "o_dt")
+              .join(paid.withColumnRenamed("dt", "t_dt"), (F.col("order_id") == F.col("oms_order_id")) & (F.col("o_dt") == F.col("t_dt")), "left"))
     out = (base.join(state, F.col("sid_c") == F.col("sid"), "left")
            .withColumn("p_sid", F.when(F.col("p_dt") == F.col("dt"), F.col("sid")))
-           .join(placed.withColumnRenamed("dt", "o_dt"), (F.col("p_sid") == F.col("sid_o")) & (F.col("dt") == F.col("o_dt")), "left")
-           .join(paid.withColumnRenamed("dt", "t_dt"), (F.col("order_id") == F.col("oms_order_id")) & (F.col("o_dt") == F.col("t_dt")), "left")
+           .join(bought, F.col("p_sid").isNotNull() & (F.col("sid_c") == F.col("sid_o")) & (F.col("dt") == F.col("o_dt")), "left")
            .join(classes, "city_key", "left"))
     from_session = {c: if_matched(F.col("p_sid"), F.col(c).cast("string")) for c in
                     ("turbo_type", "turbo_flag", "request_id", "p_session_flag", "preferred_flag")}
