@@ -20,6 +20,17 @@ def text_fields(names: list[str]) -> str:
     return "struct<" + ",".join(f"`{n}`:string" for n in names) + ">"
 
 
+# A compact array of objects whose values all are text, with no escapes but the short ones that a writer makes. Groups are
+# possessive: a match takes no stack, however long the text.
+_IN_TEXT = r'[ !#-\[\]-\uFFFF]*'
+_TEXTS_ONLY = rf'^\[(?:\{{(?:"{_IN_TEXT}":"{_IN_TEXT}(?:\\["\\bfnrt]{_IN_TEXT})*+",?+)*+\}},?+)*+\]$'
+
+
+def holds_texts(col: Column) -> Column:
+    """Whether JSON text is an array of objects of text alone, without spaces. Commas are not looked at: ``parse`` does that."""
+    return col.rlike(_TEXTS_ONLY)
+
+
 def field(col: Column, path: str, kind: str = "string") -> Column:
     """One value out of JSON text, e.g. ``field(c, "a.b")``. For several fields use ``parse``."""
     return F.get_json_object(col, f"$.{path}").try_cast(kind)

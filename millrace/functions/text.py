@@ -23,13 +23,18 @@ def without_spaces(col: Column, by: str = "") -> Column:
     return F.regexp_replace(col, " ", by)
 
 
+def without(col: Column, marks: str) -> Column:
+    """Text without any of the characters ``marks``. Text that has none is passed on as it is, not looked up by character."""
+    return reduce(lambda left, mark: F.replace(left, F.lit(mark), F.lit("")), marks, col)
+
+
 def strip_parens(col: Column) -> Column:
-    return F.translate(col, "()", "")
+    return without(col, "()")
 
 
 def strip_list_marks(col: Column) -> Column:
     """Drop the brackets and quotes of a list kept as text: ``["U1"]`` -> ``U1``."""
-    return F.translate(col, '[]"', "")
+    return without(col, '[]"')
 
 
 def unquoted(col: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import RunWindow
 from ..functions.jsonx import canonical, parse, text_fields
 from ..functions.text import strip_list_marks, strip_parens, text_or_empty
-from ..operators.nested import tagged_elements
+from ..operators.nested import tagged_elements, tagged_objects
 from ..operators.rows import in_window
 from ..sources.sinks import merge_insert_only, merge_into_buckets
 from ..sources.staging import scope, stage
@@ -68,7 +68,7 @@ def payment_ledger(payments: DataFrame, window: RunWindow, strict: bool = True)
 
 
 def _elements(payments: DataFrame, window: RunWindow, strict: bool) -> DataFrame:
-    """The distinct (payment's own columns, kind, element), the element's text with sorted keys.
+    """The distinct (payment's own columns, kind, element), the element's text with sorted keys, and its fields as ``e``.
 
     Every ledger column follows from these. Elements that differ only in the order of their keys are one. Two rows can be
     equal only if their payments' own columns are, so a payment that no other row repeats is made distinct where it lies,
@@ -83,12 +83,11 @@ def _elements(payments: DataFrame, window: RunWindow, strict: bool) -> DataFrame
     n = repeated.count()
     if n > FEW:  # then both parts would be shuffled, to be told apart
         return _distinct_across(base, strict)
-    within = lambda elements: F.array_distinct(F.transform(elements, lambda e: canonical(e, strict)))
+    alone = lambda rows: tagged_objects(rows, SOURCES, "description", "arr", FIELDS.values(), "e", strict)
     if not n:
-        return tagged_elements(base, SOURCES, "description", "arr", strict, within)
+        return alone(base)
     part = lambda how: base.join(F.broadcast(repeated), payment == F.col("_payment"), how)
-    alone = tagged_elements(part("left_anti"), SOURCES, "description", "arr", strict, within)
-    return alone.unionByName(_distinct_across(part("left_semi"), strict))
+    return alone(part("left_anti")).unionByName(_distinct_across(part("left_semi"), strict))
 
 
 def _distinct_across(base: DataFrame, strict: bool) -> DataFrame:
@@ -102,13 +101,15 @@ def _distinct_across(base: DataFrame, strict: bool) -> DataFrame:
     rows = tagged_elements(base, SOURCES, "description", "arr", strict, F.array_distinct)
     rows = rows.withColumn("_identity", _identity(F.col("arr")))
     own = [c for c in rows.columns if c != "arr"]
-    return rows.repartition(*own).distinct().withColumn("arr", canonical(F.col("arr"), strict)).distinct().drop("_identity")
+    rows = rows.repartition(*own).distinct().withColumn("arr", canonical(F.col("arr"), strict)).distinct().drop("_identity")
+    return rows.withColumn("e", parse(F.col("arr"), text_fields(sorted(set(FIELDS.values())))))
 
 
 def _read(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The named ledger columns; those that the rows do not have are read from the element."""
     fields = {out: FIELDS[out] for out in columns if out in FIELDS and out not in rows.columns}
-    rows = rows.withColumn("e", parse(F.col("arr"), text_fields(sorted(set(fields.values())))))
+    if "e" not in rows.columns:
+        rows = rows.withColumn("e", parse(F.col("arr"), text_fields(sorted(set(fields.values())))))
     read = {out: text_or_empty((strip_list_marks if out == "utr" else strip_parens)(F.col(f"e.{name}"))).alias(out)
             for out, name in fields.items()}
     return rows.select(*[read.get(c, c) for c in columns])

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import RunWindow
+from millrace.functions.jsonx import canonical, parse, text_fields
 from millrace.operators import aggregates, joins, nested, ordered, rows as row_ops, spans
 from millrace.sources.tables import lookup
 
@@ -216,6 +217,27 @@ def test_tagged_elements_scan_once(spark, rows, tmp_path):
     assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
+def test_tagged_objects_equals_reading_each_text(spark, rows):
+    """Arrays of known fields as text, which are parsed as a whole, and all that look like them and are not."""
+    good = [
+        None, "", " [] ", "[]", "[{}]", '[{"a":"1"}]', ' [{"a":"1"}]', '[{"b":"2","a":"1"},{"a":"1","b":"2"},{"a":"3"}]', '[{"a":"1"},{"a":"1"}]',
+        '[{"a":"1","c":"x"}]', '[{"a": "1"}]', '[{"a":1.50},{"a":1.5},{"a":"1.5"}]', '[{"a":null,"b":true}]', '[{"b":{"z":1,"y":[2.0,"q"]}}]',
+        '[{"a":"x\\"y\\\\","b":"\\n"}]', '[{"a":"\\u0041\\/"}]', '[{"a":"\u00e9\u4e2d\U0001f600"}]', "[{'a':'1'}]", "[null]", '["{\\"b\\":\\"2\\"}"]', "[5]",
+        '[[{"a":"1"}]]', '[{"a":9e6,"":1, "b":"2"}]', '[{"a":"' + "y" * 300_000 + '"}]',
+        "[" + ",".join(f'{{"b":"{"x" * 50}","a":"{i % 4000}"}}' for i in range(5000)) + "]"]
+    bad = ['["t1",{"a":"1"}]', '[{"a":"1","a":"1"}]', '{"a":"1"}', '[{"a":"1"}{"a":"2"}]', "[oops"]
+    table = lambda texts: spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "id int, p string, q string")
+    columns, fields = {"p": "P", "q": "Q"}, text_fields(["a", "b"])
+    found = lambda df, strict: nested.tagged_objects(df, columns, "tag", "t", ["b", "a"], "e", strict)
+    for texts, strict in ((good, True), (good + bad, False)):
+        plain = nested.tagged_elements(table(texts), columns, "tag", "t", strict, lambda elements: F.array_distinct(
+            F.transform(elements, lambda e: canonical(e, strict)))).withColumn("e", parse(F.col("t"), fields))
+        assert rows(found(table(texts), strict)) == rows(plain)
+    for text in bad:
+        with pytest.raises(Exception, match="MALFORMED|DUPLICATE"):
+            found(table([text]), True).collect()
+
+
 def _span(key, *pairs):
     return [(key, date(2020, 1, 1) + timedelta(days=a), date(2020, 1, 1) + timedelta(days=b)) for a, b in pairs]
 

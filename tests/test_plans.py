@@ -60,6 +60,14 @@ def test_ledger_is_distinct_with_and_without_repeated_payments(spark, rows, monk
     assert "Exchange" not in plan  # no other row has a part in a lone payment
 
 
+def test_ledger_reads_an_array_and_not_each_element(spark):
+    """What is parsed is parsed before the elements become rows."""
+    df = ledger_input(spark, ("1", None, None, None, '[{"pg":"a"}]', datetime(2024, 1, 30)))
+    plan = payment_ledger.payment_ledger(df, RunWindow(date(2024, 1, 30), DAY))._jdf.queryExecution().executedPlan().toString()
+    above, _, generate = plan.partition("Generate ")
+    assert "from_json" not in above and "from_json" in generate
+
+
 def states(spark, *rows):
     """(order, slotted, minute of the day, state[, metadata, itemdetails])"""
     full = [(DAY, o, s, DAY_MS + m * 60_000, DAY_MS + m * 60_000, st, "s1", *(rest or [None, None])) for o, s, m, st, *rest in rows]
